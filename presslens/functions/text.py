@@ -31,9 +31,8 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
 
 
-def stopwords(spark, lang: str = "portuguese") -> list[str]:
-    """Spark's stop-word list of a language (a few hundred words)."""
-    spark.sparkContext  # the lists live in the JVM
+def stopwords(lang: str = "portuguese") -> list[str]:
+    """Spark's stop-word list of a language (a few hundred words); needs a running session."""
     return sorted(set(StopWordsRemover.loadDefaultStopWords(lang)))
 
 
