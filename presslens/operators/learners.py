@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
@@ -163,7 +162,3 @@ def gaussian_moments(weights: DataFrame, labels: DataFrame, id_col: str = "doc_i
     variance = F.col("s2") / F.col("docs") - mean * mean
     return sums.join(sizes, "label").select("label", "term", mean.alias("mean"), variance.alias("variance"))
 
-
-def grid(**values) -> list[dict]:
-    """Every combination of the given parameter values."""
-    return [dict(zip(values, combo)) for combo in product(*values.values())]

@@ -113,10 +113,15 @@ def _sparse(size, entries):
     return SparseVector(size, [i for i, _ in pairs], [w for _, w in pairs])
 
 
-def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id") -> DataFrame:
-    """Long form (doc, term_id, weight) to one sparse vector per document."""
+def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
+    """Long form (doc, term_id, weight) to one sparse vector per document.
+
+    With `ids` every listed document gets a vector, an empty one if it has no weight.
+    """
     entries = F.collect_list(F.struct("term_id", "weight")).alias("entries")
     rows = long.groupBy(id_col).agg(entries)
+    if ids is not None:
+        rows = ids.select(id_col).join(rows, id_col, "left")
     return rows.select(id_col, _sparse(F.lit(size), "entries").alias("features"))
 
 
