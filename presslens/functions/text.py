@@ -45,6 +45,15 @@ def blank_stopwords(tokens: Column, words: list[str]) -> Column:
     return F.transform(tokens, lambda w: F.when(w.isin(words), F.lit("")).otherwise(w))
 
 
+def bind(value: Column, body) -> Column:
+    """`body(value)` with the value computed once per row.
+
+    A lambda that names an outer expression evaluates it again for every element as soon as the
+    optimizer merges projections or pushes a filter down; a bound variable cannot be inlined.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def gram_array(tokens: Column, n: int, sep: str = "_") -> Column:
     """All grams of n words, in order, as one array.
 
@@ -52,12 +61,16 @@ def gram_array(tokens: Column, n: int, sep: str = "_") -> Column:
     """
     if n == 1:
         return tokens
-    size = F.size(tokens)
-    grams = F.transform(
-        tokens, lambda w, i: F.concat_ws(sep, w, *[F.get(tokens, i + k) for k in range(1, n)])
-    )
     none = F.array().cast("array<string>")
-    return F.when(size >= n, F.slice(grams, 1, size - (n - 1))).otherwise(none)
+
+    def grams(words: Column) -> Column:
+        joined = F.transform(
+            words, lambda w, i: F.concat_ws(sep, w, *[F.get(words, i + k) for k in range(1, n)])
+        )
+        last = F.size(words) - (n - 1)
+        return F.when(last > 0, F.slice(joined, 1, F.greatest(last, F.lit(1)))).otherwise(none)
+
+    return bind(tokens, grams)
 
 
 def word_windows(df: DataFrame, tokens: str, width: int, keep: list[str]) -> DataFrame:

@@ -29,11 +29,11 @@ CARD_COLUMNS = [
 ]
 
 
-def confusion(df: DataFrame, label: str, pred: str, positive="0") -> DataFrame:
+def confusion(df: DataFrame, label: str, pred: str, positive="0", by: tuple[str, ...] = ()) -> DataFrame:
     """tp, fp, fn, tn in one pass. The class "0" (not about the topic) is the positive one."""
     truth = F.col(label).cast("string") == str(positive)
     said = F.col(pred).cast("string") == str(positive)
-    return df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).agg(
+    return df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull()).groupBy(*by).agg(
         F.count_if(said & truth).alias("tp"),
         F.count_if(said & ~truth).alias("fp"),
         F.count_if(~said & truth).alias("fn"),

@@ -62,7 +62,9 @@ def feed_pull(
     tie: str = "titleArticle",
 ) -> DataFrame:
     """Newest articles of the last minutes, at most `cap`, then one row per key (the newest)."""
-    rows = df.filter((F.col(ts) > F.lit(as_of - timedelta(minutes=lookback))) & (F.col(ts) <= F.lit(as_of)))
+    kind = df.schema[ts].dataType  # literals of the column's own type are pushed to the scan
+    start, end = (F.lit(t.isoformat(" ")).cast(kind) for t in (as_of - timedelta(minutes=lookback), as_of))
+    rows = df.filter((F.col(ts) > start) & (F.col(ts) <= end))
     for column, value in (filters or {}).items():
         rows = rows.filter(F.col(column) == value)
     capped = newest(rows, [F.desc(ts), F.asc(tie)], cap)
