@@ -6,8 +6,6 @@ a word is stemmed once per batch however often it occurs, and the step needs no
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,7 +102,6 @@ def _standard_suffix(word: str, rv: int, r1: int, r2: int) -> str:
     return _cut(word, r2, ("at",))
 
 
-@lru_cache(maxsize=200_000)
 def stem_portuguese(word: str) -> str:
     for letter, marked in NASAL:
         word = word.replace(letter, marked)

@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Metric names in published order.
 OVERALL = [
@@ -54,7 +55,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     if p >= 1.0:
         return 1.0
     mode = min(n, math.floor((n + 1) * p))
-    if k <= mode:
+    if k < mode:
         return 1.0 - binomial_tail(n - k + 1, n, 1.0 - p)
     odds = p / (1.0 - p)
     term = math.exp(_log_choose(n, k) + k * math.log(p) + (n - k) * math.log1p(-p))
@@ -91,7 +92,10 @@ def mcnemar_p(b: int, c: int) -> float:
     return math.erfc(math.sqrt((abs(b - c) - correction) ** 2 / (b + c) / 2))
 
 
-@F.pandas_udf("lower double, upper double, p_null double, p_mcnemar double")
+EXACT_TYPE = T.StructType([T.StructField(c, T.DoubleType()) for c in ("lower", "upper", "p_null", "p_mcnemar")])
+
+
+@F.pandas_udf(EXACT_TYPE)
 def _exact(tp: pd.Series, fp: pd.Series, fn: pd.Series, tn: pd.Series) -> pd.DataFrame:
     out = []
     for a, b, c, d in zip(tp.tolist(), fp.tolist(), fn.tolist(), tn.tolist()):
