@@ -229,12 +229,13 @@ def _(spark, sf):
 
 @query(
     "union_by_name",
-    """SELECT doc_id, lang, source, NULL::BIGINT AS n_chars FROM documents
-    UNION ALL SELECT doc_id, NULL, source, n_chars FROM documents""",
+    """SELECT doc_id, lang, source, NULL::VARCHAR AS n_chars FROM documents
+    UNION ALL SELECT doc_id, NULL, source, CAST(n_chars AS VARCHAR) FROM documents""",
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents")
-    return stack(docs.select("doc_id", "lang", "source"), docs.select("n_chars", "source", "doc_id"))
+    sizes = docs.select(F.col("n_chars").cast("string").alias("n_chars"), "source", "doc_id")
+    return stack(docs.select("doc_id", "lang", "source"), sizes)
 
 
 @query(

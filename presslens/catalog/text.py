@@ -139,10 +139,6 @@ PLAIN_2_5 = f"""{WORDS}, tokens AS ({sql_grams('words', 2, 5, '_')}), {COUNTS},
     vocab AS (SELECT term, CAST(sum(n) AS BIGINT) AS term_count, count(*) AS doc_count FROM counts GROUP BY term)"""
 
 
-def plain_vocabulary(spark, sf):
-    return ct.vocabulary(ct.term_counts(tx.ngram_rows(words(spark, sf), "words", 2, 5)))
-
-
 @query(
     "ngrams_2_5_plain",
     f"""WITH {PLAIN_2_5} SELECT * FROM vocab WHERE term_count >= 10
@@ -150,7 +146,7 @@ def plain_vocabulary(spark, sf):
 )
 def _(spark, sf):
     docs = table(spark, sf, "documents")
-    return ct.prune(plain_vocabulary(spark, sf), 10, max_doc_share=0.5, docs=docs)
+    return ct.prune(ct.frequent_vocabulary(words(spark, sf), 2, 5, 10), 10, max_doc_share=0.5, docs=docs)
 
 
 # ---- counts and vocabulary -----------------------------------------------------------------------
@@ -188,7 +184,7 @@ def _(spark, sf):
 
 @query("prune_vocabulary", f"WITH {PRODUCTION} SELECT term, term_count, doc_count FROM vocab WHERE term_count >= 20")
 def _(spark, sf):
-    return ct.prune(ct.vocabulary(ct.term_counts(production_grams(spark, sf))), 20)
+    return ct.frequent_vocabulary(words(spark, sf, STOP), 1, 5, 20)
 
 
 @query(
@@ -403,7 +399,7 @@ IDF = f"""{PRODUCTION}, pruned AS (SELECT * FROM vocab WHERE term_count >= 20),
 
 def fitted(spark, sf):
     docs = table(spark, sf, "documents")
-    vocab = ct.prune(ct.vocabulary(ct.term_counts(production_grams(spark, sf))), 20)
+    vocab = ct.frequent_vocabulary(words(spark, sf, STOP), 1, 5, 20)
     return tf.TfidfModel.fit(vocab, docs.count())
 
 
@@ -435,9 +431,8 @@ def _(spark, sf):
     WHERE v.term_count >= 20""",
 )
 def _(spark, sf):
-    grams = production_grams(spark, sf)
-    vocab = materialise(ct.prune(ct.vocabulary(ct.term_counts(grams)), 20), "vocabulary")
-    return tf.doc_term_matrix(grams, vocab, columns=())
+    vocab = ct.frequent_vocabulary(words(spark, sf, STOP), 1, 5, 20)
+    return tf.doc_term_matrix(production_grams(spark, sf), vocab, columns=())
 
 
 WEIGHTS = f"""{IDF}, weights AS (SELECT c.doc_id, c.term, c.n / sum(c.n) OVER (PARTITION BY c.doc_id) * f.idf AS weight

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions import text as tx
 from presslens.functions.stemming import stem_tokens
-from presslens.session import spread
+from presslens.session import BROADCAST_ROWS, materialise, spread
 
 
 def tokens_of(
@@ -51,7 +51,7 @@ def min_df(counts: DataFrame, documents: int = 5) -> DataFrame:
 
 def prune(
     vocab: DataFrame,
-    min_count: int = 20,
+    min_count: int = 1,
     max_doc_share: float | None = None,
     docs: DataFrame | None = None,
     min_docs: int | None = None,
@@ -83,6 +83,47 @@ def research_grams(
     return tx.ngram_rows(rows, "words", n_min, n_max, " ", (id_col,))
 
 
+def _long_candidates(words: DataFrame, pairs: DataFrame, n_max: int, sep: str, id_col: str) -> DataFrame:
+    """Grams of 3..n_max words whose pairs of neighbours are all frequent."""
+    rows = tx.word_windows(words, "words", n_max, [id_col])
+    for k in range(n_max - 1):
+        listed = pairs.select(F.col("term").alias(f"_p{k}"))
+        pair = F.concat_ws(sep, F.col(f"w{k}"), F.col(f"w{k + 1}")) == F.col(f"_p{k}")
+        # every gram from three words on needs the first two pairs
+        rows = rows.join(F.broadcast(listed), pair, "inner" if k < 2 else "left")
+    grams, usable = [], F.lit(True)
+    for n in range(3, n_max + 1):
+        usable = usable & F.col(f"_p{n - 2}").isNotNull() & F.col(f"w{n - 1}").isNotNull()
+        grams.append(F.when(usable, F.concat_ws(sep, *[F.col(f"w{k}") for k in range(n)])))
+    return rows.select(id_col, F.explode_outer(F.array(*grams)).alias("term")).filter("term IS NOT NULL")
+
+
+def frequent_vocabulary(
+    words: DataFrame, n_min: int = 1, n_max: int = 5, min_count: int = 20, sep: str = "_", id_col: str = "doc_id"
+) -> DataFrame:
+    """Terms of n_min..n_max words with at least `min_count` occurrences, as a written table.
+
+    A gram occurs no more often than any pair of neighbours in it. So words and pairs are counted
+    first, and longer grams are only formed where all their pairs are frequent: most of the long
+    grams, which make up most of the bytes to shuffle, never arise. No frequent gram is lost. When
+    the frequent pairs are too many to broadcast, the longer grams are all counted.
+    """
+    short = tx.ngram_rows(words, "words", min(n_min, 2), min(n_max, 2), sep, (id_col,))
+    low = materialise(prune(vocabulary(term_counts(short, id_col)), min_count), "vocabulary-short")
+    if n_max <= 2:
+        return low
+    width = F.size(F.split("term", sep))
+    pairs = low.filter(width == 2)
+    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        long = _long_candidates(words, pairs, n_max, sep, id_col)
+    else:
+        long = tx.ngram_rows(words, "words", 3, n_max, sep, (id_col,))
+    high = prune(vocabulary(term_counts(long, id_col)), min_count)
+    if n_min > 2:
+        return materialise(high.filter(width >= n_min), "vocabulary")
+    return materialise(low.unionByName(high), "vocabulary")
+
+
 def collapse(tokens: DataFrame, keys: list[str], pos: str = "pos", word: str = "word") -> DataFrame:
     """The words of one gram pasted back in order; a gram has a handful of words."""
     parts = F.sort_array(F.collect_list(F.struct(pos, word)))

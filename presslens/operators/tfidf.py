@@ -55,19 +55,18 @@ def tfidf_tidy(counts: DataFrame, id_col: str = "doc_id", df_col: str = "doc_cou
 
 @dataclass
 class TfidfModel:
-    """Fitted vocabulary: term, term_id, term_count, doc_count, idf, in one written table."""
+    """Fitted vocabulary: term, term_id, term_count, doc_count, idf, in one written table.
+
+    `fit` takes a written vocabulary (see `counts.frequent_vocabulary`).
+    """
 
     table: DataFrame
     n_docs: int
 
     @classmethod
     def fit(cls, vocab: DataFrame, n_docs: int, variant: str = "plus_one_below") -> TfidfModel:
-        spark = vocab.sparkSession
-        kept = materialise(vocab, "vocabulary")
         idf = idf_column(F.lit(float(n_docs)), F.col("doc_count"), variant)
-        # ids by frequency rank: one sort of the pruned vocabulary, split by count ranges
-        ranked = _dense_ids(kept.withColumn("idf", idf))
-        return cls(materialise(ranked, "tfidf"), n_docs)
+        return cls(materialise(_dense_ids(vocab.withColumn("idf", idf)), "tfidf"), n_docs)
 
     def transform(self, grams: DataFrame, id_col: str = "doc_id") -> DataFrame:
         """Weights of any documents under the fitted idf; unseen terms are ignored."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions.text import clean_delete, ngram_rows, stopwords
 from presslens.operators import learners, metrics
-from presslens.operators.counts import prune, term_counts, tokens_of, vocabulary
+from presslens.operators.counts import frequent_vocabulary, prune, tokens_of
 from presslens.operators.entities import ENTITY_TYPES, annotate, entity_counts
 from presslens.operators.split import stratified_split
 from presslens.operators.tfidf import TfidfModel, assemble, to_vectors
@@ -34,12 +34,15 @@ class Matrix:
     options: dict
 
 
-def grams_of(docs: DataFrame, options: dict) -> DataFrame:
-    """Grams as training and scoring use them: cleaned, stop words out, stems, joined by `_`."""
+def words_of(docs: DataFrame, options: dict) -> DataFrame:
+    """Words as training and scoring use them: cleaned, stop words out, stems."""
     stop = stopwords(options["language"]) if options["language"] else []
     clean = docs if options["legacy"] else docs.withColumn("text", clean_delete(F.col("text")))
-    words = tokens_of(clean, stop=stop, stem=options["stem"], stop_after_stem=options["legacy"])
-    return ngram_rows(words, "words", options["n_min"], options["n_max"])
+    return tokens_of(clean, stop=stop, stem=options["stem"], stop_after_stem=options["legacy"])
+
+
+def grams_of(docs: DataFrame, options: dict) -> DataFrame:
+    return ngram_rows(words_of(docs, options), "words", options["n_min"], options["n_max"])
 
 
 def vectors_of(docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict) -> DataFrame:
@@ -68,7 +71,8 @@ def training_matrix(
     options = {**DEFAULTS, **options}
     split = stratified_split(corpus, "label", share)
     train = split.filter("is_train")
-    vocab = prune(vocabulary(term_counts(grams_of(train, options))), min_count, min_docs=min_docs)
+    words = words_of(train, options)
+    vocab = prune(frequent_vocabulary(words, options["n_min"], options["n_max"], min_count), min_docs=min_docs)
     tfidf = TfidfModel.fit(vocab, train.count(), idf_variant)
     vectors = vectors_of(corpus, tfidf, gazetteer, options)
     label = F.col("label").cast("double").alias("label")

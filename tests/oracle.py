@@ -63,7 +63,10 @@ def check(spark, con, name, queries, sql, sf_dir):
     took = time.time() - start
     if name not in sql:
         return took, len(got), "rows only"
+    start = time.time()
     want = con.execute(sql[name]).df()
+    if time.time() - start > 5:
+        print(f"     SQL took {time.time() - start:.1f}s", flush=True)
     return took, len(got), compare(got, want)
 
 
