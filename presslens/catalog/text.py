@@ -61,7 +61,7 @@ def _(spark, sf):
 @query("stem_vocabulary")
 def _(spark, sf):
     stems = words(spark, sf).withColumn("stems", stem_tokens("words"))
-    pairs = stems.select(F.explode(F.arrays_zip("words", "stems")).alias("p"))
+    pairs = stems.select(F.explode_outer(F.arrays_zip("words", "stems")).alias("p")).filter("p IS NOT NULL")
     return pairs.groupBy(F.col("p.words").alias("word"), F.col("p.stems").alias("stem")).agg(F.count("*").alias("n"))
 
 
@@ -89,8 +89,7 @@ def _(spark, sf):
     f"""WITH {UNIGRAMS}, {COUNTS} SELECT doc_id, term, n FROM counts WHERE term NOT IN {sql_list(STOP)}""",
 )
 def _(spark, sf):
-    rows = words(spark, sf).select("doc_id", F.explode("words").alias("term"))
-    return ct.term_counts(drop_listed(rows, "term", STOP))
+    return ct.term_counts(drop_listed(tx.token_rows(words(spark, sf)), "term", STOP))
 
 
 @query(
@@ -154,7 +153,7 @@ def _(spark, sf):
 
 @query("term_counts", f"WITH {UNIGRAMS}, {COUNTS} SELECT doc_id, term, n FROM counts")
 def _(spark, sf):
-    return ct.term_counts(words(spark, sf).select("doc_id", F.explode("words").alias("term")))
+    return ct.term_counts(tx.token_rows(words(spark, sf)))
 
 
 @query(
@@ -234,7 +233,7 @@ def _(spark, sf):
     SELECT c.doc_id, c.term, c.n FROM counts c JOIN vocab v ON c.term = v.term""",
 )
 def _(spark, sf):
-    tokens = words(spark, sf).select("doc_id", F.explode("words").alias("term"))
+    tokens = tx.token_rows(words(spark, sf))
     vocab = materialise(ct.min_df(ct.term_counts(tokens), 5), "vocabulary")
     return ct.term_counts(lookup_join(tokens, vocab.select("term"), "term", "doc_id"))
 
@@ -368,7 +367,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "quality")
-    tokens = words(spark, sf).join(labels, "doc_id").select("quality", F.explode("words").alias("term"))
+    tokens = tx.token_rows(words(spark, sf).join(labels, "doc_id"), keep=("quality",))
     counted = tokens.groupBy("quality", "term").agg(F.count("*").alias("n"))
     top = top_n_with_ties(counted, "quality", 10, "n", "term")
     return top.withColumn("rank", F.col("rank").cast("bigint"))
@@ -482,5 +481,5 @@ def _(spark, sf):
 
     model, long = weights(spark, sf)
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    split = stratified_split(labels, "label")
-    return tf.export_matrix(tf.to_vectors(long, model.size), split, new_path(spark, "training-matrix"))
+    rows = stratified_split(labels, "label").join(tf.to_entries(long), "doc_id")
+    return tf.export_matrix(rows, model.size, new_path(spark, "training-matrix"))

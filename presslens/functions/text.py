@@ -73,6 +73,12 @@ def gram_array(tokens: Column, n: int, sep: str = "_") -> Column:
     return bind(tokens, grams)
 
 
+def token_rows(df: DataFrame, tokens: str = "words", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per word, as `term` (see `word_windows` on `explode_outer`)."""
+    rows = df.select(*keep, F.explode_outer(tokens).alias("term"))
+    return rows.filter("term IS NOT NULL")
+
+
 def word_windows(df: DataFrame, tokens: str, width: int, keep: list[str]) -> DataFrame:
     """One row per word position with the next `width` words in columns w0, w1, ...
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presslens.operators.joins import lookup_join
 from presslens.session import materialise
@@ -45,11 +46,13 @@ def term_shares(counts: DataFrame, id_col: str = "doc_id") -> Column:
 def tfidf_tidy(counts: DataFrame, id_col: str = "doc_id", df_col: str = "doc_count") -> DataFrame:
     """tf = n / total of kept terms, idf = ln(documents / documents with the term).
 
-    `counts` are already restricted and carry each term's document count.
+    `counts` are already restricted and carry each term's document count. The rows are written once
+    with their tf; the number of documents is then read from the written ids, so the grams are not
+    formed a second time for it.
     """
-    n_docs = counts.agg(F.count_distinct(id_col).alias("docs")).scalar()
-    tf = term_shares(counts, id_col)
-    rows = counts.withColumns({"tf": tf, "idf": F.ln(n_docs / F.col(df_col))})
+    rows = materialise(counts.withColumn("tf", term_shares(counts, id_col)), "tf")
+    n_docs = rows.agg(F.count_distinct(id_col).alias("docs")).scalar()
+    rows = rows.withColumn("idf", F.ln(n_docs / F.col(df_col)))
     return rows.withColumn("tf_idf", F.col("tf") * F.col("idf"))
 
 
@@ -105,23 +108,49 @@ def _dense_ids(vocab: DataFrame) -> DataFrame:
     return rows.withColumn("term_id", ids).drop("_bucket", "_start", "_inside")
 
 
+def to_entries(long: DataFrame, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
+    """Long form (doc, term_id, weight) to one array of (term_id, weight) per document, by term id.
+
+    With `ids` every listed document gets an array, an empty one if it has no weight.
+    """
+    entries = F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("entries")
+    rows = long.groupBy(id_col).agg(entries)
+    if ids is None:
+        return rows
+    none = F.array().cast(rows.schema["entries"].dataType)
+    rows = ids.select(id_col).join(rows, id_col, "left")
+    return rows.withColumn("entries", F.coalesce("entries", none))
+
+
 @F.udf(VectorUDT())
-def _sparse(size, entries):
+def _sparse(size, indices, weights):
     """One call per document."""
-    pairs = sorted((e["term_id"], e["weight"]) for e in entries or [])
-    return SparseVector(size, [i for i, _ in pairs], [w for _, w in pairs])
+    return SparseVector(size, indices, weights)
 
 
 def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
-    """Long form (doc, term_id, weight) to one sparse vector per document.
+    """Long form to one sparse vector per document, for use in the same plan."""
+    rows = to_entries(long, id_col, ids)
+    vector = _sparse(F.lit(size), "entries.term_id", "entries.weight")
+    return rows.select(id_col, vector.alias("features"))
+
 
-    With `ids` every listed document gets a vector, an empty one if it has no weight.
+def export_matrix(rows: DataFrame, size: int, path: str) -> DataFrame:
+    """Write rows with `entries` as a training matrix with sparse vectors in `features`.
+
+    The struct written is the stored form of a sparse vector, so the vectors are read back as such
+    and no row passes through Python.
     """
-    entries = F.collect_list(F.struct("term_id", "weight")).alias("entries")
-    rows = long.groupBy(id_col).agg(entries)
-    if ids is not None:
-        rows = ids.select(id_col).join(rows, id_col, "left")
-    return rows.select(id_col, _sparse(F.lit(size), "entries").alias("features"))
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"),
+        F.lit(size).alias("size"),
+        F.col("entries.term_id").alias("indices"),
+        F.col("entries.weight").alias("values"),
+    )
+    out = rows.withColumn("entries", vector).withColumnRenamed("entries", "features")
+    out.write.mode("overwrite").parquet(path)
+    fields = [f if f.name != "features" else T.StructField("features", VectorUDT()) for f in out.schema]
+    return rows.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
 def assemble(weights: DataFrame, entity_counts: DataFrame, types: list[str], size: int, id_col: str = "doc_id"):
@@ -134,9 +163,3 @@ def assemble(weights: DataFrame, entity_counts: DataFrame, types: list[str], siz
         id_col, F.col("name").alias("term"), ids[kind].alias("term_id"), F.col("weight").cast("double")
     )
     return weights.select(id_col, "term", "term_id", "weight").unionByName(rows)
-
-
-def export_matrix(vectors: DataFrame, labels: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
-    """Training matrix (id, label, features) written once for the iterative learners."""
-    labels.join(vectors, id_col).write.mode("overwrite").parquet(path)
-    return labels.sparkSession.read.parquet(path)

@@ -13,8 +13,8 @@ from presslens.operators import learners, metrics
 from presslens.operators.counts import frequent_vocabulary, prune, tokens_of
 from presslens.operators.entities import ENTITY_TYPES, annotate, entity_counts
 from presslens.operators.split import stratified_split
-from presslens.operators.tfidf import TfidfModel, assemble, to_vectors
-from presslens.session import materialise
+from presslens.operators.tfidf import TfidfModel, assemble, export_matrix, to_entries, to_vectors
+from presslens.session import materialise, new_path
 from presslens.sinks.bundles import Bundle
 
 # Gram lengths, least total count and training share of the production model.
@@ -45,13 +45,19 @@ def grams_of(docs: DataFrame, options: dict) -> DataFrame:
     return ngram_rows(words_of(docs, options), "words", options["n_min"], options["n_max"])
 
 
-def vectors_of(docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict) -> DataFrame:
-    """(doc_id, features) of every document: term weights and, with a gazetteer, entity counts."""
-    size = tfidf.size
+def weights_of(docs: DataFrame, tfidf: TfidfModel, size: int, gazetteer: DataFrame | None, options: dict) -> DataFrame:
+    """(doc_id, term_id, weight): term weights and, with a gazetteer, entity counts."""
     long = tfidf.transform(grams_of(docs, options)).select("doc_id", "term", "term_id", "weight")
     if gazetteer is not None:
         found = entity_counts(annotate(docs, gazetteer))
         long = assemble(long, found, ENTITY_TYPES, size)
+    return long
+
+
+def vectors_of(docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict) -> DataFrame:
+    """(doc_id, features) of every document."""
+    size = tfidf.size
+    long = weights_of(docs, tfidf, size, gazetteer, options)
     return to_vectors(long, size + len(ENTITY_TYPES), ids=docs)
 
 
@@ -74,10 +80,12 @@ def training_matrix(
     words = words_of(train, options)
     vocab = prune(frequent_vocabulary(words, options["n_min"], options["n_max"], min_count), min_docs=min_docs)
     tfidf = TfidfModel.fit(vocab, train.count(), idf_variant)
-    vectors = vectors_of(corpus, tfidf, gazetteer, options)
+    terms = tfidf.size
+    size = terms + len(ENTITY_TYPES)
+    entries = to_entries(weights_of(corpus, tfidf, terms, gazetteer, options), ids=corpus)
     label = F.col("label").cast("double").alias("label")
-    rows = split.select("doc_id", label, "is_train").join(vectors, "doc_id")
-    return Matrix(materialise(rows, "matrix"), tfidf, tfidf.size + len(ENTITY_TYPES), options)
+    rows = split.select("doc_id", label, "is_train").join(entries, "doc_id")
+    return Matrix(export_matrix(rows, size, new_path(corpus.sparkSession, "matrix")), tfidf, size, options)
 
 
 def evaluate(model, test: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 # A lookup table is broadcast only up to this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
