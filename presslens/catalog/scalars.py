@@ -31,14 +31,15 @@ def _(spark, sf):
 
 @query(
     "flatten_list_columns",
-    """SELECT conv_id, turn AS pos, role, text FROM
-    (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn, role, text FROM conversations)""",
+    """SELECT doc_id, i - 1 AS pos, lines[i] AS line, length(lines[i]) AS chars FROM
+    (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM
+      (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))""",
 )
 def _(spark, sf):
-    turn = F.struct("turn", "role", "text")
-    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
-    lists = talks.select("conv_id", F.col("t.role").alias("role"), F.col("t.text").alias("text"))
-    return sc.flatten_lists(lists).withColumn("pos", F.col("pos").cast("bigint"))
+    lines = F.split("text", "\n")
+    sizes = F.transform(lines, lambda x: F.length(x).cast("bigint"))
+    docs = table(spark, sf, "documents").select("doc_id", lines.alias("line"), sizes.alias("chars"))
+    return sc.flatten_lists(docs).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query("rename_reorder", "SELECT doc_id, source AS outlet, text, lang, n_chars FROM documents")

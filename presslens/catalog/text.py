@@ -188,10 +188,15 @@ def _(spark, sf):
 
 @query(
     "collapse_tokens",
-    "SELECT conv_id, string_agg(role, ' ' ORDER BY turn) AS term FROM conversations GROUP BY conv_id",
+    f"""WITH {WORDS} SELECT doc_id, i - 1 AS start, array_to_string(list_slice(w, i, i + 2), ' ') AS term
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)""",
 )
 def _(spark, sf):
-    return ct.collapse(table(spark, sf, "conversations"), ["conv_id"], "turn", "role")
+    # the words of each window of three as rows, then pasted together again
+    rows = tx.word_windows(words(spark, sf), "words", 3, ["doc_id"])
+    parts = F.posexplode_outer(F.array("w0", "w1", "w2")).alias("pos", "word")
+    tokens = rows.select("doc_id", F.col("pos").cast("bigint").alias("start"), parts).filter("word IS NOT NULL")
+    return ct.collapse(tokens, ["doc_id", "start"])
 
 
 @query(

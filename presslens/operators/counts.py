@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from presslens.functions import text as tx
 from presslens.functions.stemming import stem_tokens
-from presslens.session import BROADCAST_ROWS, materialise, spread
+from presslens.session import materialise, spread
+
+# Hashes of frequent word pairs are broadcast up to this many.
+PAIR_ROWS = 10_000_000
 
 
 def tokens_of(
@@ -84,11 +87,16 @@ def research_grams(
 
 
 def _long_candidates(words: DataFrame, pairs: DataFrame, n_max: int, sep: str, id_col: str) -> DataFrame:
-    """Grams of 3..n_max words whose pairs of neighbours are all frequent."""
+    """Grams of 3..n_max words whose pairs of neighbours are all frequent.
+
+    Pairs are broadcast as 64-bit hashes. Two pairs with one hash can only let a candidate through
+    that the final count then drops.
+    """
     rows = tx.word_windows(words, "words", n_max, [id_col])
+    hashes = pairs.select(F.xxhash64("term").alias("_h")).distinct()
     for k in range(n_max - 1):
-        listed = pairs.select(F.col("term").alias(f"_p{k}"))
-        pair = F.concat_ws(sep, F.col(f"w{k}"), F.col(f"w{k + 1}")) == F.col(f"_p{k}")
+        listed = hashes.withColumnRenamed("_h", f"_p{k}")
+        pair = F.xxhash64(F.concat_ws(sep, F.col(f"w{k}"), F.col(f"w{k + 1}"))) == F.col(f"_p{k}")
         # every gram from three words on needs the first two pairs
         rows = rows.join(F.broadcast(listed), pair, "inner" if k < 2 else "left")
     grams, usable = [], F.lit(True)
@@ -99,7 +107,13 @@ def _long_candidates(words: DataFrame, pairs: DataFrame, n_max: int, sep: str, i
 
 
 def frequent_vocabulary(
-    words: DataFrame, n_min: int = 1, n_max: int = 5, min_count: int = 20, sep: str = "_", id_col: str = "doc_id"
+    words: DataFrame,
+    n_min: int = 1,
+    n_max: int = 5,
+    min_count: int = 20,
+    sep: str = "_",
+    id_col: str = "doc_id",
+    max_pairs: int = PAIR_ROWS,
 ) -> DataFrame:
     """Terms of n_min..n_max words with at least `min_count` occurrences, as a written table.
 
@@ -114,7 +128,7 @@ def frequent_vocabulary(
         return low
     width = F.size(F.split("term", sep))
     pairs = low.filter(width == 2)
-    if pairs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if pairs.limit(max_pairs + 1).count() <= max_pairs:
         long = _long_candidates(words, pairs, n_max, sep, id_col)
     else:
         long = tx.ngram_rows(words, "words", 3, n_max, sep, (id_col,))

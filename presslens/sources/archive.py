@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,16 @@ def stack(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def _listed(spark: SparkSession, path) -> list:
+    """Header groups, or none when no file matches."""
+    try:
+        return header_groups(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def header_groups(spark: SparkSession, path) -> list[tuple[str, list[str]]]:
     """Files by header line. The lines are found by a distributed scan that keeps one row per file.
 
@@ -36,7 +47,7 @@ def header_groups(spark: SparkSession, path) -> list[tuple[str, list[str]]]:
 def read_drifting_csv(spark: SparkSession, path, with_mtime: bool = False) -> DataFrame:
     """All files as one table of strings: one read per distinct header, then a union by name."""
     parts = []
-    for header, paths in header_groups(spark, path):
+    for header, paths in _listed(spark, path):
         names = [n.strip().strip('"') for n in header.split(",")]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         part = spark.read.schema(schema).options(**CSV).csv(paths)
@@ -44,6 +55,8 @@ def read_drifting_csv(spark: SparkSession, path, with_mtime: bool = False) -> Da
         if with_mtime:
             file.append(F.col("_metadata.file_modification_time").alias("last_changed"))
         parts.append(part.select("*", *file))
+    if not parts:
+        raise ValueError(f"no file at {path}")
     return stack(*parts)
 
 
