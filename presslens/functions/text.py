@@ -73,6 +73,15 @@ def gram_array(tokens: Column, n: int, sep: str = "_") -> Column:
     return bind(tokens, grams)
 
 
+def compute_once(df: DataFrame, name: str, value: Column, keep: list[str]) -> DataFrame:
+    """Keep columns and `name`, with the value computed once per row.
+
+    A later filter on the column stays above the generator, so it is neither pushed to the scan nor
+    evaluated a second time.
+    """
+    return df.select(*keep, F.explode_outer(F.array(value)).alias(name))
+
+
 def token_rows(df: DataFrame, tokens: str = "words", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per word, as `term` (see `word_windows` on `explode_outer`)."""
     rows = df.select(*keep, F.explode_outer(tokens).alias("term"))

@@ -21,16 +21,23 @@ def tokens_of(
     stem: bool = False,
     stop_after_stem: bool = False,
     keep: tuple[str, ...] = (),
+    clean=None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Documents as (id, words), hash-partitioned by id.
 
-    Only the text is shuffled, once; counting grams per document afterwards needs no exchange. Stop
-    words are removed before stemming unless `stop_after_stem` asks for the older order.
+    Only the text is shuffled, once; counting grams per document afterwards needs no exchange. `clean`
+    is applied to the text in the same step as the split into words. Stop words are removed before
+    stemming unless `stop_after_stem` asks for the older order. `partitioned`: the documents already
+    are partitioned by id.
     """
-    words = tx.tokenize(F.col(text))
+    words = tx.tokenize(clean(F.col(text)) if clean else F.col(text))
     if stop and not stop_after_stem:
         words = tx.drop_stopwords(words, stop)
-    rows = spread(docs.select(id_col, *keep, text), id_col).select(id_col, *keep, words.alias("words"))
+    rows = docs.select(id_col, *keep, text)
+    if not partitioned:
+        rows = spread(rows, id_col)
+    rows = rows.select(id_col, *keep, words.alias("words"))
     if stem:
         rows = rows.withColumn("words", stem_tokens("words"))
         if stop and stop_after_stem:

@@ -46,13 +46,17 @@ def annotate(
     text: str = "text",
     max_chars: int | None = None,
     by_first_word_up_to: tuple[int, int] = BY_FIRST_WORD_UP_TO,
+    partitioned: bool = False,
 ) -> DataFrame:
     """One row per mention: doc_id, start, surfaceForm, types; the longest match at each position.
 
-    The gazetteer's size decides the way; both give the same mentions.
+    The gazetteer's size decides the way; both give the same mentions. `partitioned`: the documents
+    already are partitioned by id.
     """
     body = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
-    words = spread(docs.select("doc_id", body.alias("body")), "doc_id")
+    words = docs.select("doc_id", body.alias("body"))
+    if not partitioned:
+        words = spread(words, "doc_id")
     words = words.select("doc_id", tx.tokenize(F.col("body")).alias("words"))
     rows = tx.word_windows(words, "words", MAX_SURFACE_WORDS, ["doc_id"])
     surfaces = wanted_surfaces(gazetteer, min_conf, types)

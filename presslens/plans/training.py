@@ -14,7 +14,7 @@ from presslens.operators.counts import frequent_vocabulary, prune, tokens_of
 from presslens.operators.entities import ENTITY_TYPES, annotate, entity_counts
 from presslens.operators.split import stratified_split
 from presslens.operators.tfidf import TfidfModel, assemble, export_matrix, to_entries, to_vectors
-from presslens.session import materialise, new_path
+from presslens.session import materialise, new_path, spread
 from presslens.sinks.bundles import Bundle
 
 # Gram lengths, least total count and training share of the production model.
@@ -34,30 +34,40 @@ class Matrix:
     options: dict
 
 
-def words_of(docs: DataFrame, options: dict) -> DataFrame:
-    """Words as training and scoring use them: cleaned, stop words out, stems."""
-    stop = stopwords(options["language"]) if options["language"] else []
-    clean = docs if options["legacy"] else docs.withColumn("text", clean_delete(F.col("text")))
-    return tokens_of(clean, stop=stop, stem=options["stem"], stop_after_stem=options["legacy"])
-
+def words_of(
+    docs: DataFrame, options: dict, ready: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Words as training and scoring use them: cleaned, stop words out, stems.
 
-def grams_of(docs: DataFrame, options: dict) -> DataFrame:
-    return ngram_rows(words_of(docs, options), "words", options["n_min"], options["n_max"])
+    `ready`: the text is clean and the documents are partitioned by id.
+    """
+    stop = stopwords(options["language"]) if options["language"] else []
+    clean = None if ready or options["legacy"] else clean_delete
+    return tokens_of(
+        docs, stop=stop, stem=options["stem"], stop_after_stem=options["legacy"], keep=keep, clean=clean,
+        partitioned=ready,
+    )
 
 
-def weights_of(docs: DataFrame, tfidf: TfidfModel, size: int, gazetteer: DataFrame | None, options: dict) -> DataFrame:
+def weights_of(
+    words: DataFrame, docs: DataFrame, tfidf: TfidfModel, size: int, gazetteer, options: dict, ready: bool = False
+) -> DataFrame:
     """(doc_id, term_id, weight): term weights and, with a gazetteer, entity counts."""
-    long = tfidf.transform(grams_of(docs, options)).select("doc_id", "term", "term_id", "weight")
+    grams = ngram_rows(words, "words", options["n_min"], options["n_max"])
+    long = tfidf.transform(grams).select("doc_id", "term", "term_id", "weight")
     if gazetteer is not None:
-        found = entity_counts(annotate(docs, gazetteer))
+        found = entity_counts(annotate(docs, gazetteer, partitioned=ready))
         long = assemble(long, found, ENTITY_TYPES, size)
     return long
 
 
-def vectors_of(docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict) -> DataFrame:
+def vectors_of(
+    docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict, ready: bool = False
+) -> DataFrame:
     """(doc_id, features) of every document."""
     size = tfidf.size
-    long = weights_of(docs, tfidf, size, gazetteer, options)
+    words = words_of(docs, options, ready)
+    long = weights_of(words, docs, tfidf, size, gazetteer, options, ready)
     return to_vectors(long, size + len(ENTITY_TYPES), ids=docs)
 
 
@@ -76,13 +86,15 @@ def training_matrix(
     """
     options = {**DEFAULTS, **options}
     split = stratified_split(corpus, "label", share)
-    train = split.filter("is_train")
-    words = words_of(train, options)
-    vocab = prune(frequent_vocabulary(words, options["n_min"], options["n_max"], min_count), min_docs=min_docs)
-    tfidf = TfidfModel.fit(vocab, train.count(), idf_variant)
+    # words are stemmed once, then read by both vocabulary passes and by the weights
+    written = materialise(words_of(split, options, keep=("is_train",)), "words")
+    words = spread(written, "doc_id")
+    train = words.filter("is_train").select("doc_id", "words")
+    vocab = prune(frequent_vocabulary(train, options["n_min"], options["n_max"], min_count), min_docs=min_docs)
+    tfidf = TfidfModel.fit(vocab, written.filter("is_train").count(), idf_variant)
     terms = tfidf.size
     size = terms + len(ENTITY_TYPES)
-    entries = to_entries(weights_of(corpus, tfidf, terms, gazetteer, options), ids=corpus)
+    entries = to_entries(weights_of(words, corpus, tfidf, terms, gazetteer, options), ids=corpus)
     label = F.col("label").cast("double").alias("label")
     rows = split.select("doc_id", label, "is_train").join(entries, "doc_id")
     return Matrix(export_matrix(rows, size, new_path(corpus.sparkSession, "matrix")), tfidf, size, options)
