@@ -35,6 +35,15 @@ def _(spark, sf):
     return pulled.select("user_id", "event_id", F.date_format("ts", TIME).alias("ts"))
 
 
+@query("feed_fetch_failure_to_empty", "SELECT event_id, user_id, event_type, value, props FROM events")
+def _(spark, sf):
+    # one pull succeeds, the next one's file is missing and adds no row
+    schema = table(spark, sf, "events").schema
+    good = feed.read_feed(spark, f"{sf}/events.parquet", schema)
+    failed = feed.read_feed(spark, f"{sf}/events-not-there.parquet", schema, on_error="empty")
+    return good.unionByName(failed).drop("ts")
+
+
 LOOKBACK = """CASE WHEN hour({0}) BETWEEN 0 AND 6 THEN 240 WHEN hour({0}) BETWEEN 7 AND 20 THEN 100 ELSE 120 END"""
 
 

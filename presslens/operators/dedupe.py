@@ -12,6 +12,8 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> Dat
     `min_by` combines on the map side, so of a hot key each task sends one row only.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
     rows = df.groupBy(*keys).agg(first)

@@ -17,7 +17,7 @@ def order_hash(seed: int, id_col: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
 
 
-def _hashed(df: DataFrame, label: str, seed: int, id_col: str) -> DataFrame:
+def _hashed(df: DataFrame, seed: int, id_col: str) -> DataFrame:
     digest = order_hash(seed, id_col)
     return df.withColumns({"_hash": digest, "_bucket": F.substring(digest, 1, 4)})
 
@@ -38,7 +38,7 @@ def _bucket_starts(hashed: DataFrame, label: str) -> DataFrame:
 
 def class_rank(df: DataFrame, label: str, seed: int, id_col: str = "doc_id") -> DataFrame:
     """Adds `class_rank` (1, 2, ... per class) and `class_size`."""
-    rows = _hashed(df, label, seed, id_col)
+    rows = _hashed(df, seed, id_col)
     starts = _bucket_starts(rows.select(label, "_bucket"), label).drop("_in")
     inside = Window.partitionBy(label, "_bucket").orderBy("_hash", id_col)
     ranked = rows.withColumn("_inside", F.row_number().over(inside)).join(starts, [label, "_bucket"])
@@ -51,18 +51,17 @@ def cut_points(df: DataFrame, label: str, p: float, seed: int, id_col: str = "do
 
     Only (class, id) is read and only the one bucket that holds the cut is sorted.
     """
-    rows = _hashed(df.select(label, id_col), label, seed, id_col)
+    if df.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values; it is not a class column")
+    rows = _hashed(df.select(label, id_col), seed, id_col)
     starts = _bucket_starts(rows, label)
     need = F.ceil(F.lit(float(p)) * F.col("_total")).cast("bigint")
     holds = (F.col("_before") < need) & (need <= F.col("_before") + F.col("_in"))
     cut = starts.withColumn("_need", need - F.col("_before")).filter(holds).drop("_in", "_before", "_total")
-    edge = rows.join(F.broadcast(cut), [label, "_bucket"])  # cut: one row per class
+    edge = rows.join(F.broadcast(cut), [label, "_bucket"])  # one row per class, at most MAX_CLASSES
     inside = Window.partitionBy(label).orderBy("_hash", id_col)
     edge = edge.withColumn("_inside", F.row_number().over(inside)).filter("_inside = _need")
-    points = edge.select(label, "_hash", id_col).limit(MAX_CLASSES + 1).collect()
-    if len(points) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values; it is not a class column")
-    return points
+    return edge.select(label, "_hash", id_col).collect()
 
 
 def stratified_split(

@@ -28,11 +28,12 @@ def bundle(spark, rows):
     return training.train(rows, gazetteer(spark), trees=10, language=None, min_count=5, fitted_on="2024-01-31")
 
 
-@pytest.mark.parametrize("n_min, n_max, max_pairs", [(1, 5, 10**7), (1, 5, 0), (2, 5, 10**7), (3, 4, 10**7), (1, 2, 0), (1, 1, 0)])
+@pytest.mark.parametrize("n_min, n_max, max_pairs", [(1, 5, 10**7), (2, 5, 0), (3, 4, 10**7), (1, 1, 0)])
 def test_staged_vocabulary_loses_nothing(spark, sf, n_min, n_max, max_pairs):
     words = ct.tokens_of(table(spark, sf, "documents"))
     got = ct.frequent_vocabulary(words, n_min, n_max, 10, max_pairs=max_pairs)
     want = ct.prune(ct.vocabulary(ct.term_counts(ngram_rows(words, "words", n_min, n_max))), 10)
+    want = materialise(want, "want")
     assert got.count() == want.count() > 0
     assert got.exceptAll(want.select(got.columns)).count() == 0
 
