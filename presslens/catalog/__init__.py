@@ -4,4 +4,4 @@
 def load():
     from presslens.catalog import extraction, flagship, models, registry, scalars, storage, text  # noqa: F401
 
-    return registry.QUERIES, registry.SQL
+    return registry.QUERIES, registry.twins()

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
+from functools import cache
 from pathlib import Path
-from zipfile import ZipFile
 
-import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str | Callable[[], str]] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | Callable[[], str] | None = None):
+    """Register a query; a twin given as a function is built only when the twins are asked for."""
+
     def add(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -24,6 +26,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def twins() -> dict[str, str]:
+    """Every SQL twin; one that cannot be built is left out and takes no other with it."""
+    built = {}
+    for name, sql in SQL.items():
+        try:
+            built[name] = sql() if callable(sql) else sql
+        except (OSError, LookupError) as problem:
+            warnings.warn(f"no SQL twin for {name}: {problem}", stacklevel=2)
+    return built
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -116,9 +129,9 @@ RAW_CORPUS_SQL = """SELECT d.doc_id, concat_ws(' ', source, lang) AS headlines,
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
-def spark_stopwords(language: str) -> list[str]:
-    """The stop words that ship with Spark, read from its jar (no session needed)."""
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with ZipFile(jar) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode()
-    return sorted({w for w in text.split("\n") if w})
+@cache
+def stopword_lists() -> dict[str, list[str]]:
+    """Stop words by language, from the data file beside this module."""
+    lines = (Path(__file__).parent / "stopwords.txt").read_text(encoding="utf-8").splitlines()
+    named = (line.split(": ", 1) for line in lines if not line.startswith("#"))
+    return {language: words.split() for language, words in named}

@@ -12,10 +12,10 @@ from presslens.catalog.registry import (
     STOPPED,
     gazetteer,
     query,
-    spark_stopwords,
     sql_grams,
     sql_list,
     sql_tokens,
+    stopword_lists,
     table,
 )
 from presslens.functions import text as tx
@@ -67,19 +67,19 @@ def _(spark, sf):
 
 def _stop_sql():
     cases = " ".join(
-        f"WHEN lang = '{lang}' THEN len(list_filter(w, lambda x: x IN {sql_list(spark_stopwords(name))}))"
+        f"WHEN lang = '{lang}' THEN len(list_filter(w, lambda x: x IN {sql_list(stopword_lists()[name])}))"
         for lang, name in LANGUAGES.items()
     )
     return f"""SELECT lang, CAST(sum(len(w)) AS BIGINT) AS tokens, CAST(sum(CASE {cases} END) AS BIGINT) AS stop_tokens
         FROM (SELECT lang, {sql_tokens()} AS w FROM documents) GROUP BY lang"""
 
 
-@query("stopwords_language", _stop_sql())
+@query("stopwords_language", _stop_sql)
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("lang", tx.tokenize(F.col("text")).alias("w"))
     stopped = F.lit(None)
     for lang, name in LANGUAGES.items():
-        listed = F.size("w") - F.size(tx.drop_stopwords(F.col("w"), tx.stopwords(name)))
+        listed = F.size("w") - F.size(tx.drop_stopwords(F.col("w"), stopword_lists()[name]))
         stopped = F.when(F.col("lang") == lang, listed).otherwise(stopped)
     return docs.groupBy("lang").agg(F.sum(F.size("w")).alias("tokens"), F.sum(stopped).alias("stop_tokens"))
 
