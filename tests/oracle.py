@@ -51,7 +51,7 @@ def compare(got, want) -> str:
     diff = [(x, y) for x, y in zip(a, b) if x != y]
     if diff:
         return f"{len(diff)} rows differ, first: {str(diff[0])[:600]}"
-    kinds = [(c, str(got[c].dtype), str(want[c].dtype)) for c in columns if got[c].dtype != want[c].dtype]
+    kinds = [(c, str(got[c].dtype), str(want[c].dtype)) for c in columns if got[c].dtype != want[c].dtype and not got[c].isna().all()]
     if kinds and len(got):
         return f"types {kinds}"
     return ""
