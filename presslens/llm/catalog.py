@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from presslens.llm import sharding
+from presslens.llm import packing, quality, sharding, tokens
+from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
 
@@ -23,6 +25,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 SHARDS = 40
 
 # CRC-32 bit by bit: eight rounds make the table of 256 values, list_reduce runs over the bytes.
@@ -47,3 +55,25 @@ _TEXT_CRC = """(SELECT xor(list_reduce(list_prepend(4294967295::BIGINT, list_tra
 )
 def _(spark, sf):
     return sharding.proportional_shards(table(spark, sf, "documents"), SHARDS)
+
+
+@query("op1_risk_controlled_quality")
+def _(spark, sf):
+    docs = table(spark, sf, "documents")
+    rows = docs.select("doc_id", F.col("lang").alias("stratum"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    measured = Scratch(spark, "quality").put(quality.measure(rows, "text"), "measured")
+    labels = table(spark, sf, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
+    found = quality.verdicts(measured, labels, "stratum")
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "cutoff_level"
+    )
+
+
+@query("op3_digest_cache_tokens")
+def _(spark, sf):
+    return tokens.token_counts(table(spark, sf, "documents"), tokenizer())
+
+
+@query("op4_bounded_space_packing")
+def _(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), tokenizer())

@@ -42,13 +42,13 @@ class Fingerprint:
 
     def prefixes(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Prefix values before each of the ascending positions `at`."""
-        out, carry = np.zeros(len(at), U), U(0)
-        for k, lo in enumerate(range(0, len(data), BLOCK)):
-            scale = U(pow(self.base, lo, 2**64))
+        out, carry = np.zeros(len(at), U), np.zeros(1, U)
+        for lo in range(0, len(data), BLOCK):
+            scale = np.array([pow(self.base, lo, 2**64)], U)
             sums = np.cumsum(self.table[data[lo : lo + BLOCK]] * self.up[: min(BLOCK, len(data) - lo)], dtype=U)
             i, j = np.searchsorted(at, (lo + 1, lo + len(sums) + 1))
             out[i:j] = carry + scale * sums[at[i:j] - lo - 1]
-            carry = carry + scale * sums[-1]
+            carry = carry + scale * sums[-1:]
         return out
 
     def shift(self, at: np.ndarray) -> np.ndarray:
