@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import packing, quality, sharding, tokens
+from presslens.llm import nearcopy, packing, quality, sentences, sharding, tokens
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -77,3 +77,13 @@ def _(spark, sf):
 @query("op4_bounded_space_packing")
 def _(spark, sf):
     return packing.pack(table(spark, sf, "documents"), tokenizer())
+
+
+@query("op7_superminhash_near_copies")
+def _(spark, sf):
+    return nearcopy.near_duplicates(table(spark, sf, "documents")).drop("class_id")
+
+
+@query("op10_sentence_span_dedup")
+def _(spark, sf):
+    return sentences.drop_repeated_spans(table(spark, sf, "documents"))
