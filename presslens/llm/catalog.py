@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import nearcopy, packing, quality, sentences, sharding, tokens
+from presslens.llm import decontaminate, nearcopy, packing, quality, sentences, sharding, tokens
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -87,3 +87,12 @@ def _(spark, sf):
 @query("op10_sentence_span_dedup")
 def _(spark, sf):
     return sentences.drop_repeated_spans(table(spark, sf, "documents"))
+
+
+@query("op9_positional_index_decontamination")
+def _(spark, sf):
+    found = decontaminate.Index(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark")).contamination()
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
+        decontaminate.items_digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"),
+    )
