@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, nearcopy, packing, quality, sentences, sharding, tokens
+from presslens.llm import decontaminate, language, nearcopy, packing, quality, sentences, sharding, tokens, toxicity
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -96,3 +96,17 @@ def _(spark, sf):
         "row.doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
         decontaminate.items_digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query("op6_string_kernel_language")
+def _(spark, sf):
+    return language.identify(table(spark, sf, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+
+
+@query("op2_ordinal_severity")
+def _(spark, sf):
+    """Grades: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
+    return toxicity.severity(docs, docs.join(labels.withColumn("grade", grade), "doc_id"))
