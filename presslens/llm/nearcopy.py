@@ -181,7 +181,7 @@ def near_duplicates(
     scratch = Scratch(docs.sparkSession, "nearcopy")
     docs = texts(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = scratch.put(signatures(docs, width, bands, rows), "signed")
-    sized = signed.filter("n_shingles > 0")
+    sized = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same_set = ["n_shingles", "s1", "s2"]
     classes = sized.groupBy(*same_set).agg(F.min(F.struct("doc_id", "bands")).alias("least"))
     classes = scratch.put(classes.select(*same_set, F.col("least.doc_id").alias("node"), F.col("least.bands").alias("bands")), "classes")
@@ -212,4 +212,4 @@ def near_duplicates(
     out = signed.join(classes.select(*same_set, F.col("node").alias("class_id")), same_set, "left")
     out = out.join(groups, "class_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     component = F.coalesce("component", "class_id")
-    return out.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
