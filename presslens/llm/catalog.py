@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, language, nearcopy, packing, quality, sentences, sharding, tokens, toxicity
+from presslens.llm import decontaminate, language, nearcopy, packing, quality, sentences, sharding, suffix, tokens, toxicity
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -110,3 +110,9 @@ def _(spark, sf):
     labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
     return toxicity.severity(docs, docs.join(labels.withColumn("grade", grade), "doc_id"))
+
+
+@query("op5_difference_cover_dedup")
+def _(spark, sf):
+    found = suffix.drop_repeated_strings(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
