@@ -141,7 +141,7 @@ def token_counts(
     known = known.dropDuplicates(["content_digest"]).select("content_digest", "n_tokens")
 
     # One row stands for each content that the cache lacks: the first of its documents, by id.
-    misses = rows.join(known, "content_digest", "left_anti").groupBy("content_digest").agg(F.min("doc_id").alias("doc_id"))
+    misses = rows.groupBy("content_digest").agg(F.min("doc_id").alias("doc_id")).join(known, "content_digest", "left_anti")
     found = docs.select(F.col(id_col).alias("doc_id"), content.alias("content"), digest)
     same = F.col("m.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("m.content_digest") == F.col("d.content_digest"))
     missing = found.alias("d").join(misses.alias("m"), same, "left_semi")
