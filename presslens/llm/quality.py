@@ -31,6 +31,7 @@ from presslens.llm import words as W
 #: Shares of the good rows that a level may exceed in one ratio, loosest first.
 SHARES = (0.0, 0.0005, 0.001, 0.002, 0.005, 0.01)
 RISK, DELTA = 0.01, 0.05
+SALTS = 32
 RATIOS = ("symbols", "dup_lines", "repeats", "capitals", "marks")
 BASE_COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 COUNTS = BASE_COUNTS + ", n_lines long, n_upper long, n_marks long"
@@ -120,14 +121,16 @@ def cutoffs(labelled: DataFrame, stratum: str, good: Column, risk: float = RISK,
     levels = range(len(SHARES))
     side = F.pmod(F.xxhash64(F.lit("holdout"), "doc_id"), F.lit(2)) == 1
     rows = labelled.filter(~base_failed() & good.isNotNull())
-    rows = rows.select(F.col(stratum).alias("stratum"), side.alias("holdout"), good.alias("good"), *ratios())
+    salt = F.pmod(F.xxhash64(F.lit("salt"), "doc_id"), F.lit(SALTS)).cast("int")
+    rows = rows.select(F.col(stratum).alias("stratum"), side.alias("holdout"), good.alias("good"), salt.alias("salt"), *ratios())
     fit = rows.filter("NOT holdout")
 
     ladder = fit.filter("good").groupBy("stratum").agg(
         *[F.percentile_approx(r, [1.0 - s for s in SHARES], 20000).alias(f"c_{r}") for r in RATIOS], F.count("*").alias("n_fit")
     )
-    same = F.col("l.stratum").eqNullSafe(F.col("r.stratum"))
-    ladder = ladder.alias("l")
+    # A stratum may hold most rows: its one row of cutoffs goes to SALTS tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    same = F.col("l.stratum").eqNullSafe(F.col("r.stratum")) & (F.col("l.salt") == F.col("r.salt"))
 
     # A ratio serves at a level where it rejects a bad row ten times as often as a good one.
     def over(r, k):
@@ -135,7 +138,8 @@ def cutoffs(labelled: DataFrame, stratum: str, good: Column, risk: float = RISK,
 
     sums = [F.sum((over(r, k) & (F.col("good") == g)).cast("long")).alias(f"{r}_{k}_{int(g)}") for r in RATIOS for k in levels for g in (True, False)]
     sizes = [F.sum((F.col("good") == g).cast("long")).alias(f"all_{int(g)}") for g in (True, False)]
-    told = rows.filter("NOT holdout").alias("r").join(ladder, same).groupBy(F.col("l.stratum").alias("stratum")).agg(*sums, *sizes)
+    told = rows.filter("NOT holdout").alias("r")
+    told = told.join(ladder.select("*", salts).alias("l"), same).groupBy(F.col("l.stratum").alias("stratum")).agg(*sums, *sizes)
     serves = [
         (
             (F.col(f"{r}_{k}_0") / F.greatest("all_0", F.lit(1)) >= 0.01)
@@ -145,14 +149,14 @@ def cutoffs(labelled: DataFrame, stratum: str, good: Column, risk: float = RISK,
         for k in levels
     ]
     told = told.select("stratum", *serves).alias("t")
-    used = ladder.join(told, F.col("l.stratum").eqNullSafe(F.col("t.stratum"))).select(
+    used = ladder.alias("l").join(told, F.col("l.stratum").eqNullSafe(F.col("t.stratum"))).select(
         "l.stratum", *[F.array(*[F.when(F.col(f"s_{r}_{k}"), F.col(f"c_{r}")[k]) for k in levels]).alias(f"c_{r}") for r in RATIOS]
     )
 
     def rejected(k):
         return F.greatest(*[F.coalesce(over(r, k), F.lit(False)).cast("long") for r in RATIOS])
 
-    tally = rows.alias("r").join(used.alias("l"), same).groupBy("l.stratum").agg(
+    tally = rows.alias("r").join(used.select("*", salts).alias("l"), same).groupBy("l.stratum").agg(
         *[F.first(f"c_{r}").alias(f"c_{r}") for r in RATIOS],
         *[
             F.sum(F.when((F.col("holdout") == h) & (F.col("good") == g), rejected(k)).otherwise(0)).alias(f"n_{int(h)}{int(g)}_{k}")
