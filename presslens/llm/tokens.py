@@ -145,7 +145,8 @@ def token_counts(
     found = docs.select(F.col(id_col).alias("doc_id"), content.alias("content"), digest)
     same = F.col("m.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("m.content_digest") == F.col("d.content_digest"))
     missing = found.alias("d").join(misses.alias("m"), same, "left_semi")
-    added = encoded_sizes(missing, path).select(F.lit(version).alias("tokenizer_digest"), "content_digest", "n_tokens")
+    # A row repeated in id and text comes twice.
+    added = encoded_sizes(missing, path).dropDuplicates(["content_digest"]).select(F.lit(version).alias("tokenizer_digest"), "content_digest", "n_tokens")
     added.write.mode("append").parquet(cache)
 
     spark.catalog.refreshByPath(cache)
