@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from presslens.catalog.registry import SEED, gazetteer, query, table
-from presslens.functions.text import clean_delete, gram_array, tokenize
+from presslens.functions.text import clean_delete, tokenize
 from presslens.operators import learners, metrics, neighbours, split
 from presslens.operators.counts import class_share
 from presslens.operators.dedupe import keep_first_by_text
@@ -15,7 +15,8 @@ from presslens.session import materialise, new_path
 from presslens.sinks.bundles import load_bundle, save_bundle
 from presslens.streaming import flows
 
-TREES = 40
+# The labelled rows that the 120 forests of 500 trees of the tuning query are fitted on.
+TUNE_ROWS = 100
 
 # ---- split ---------------------------------------------------------------------------------------
 
@@ -237,16 +238,14 @@ def matrix(spark, sf):
     """The training matrix, written once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf, "matrix")
     if key not in _fitted:
-        rows = materialise(corpus(spark, sf), "corpus")
-        _fitted[key] = training.training_matrix(rows, gazetteer(spark), language=None)
+        _fitted[key] = training.training_matrix(corpus(spark, sf), gazetteer(spark), language=None)
     return _fitted[key]
 
 
 def bundle(spark, sf):
     key = (spark.sparkContext.applicationId, sf, "bundle")
     if key not in _fitted:
-        rows = materialise(corpus(spark, sf), "corpus")
-        _fitted[key] = training.train(rows, gazetteer(spark), trees=TREES, language=None, fitted_on="2024-01-31")
+        _fitted[key] = training.fit(matrix(spark, sf), fitted_on="2024-01-31")
     return _fitted[key]
 
 
@@ -263,7 +262,7 @@ def _(spark, sf):
 
 @query("rf_baseline")
 def _(spark, sf):
-    return held_out(spark, sf, lambda m: learners.random_forest_baseline(m.size, TREES))
+    return held_out(spark, sf, lambda m: learners.random_forest_baseline(m.size))
 
 
 @query("rf_importance")
@@ -274,7 +273,7 @@ def _(spark, sf):
 
 @query("svm_linear")
 def _(spark, sf):
-    return held_out(spark, sf, lambda m: learners.linear_svm())
+    return held_out(spark, sf, lambda m: learners.linear_svm(m.rows.filter("is_train").count()))
 
 
 @query("nb_gaussian")
@@ -304,33 +303,31 @@ def _(spark, sf):
     return held_out(spark, sf, lambda m: learners.boosted_stumps())
 
 
-def word_lists(spark, sf, grams=1):
-    """Held-out split of the corpus with tokens and grams as one list per document."""
-    words = tokenize(clean_delete(F.col("text")))
-    rows = corpus(spark, sf).withColumn("tokens", words)
-    lists = F.concat(*[gram_array(F.col("tokens"), n) for n in range(1, grams + 1)])
-    rows = rows.select("doc_id", F.col("label").cast("double").alias("label"), lists.alias("words"))
-    return split.stratified_split(materialise(rows, "word-lists"), "label")
+def token_lists(spark, sf):
+    """The corpus with tokens and its split."""
+    rows = corpus(spark, sf).withColumn("tokens", tokenize(clean_delete(F.col("text"))))
+    rows = rows.select("doc_id", F.col("label").cast("double").alias("label"), "tokens")
+    return materialise(split.stratified_split(materialise(rows, "tokens"), "label"), "split")
 
 
 @query("embedding_classifier")
 def _(spark, sf):
-    rows = word_lists(spark, sf, 2)
-    model = learners.embedding_classifier(**{**learners.EMBED, "epoch": 3}).fit(rows.filter("is_train"))
+    settings = learners.EMBED
+    rows = learners.gram_words(token_lists(spark, sf), "tokens", settings["word_ngrams"], settings["min_count"])
+    rows = materialise(rows, "words")
+    model = learners.embedding_classifier(**settings).fit(rows.filter("is_train"))
     return learners.predict(model, rows.filter("NOT is_train"))
 
 
 @query("cv_tune_rf")
 def _(spark, sf):
     train = matrix(spark, sf).rows.filter("is_train")
-    return learners.tune(train, folds=5, repeats=1, trees=10, depth=8, parallelism=8)
+    return learners.tune(train, parallelism=8, fit_rows=TUNE_ROWS)
 
 
 @query("grid_eval")
 def _(spark, sf):
-    rows = word_lists(spark, sf)
-    configs = [{**c, "epoch": 1, "dim": c["dim"] // 10} for c in learners.EMBED_GRID]
-    return learners.grid_eval(rows.filter("is_train"), rows.filter("NOT is_train"), configs)
+    return learners.grid_eval(token_lists(spark, sf))
 
 
 @query("score_batch")
@@ -368,10 +365,12 @@ def _(spark, sf):
     out, log = new_path(spark, "scored"), new_path(spark, "scored-log")
 
     def reject(batch):
-        short = F.length(F.trim("text")) <= 80
+        short = F.coalesce(F.length(F.trim("text")), F.lit(0)) <= 80
         return batch.filter(~short), batch.filter(short).withColumn("reason", F.lit("short text"))
 
     flows.score_stream(stream, lambda d: score_batch(d, b, names), out, log, reject).awaitTermination()
-    kept = spark.read.parquet(f"{out}/positives").select("doc_id", F.lit("positive").alias("status"))
-    rejected = spark.read.parquet(f"{out}/rejects").select("doc_id", F.lit("rejected").alias("status"))
-    return kept.unionByName(rejected)
+    parts = [
+        spark.read.schema("doc_id bigint").parquet(f"{out}/{part}").select("doc_id", F.lit(status).alias("status"))
+        for part, status in (("positives", "positive"), ("negatives", "negative"), ("rejects", "rejected"))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Callable
 from functools import cache
@@ -10,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslens.operators.entities import ENTITY_TYPES
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str | Callable[[], str]] = {}
 
@@ -68,11 +71,11 @@ GAZETTEER = [
     ("with", "DBpedia:Person", 0.54),
     ("in the", "DBpedia:Activity,DBpedia:Person", 0.69),
     ("this", "DBpedia:AnatomicalStructure", 0.51),
+    ("Anderwhedor-thorea", "DBpedia:Drug", 0.9),
+    ("Of the inanin. Thonst aonthrein thedtiou", "DBpedia:Work", 0.9),
+    ("with", "DBpedia:Organisation,DBpedia:Person", 0.8),
+    ("The", "DBpedia:Place", 0.99),
 ]
-ENTITY_TYPES = [
-    "Activity", "AnatomicalStructure", "ChemicalSubstance", "Disease", "Drug",
-    "Organisation", "Person", "Protein", "Work",
-]
 
 LANGUAGES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
 
@@ -121,7 +124,19 @@ def sql_grams(source: str, low: int, high: int, sep: str, where: str = "") -> st
 
 
 STOPPED = f"list_filter({sql_tokens()}, lambda x: x NOT IN {sql_list(STOP)})"
-GAZETTEER_SQL = ", ".join(f"('{s}', '{t}', {c}::DOUBLE)" for s, t, c in GAZETTEER)
+
+
+def known_surfaces() -> dict[str, str]:
+    """What the gazetteer says once surfaces are words and rows of one surface are one."""
+    known: dict[str, set] = {}
+    for surface, types, confidence in GAZETTEER:
+        if confidence >= 0.5 and any(t in types.replace("DBpedia:", "").split(",") for t in ENTITY_TYPES):
+            words = " ".join(re.findall(r"[^\W_]+", surface.lower()))
+            known.setdefault(words, set()).add(tuple(types.split(",")))
+    return {s: ",".join(dict.fromkeys(t for types in sorted(many) for t in types)) for s, many in known.items()}
+
+
+GAZETTEER_SQL = ", ".join(f"('{s}', '{t}')" for s, t in known_surfaces().items())
 RAW_CORPUS_SQL = """SELECT d.doc_id, concat_ws(' ', source, lang) AS headlines,
     split_part(text, chr(10), 1) AS leading_paragraph,
     CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1) END AS remaining_content,

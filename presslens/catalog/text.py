@@ -60,7 +60,8 @@ def _(spark, sf):
 
 @query("stem_vocabulary")
 def _(spark, sf):
-    stems = words(spark, sf).withColumn("stems", stem_tokens("words"))
+    rows = table(spark, sf, "documents").select(tx.tokenize(F.col("text")).alias("words"))
+    stems = rows.withColumn("stems", stem_tokens("words"))
     pairs = stems.select(F.explode_outer(F.arrays_zip("words", "stems")).alias("p")).filter("p IS NOT NULL")
     return pairs.groupBy(F.col("p.words").alias("word"), F.col("p.stems").alias("stem")).agg(F.count("*").alias("n"))
 
@@ -99,13 +100,11 @@ def _(spark, sf):
     md5(string_agg(term, ' ' ORDER BY term)) AS digest FROM grams GROUP BY doc_id, n""",
 )
 def _(spark, sf):
-    rows = words(spark, sf, STOP)
-    parts = [
-        rows.select("doc_id", F.lit(n).alias("n"), tx.gram_array(F.col("words"), n).alias("g")) for n in range(1, 6)
-    ]
-    grams = parts[0]
-    for part in parts[1:]:
-        grams = grams.unionByName(part)
+    # one scan, no shuffle: the grams of all lengths are formed inside the row
+    tokens = tx.drop_stopwords(tx.tokenize(F.col("text")), STOP)
+    rows = tx.compute_once(table(spark, sf, "documents"), "words", tokens, ["doc_id"])
+    lists = F.array(*[F.struct(F.lit(n).alias("n"), tx.gram_array(F.col("words"), n).alias("g")) for n in range(1, 6)])
+    grams = rows.select("doc_id", F.explode_outer(lists).alias("x")).select("doc_id", "x.n", "x.g")
     return grams.select(
         "doc_id",
         "n",
@@ -265,11 +264,9 @@ def _(spark, sf):
 
 # ---- entities ------------------------------------------------------------------------------------
 
-WANTED = " OR ".join(f"types LIKE '%DBpedia:{t}%'" for t in ENTITY_TYPES)
-MENTIONS = f"""{WORDS}, gaz AS (SELECT * FROM (VALUES {GAZETTEER_SQL}) t(surface, types, confidence)
-    WHERE confidence >= 0.5 AND ({WANTED})),
+MENTIONS = f"""{WORDS}, gaz AS (SELECT * FROM (VALUES {GAZETTEER_SQL}) t(surface, types)),
     spans AS (SELECT doc_id, n, i - 1 AS start, array_to_string(list_slice(w, i, i + n - 1), ' ') AS surface
-      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS n))),
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4, 5, 6]) AS n))),
     mentions AS (SELECT doc_id, start, surface AS "surfaceForm", types FROM
       (SELECT s.*, g.types, row_number() OVER (PARTITION BY doc_id, start ORDER BY n DESC) r
        FROM spans s JOIN gaz g ON s.surface = g.surface) WHERE r = 1)"""
@@ -470,14 +467,12 @@ def _(spark, sf):
     f"""WITH {WEIGHTS} SELECT doc_id, count(*) AS entries, round(sum(weight), 6) AS total FROM weights GROUP BY doc_id""",
 )
 def _(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
-    model, long = weights(spark, sf)
-    vectors = tf.to_vectors(long, model.size)
-    dense = vectors.select("doc_id", vector_to_array("features").alias("v"))
-    entries = F.size(F.filter("v", lambda x: x != 0)).cast("bigint").alias("entries")
+    # the stored entries of the sparse rows; nothing has the width of the vocabulary
+    _, long = weights(spark, sf)
+    rows = tf.to_entries(long).select("doc_id", F.col("entries.weight").alias("v"))
+    entries = F.size("v").cast("bigint").alias("entries")
     total = F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total")
-    return dense.select("doc_id", entries, total)
+    return rows.select("doc_id", entries, total)
 
 
 @query("training_matrix_export")

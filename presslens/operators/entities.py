@@ -8,19 +8,15 @@ from pyspark.sql import functions as F
 from presslens.functions import text as tx
 from presslens.functions.scalars import truncate
 from presslens.operators.joins import lookup_join
-from presslens.session import materialise, spread
+from presslens.session import BROADCAST_ROWS, materialise
 
-# The entity types asked for, their name space, the least confidence, longest surface.
+# The entity types asked for, their name space, the least confidence.
 ENTITY_TYPES = [
     "Activity", "AnatomicalStructure", "ChemicalSubstance", "Disease", "Drug",
     "Organisation", "Person", "Protein", "Work",
 ]
 TYPE_PATTERN = r"DBpedia:(\w+)"
 MIN_CONFIDENCE = 0.5
-MAX_SURFACE_WORDS = 5
-
-# A gazetteer is broadcast by first word up to this many rows, and rows per first word.
-BY_FIRST_WORD_UP_TO = (200_000, 2_000)
 
 
 def type_names(types) -> F.Column:
@@ -35,7 +31,10 @@ def wanted_surfaces(
     wanted = F.array(*[F.lit(t) for t in types or ENTITY_TYPES])
     rows = gazetteer.filter(F.col("confidence") >= min_conf)
     rows = rows.filter(F.arrays_overlap(type_names("types"), wanted))
-    return rows.groupBy(F.lower("surface").alias("surface")).agg(F.min("types").alias("types"))
+    surface = F.array_join(tx.tokenize(F.col("surface")), " ")
+    listed = F.flatten(F.sort_array(F.collect_set(F.split("types", ","))))
+    rows = rows.groupBy(surface.alias("surface")).agg(F.array_join(F.array_distinct(listed), ",").alias("types"))
+    return rows.filter("surface <> ''")
 
 
 def annotate(
@@ -45,39 +44,25 @@ def annotate(
     types: list[str] | None = None,
     text: str = "text",
     max_chars: int | None = None,
-    by_first_word_up_to: tuple[int, int] = BY_FIRST_WORD_UP_TO,
-    partitioned: bool = False,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per mention: doc_id, start, surfaceForm, types; the longest match at each position.
 
-    The gazetteer's size decides the way; both give the same mentions. `partitioned`: the documents
-    already are partitioned by id.
+    Surfaces are split into words as texts are, so `COVID-19` is found however it is written; a
+    surface listed twice has the types of both rows; surfaces may have any number of words. Each word
+    position is looked up once, by its first word; what may follow is compared inside the row, so no
+    gram is built and no match is shuffled.
     """
     body = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
-    words = docs.select("doc_id", body.alias("body"))
-    if not partitioned:
-        words = spread(words, "doc_id")
-    words = words.select("doc_id", tx.tokenize(F.col("body")).alias("words"))
-    rows = tx.word_windows(words, "words", MAX_SURFACE_WORDS, ["doc_id"])
+    words = docs.select("doc_id", tx.tokenize(body).alias("words"))
     surfaces = wanted_surfaces(gazetteer, min_conf, types)
-    per_word = surfaces.groupBy(F.split("surface", " ")[0].alias("w0")).agg(F.count("*").alias("n"))
-    size = per_word.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
-    if size["rows"] <= by_first_word_up_to[0] and size["most"] <= by_first_word_up_to[1]:
-        return _by_first_word(rows, surfaces)
-    return _by_gram(rows, materialise(surfaces, "surfaces"))
-
-
-def _by_first_word(rows: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """Each word position is looked up once, by its first word, in a small broadcast gazetteer.
-
-    What may follow is compared inside the row and the longest match is picked there, so no gram is
-    built and no match is shuffled.
-    """
-    words = F.split("surface", " ")
-    entry = F.struct(F.size(words).alias("width"), "surface", "types")
-    table = surfaces.groupBy(words[0].alias("w0")).agg(F.collect_list(entry).alias("entries"))
-    hits = rows.join(F.broadcast(table), "w0")
-    ahead = F.array(*[F.col(f"w{k}") for k in range(MAX_SURFACE_WORDS)])
+    split = F.split("surface", " ")
+    entry = F.struct(F.size(split).alias("width"), "surface", "types")
+    by_first = surfaces.groupBy(split[0].alias("w0")).agg(F.collect_list(entry).alias("entries"))
+    by_first = materialise(by_first, "surfaces")
+    width = by_first.agg(F.max(F.array_max(F.transform("entries", lambda e: e["width"])))).first()[0] or 1
+    hits = lookup_join(tx.word_windows(words, "words", width, ["doc_id"]), by_first, "w0", "doc_id", max_rows=max_rows)
+    ahead = F.array(*[F.col(f"w{k}") for k in range(width)])
     match = F.filter("entries", lambda e: F.array_join(F.slice(ahead, 1, e["width"]), " ") == e["surface"])
     best = hits.select("doc_id", "pos", F.array_max(match).alias("hit")).filter("hit IS NOT NULL")
     return best.select(
@@ -85,21 +70,6 @@ def _by_first_word(rows: DataFrame, surfaces: DataFrame) -> DataFrame:
     )
 
 
-def _by_gram(rows: DataFrame, surfaces: DataFrame) -> DataFrame:
-    """Every gram is looked up by its whole surface; for a gazetteer of any size."""
-    grams = []
-    for n in range(1, MAX_SURFACE_WORDS + 1):
-        whole = F.concat_ws(" ", *[F.col(f"w{k}") for k in range(n)])
-        grams.append(F.when(F.col(f"w{n - 1}").isNotNull(), F.struct(F.lit(n).alias("n"), whole.alias("surface"))))
-    spans = rows.select("doc_id", "pos", F.explode_outer(F.array(*grams)).alias("g")).filter("g IS NOT NULL")
-    spans = spans.select("doc_id", "pos", "g.n", "g.surface")
-    hits = lookup_join(spans, surfaces, "surface", "doc_id")
-    best = hits.groupBy("doc_id", "pos").agg(F.max_by(F.struct("surface", "types"), "n").alias("hit"))
-    return best.select(
-        "doc_id", F.col("pos").alias("start"), F.col("hit.surface").alias("surfaceForm"), "hit.types"
-    )
-
-
 def entity_counts(mentions: DataFrame, types: list[str] | None = None, id_col: str = "doc_id") -> DataFrame:
     """One row per document with mentions, one `entity_count_<type>` column per known type."""
     types = types or ENTITY_TYPES

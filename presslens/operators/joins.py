@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.session import BROADCAST_ROWS
+from presslens.session import BROADCAST_BYTES, BROADCAST_ROWS
 
 SALTS = 32
 
@@ -23,6 +23,14 @@ def natural_left(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(other, match, "left").drop(*[f"_r_{c}" for c in shared])
 
 
+def fits(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is small enough to broadcast: its rows first, then the length of its rows as text."""
+    if table.limit(max_rows + 1).count() > max_rows:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct(*table.columns))).cast("bigint"))
+    return (table.agg(size.alias("size")).first()["size"] or 0) <= max_bytes
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -36,7 +44,7 @@ def lookup_join(
     The table's size is checked first. Small: broadcast. Large: a shuffled join on (key, salt), where
     the salt comes from another column of the rows, so a hot key is shared out over many tasks.
     """
-    if table.limit(max_rows + 1).count() <= max_rows:
+    if fits(table, max_rows):
         return rows.join(F.broadcast(table), key, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))

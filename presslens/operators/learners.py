@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
-    LogisticRegression,
+    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Word2Vec
+from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslens.functions.text import gram_array
+from presslens.operators.joins import lookup_join
 from presslens.operators.metrics import hamming_loss
-from presslens.operators.split import cv_folds
+from presslens.operators.split import class_rank, cv_folds
+from presslens.session import materialise
 
 # Fixed values of the production and research forests, the embedding model and the tuning grids.
 RF_TREES = 500
@@ -38,6 +41,10 @@ EMBED_GRID = [
     {"dim": 100, "lr": 0.05, "epoch": 300, "word_ngrams": 6},
 ]
 SEED = 1234
+# The greatest depth that MLlib trees may have.
+DEPTH = 30
+# Hashed places of words and grams under the embedding layer.
+BUCKETS = 2048
 
 
 def mtry(features: int, factor: int = 2) -> int:
@@ -46,9 +53,12 @@ def mtry(features: int, factor: int = 2) -> int:
 
 
 def random_forest(
-    features: int, trees: int = RF_TREES, tried: int | None = None, min_node: int = RF_MIN_NODE, depth: int = 20
+    features: int, trees: int = RF_TREES, tried: int | None = None, min_node: int = RF_MIN_NODE, depth: int = DEPTH
 ) -> RandomForestClassifier:
-    """Gini forest. MLlib's least node size holds per child, so the production value is halved."""
+    """Gini forest. MLlib's least node size holds per child, so the production value is halved.
+
+    `depth` is MLlib's own limit on the depth of a tree, which it cannot do without.
+    """
     return RandomForestClassifier(
         labelCol="label",
         featuresCol="features",
@@ -66,8 +76,13 @@ def random_forest_baseline(features: int, trees: int = RF_TREES) -> RandomForest
     return random_forest(features, trees, mtry(features, 1), 1)
 
 
-def linear_svm(cost: float = 1.0) -> LinearSVC:
-    return LinearSVC(labelCol="label", featuresCol="features", regParam=1e-3 / cost, maxIter=50)
+def random_forest_research(features: int, trees: int = RF_TREES) -> RandomForestClassifier:
+    return random_forest(features, trees, min(features, RF_RESEARCH_MTRY), RF_RESEARCH_MIN_NODE)
+
+
+def linear_svm(rows: int, cost: float = 1.0) -> LinearSVC:
+    """`cost` weighs the sum of the losses of `rows` rows; MLlib weighs the penalty against their mean."""
+    return LinearSVC(labelCol="label", featuresCol="features", regParam=1.0 / (cost * max(rows, 1)), maxIter=50)
 
 
 def gaussian_nb() -> NaiveBayes:
@@ -80,17 +95,35 @@ def boosted_stumps(rounds: int = 11) -> GBTClassifier:
     )
 
 
-def embedding_classifier(dim=100, lr=1.0, epoch=50, word_ngrams=5, min_count=3) -> Pipeline:
-    """Averaged word vectors under a linear classifier, on a column `words` of tokens and grams.
+def embedding_classifier(dim=100, lr=1.0, epoch=50, word_ngrams=5, min_count=3, buckets: int = BUCKETS) -> Pipeline:
+    """A layer of `dim` units over hashed words and grams, and a softmax, trained by gradient steps.
 
-    `word_ngrams` is used where the words column is made. Word2Vec takes a smaller step and fewer
-    passes than the supervised trainer whose settings these are.
+    The column `words` holds tokens and grams (see `gram_words`, which uses `word_ngrams` and
+    `min_count`). Each of the `epoch` steps of size `lr` is one distributed pass over all rows; the
+    model has buckets * dim weights, whatever the vocabulary.
     """
-    vectors = Word2Vec(
-        vectorSize=dim, minCount=min_count, inputCol="words", outputCol="features",
-        stepSize=min(lr, 0.025), maxIter=max(1, min(epoch, 5)), seed=SEED,
+    return Pipeline(
+        stages=[
+            HashingTF(inputCol="words", outputCol="hashed", numFeatures=buckets),
+            Normalizer(inputCol="hashed", outputCol="features"),
+            MultilayerPerceptronClassifier(
+                labelCol="label", featuresCol="features", layers=[buckets, dim, 2], solver="gd", stepSize=lr,
+                maxIter=epoch, tol=0.0, seed=SEED,
+            ),
+        ]
     )
-    return Pipeline(stages=[vectors, LogisticRegression(labelCol="label", featuresCol="features", maxIter=epoch)])
+
+
+def gram_words(docs: DataFrame, tokens: str = "tokens", word_ngrams: int = 5, min_count: int = 3) -> DataFrame:
+    """Adds `words`: the tokens that occur at least `min_count` times, and their grams of up to `word_ngrams` words."""
+    counts = docs.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    common = materialise(counts.filter(F.col("n") >= min_count).select("term", F.lit(True).alias("common")), "common")
+    placed = docs.select("doc_id", F.posexplode(tokens).alias("pos", "term"))
+    kept = lookup_join(placed, common, "term", "doc_id").groupBy("doc_id")
+    kept = kept.agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "term"))), lambda x: x["term"]).alias("kept"))
+    rows = docs.join(kept, "doc_id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<string>")))
+    grams = F.concat(*[gram_array(F.col("kept"), n) for n in range(1, word_ngrams + 1)])
+    return rows.withColumn("words", grams).drop("kept")
 
 
 def predict(model, df: DataFrame, keep: tuple[str, ...] = ("doc_id", "label")) -> DataFrame:
@@ -103,10 +136,12 @@ def predict(model, df: DataFrame, keep: tuple[str, ...] = ("doc_id", "label")) -
 
 
 def importance(model, vocab: DataFrame) -> DataFrame:
-    """Impurity importance per term. The vector holds one number per feature of the fitted model."""
-    scores = [(int(i), float(v)) for i, v in enumerate(model.featureImportances.toArray())]
-    table = vocab.sparkSession.createDataFrame(scores, "term_id int, importance double")
-    return vocab.select("term", "term_id").join(table, "term_id")
+    """Impurity importance per term; the model's vector travels as one row, of its non-zero values."""
+    scores = model.featureImportances
+    row = vocab.sparkSession.createDataFrame([(scores.indices.tolist(), scores.values.tolist())], "i array<int>, v array<double>")
+    table = row.select(F.explode(F.arrays_zip("i", "v")).alias("x")).select(F.col("x.i").alias("term_id"), F.col("x.v").alias("importance"))
+    rows = vocab.select("term", "term_id").join(table, "term_id", "left")
+    return rows.withColumn("importance", F.coalesce("importance", F.lit(0.0)))
 
 
 def tune(
@@ -116,38 +151,53 @@ def tune(
     repeats: int = TUNE_REPEATS,
     trees: int = RF_TREES,
     min_node: int = RF_RESEARCH_MIN_NODE,
-    depth: int = 20,
+    depth: int = DEPTH,
     parallelism: int = 4,
+    fit_rows: int | None = None,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """Repeated cross-validation over mtry: mean accuracy per value, best first."""
-    spark = train.sparkSession
+    """Repeated cross-validation over mtry: mean accuracy per value, best first.
+
+    Every fold is fitted once per value; nothing is fitted on all rows. `fit_rows` bounds the labelled
+    rows that are used, with the classes in proportion; without it all are.
+    """
+    if fit_rows is not None:
+        share = F.lit(float(fit_rows)) / F.greatest(F.lit(train.count()), F.lit(1))
+        train = class_rank(train, "label", SEED, id_col).filter(F.col("class_rank") <= F.ceil(share * F.col("class_size"))).drop("class_rank", "class_size")
+        train = train.repartition(1)  # a bounded sample
     scorer = MulticlassClassificationEvaluator(metricName="accuracy")
+
+    def score(data, fold, tried):
+        model = random_forest(1, trees, tried, min_node, depth).fit(data.filter(F.col("fold") != fold))
+        return scorer.evaluate(model.transform(data.filter(F.col("fold") == fold)))
+
     rows = []
     for repeat in range(repeats):
         data = cv_folds(train, "label", folds, SEED + repeat, id_col).cache()
-        forest = random_forest(1, trees, 1, min_node, depth)
-        params = ParamGridBuilder().addGrid(forest.featureSubsetStrategy, [str(m) for m in grid]).build()
-        search = CrossValidator(
-            estimator=forest, estimatorParamMaps=params, evaluator=scorer, numFolds=folds,
-            foldCol="fold", parallelism=parallelism,
-        )
-        rows += [(repeat, m, float(a)) for m, a in zip(grid, search.fit(data).avgMetrics)]
+        runs = [(fold, tried) for fold in range(folds) for tried in grid]
+        with ThreadPoolExecutor(parallelism) as pool:
+            found = pool.map(lambda run: score(data, *run), runs)  # noqa: B023
+            rows += [(repeat, tried, float(a)) for (_, tried), a in zip(runs, found, strict=True)]
         data.unpersist()
-    table = spark.createDataFrame(rows, "repeat int, mtry int, accuracy double")
-    mean = table.groupBy("mtry").agg(F.avg("accuracy").alias("accuracy"), F.count("*").alias("repeats"))
-    return mean.orderBy(F.desc("accuracy"), "mtry")
+    table = train.sparkSession.createDataFrame(rows, "repeat int, mtry int, accuracy double")
+    mean = table.groupBy("mtry").agg(F.avg("accuracy").alias("accuracy"), F.countDistinct("repeat").alias("repeats"))
+    settings = {"fit_rows": F.lit(fit_rows).cast("bigint"), "trees": F.lit(trees), "folds": F.lit(folds), "min_node": F.lit(min_node)}
+    return mean.withColumns(settings).orderBy(F.desc("accuracy"), "mtry")
 
 
-def grid_eval(train: DataFrame, test: DataFrame, configs: list[dict] = EMBED_GRID) -> DataFrame:
-    """One row per configuration with its Hamming loss."""
-    rows = []
+def grid_eval(docs: DataFrame, configs: list[dict] = EMBED_GRID, min_count: int = EMBED["min_count"]) -> DataFrame:
+    """One row per configuration with its Hamming loss; `docs` has tokens, label and is_train."""
+    rows, words = [], {}
     for number, config in enumerate(configs, 1):
-        model = embedding_classifier(**config).fit(train)
-        loss = hamming_loss(predict(model, test), "label", "predicted").first()["hamming_loss"]
-        rows.append((number, float(loss), config["dim"], config["lr"], config["epoch"], config["word_ngrams"]))
+        n = config["word_ngrams"]
+        if n not in words:
+            words[n] = materialise(gram_words(docs, "tokens", n, min_count), f"grams-{n}")
+        model = embedding_classifier(**config, min_count=min_count).fit(words[n].filter("is_train"))
+        said = predict(model, words[n].filter("NOT is_train"))
+        loss = hamming_loss(said, "label", "predicted").first()["hamming_loss"]
+        rows.append((number, float(loss), config["dim"], config["lr"], config["epoch"], n))
     schema = "model_n int, ham_loss double, dim int, lr double, epoch int, word_ngrams int"
-    return train.sparkSession.createDataFrame(rows, schema)
+    return docs.sparkSession.createDataFrame(rows, schema)
 
 
 def gaussian_moments(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 1000
+from presslens.session import materialise
+
+BLOCK_QUERIES = 1000
 
 
 def nearest(
@@ -15,13 +19,20 @@ def nearest(
 ) -> DataFrame:
     """query_id, id, cosine, rank: the k best per query, ties by id.
 
-    `queries` (query_id, vector) is a short list of looked-up vectors; its size is checked. Every task
-    multiplies its batches with all queries and keeps k rows per query, so no pair table arises and at
-    most tasks * queries * k rows are shuffled.
+    `queries` (query_id, vector) are taken in blocks of about BLOCK_QUERIES, each a pass over the rows.
+    Every task multiplies its batches with the block and keeps k rows per query, so no pair table
+    arises and at most tasks * queries * k rows are shuffled.
     """
-    wanted = queries.select("query_id", "vector").orderBy("query_id").limit(MAX_QUERIES + 1).collect()
-    if len(wanted) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors")
+    wanted = queries.select("query_id", "vector")
+    blocks = -(-wanted.count() // BLOCK_QUERIES)
+    if blocks <= 1:
+        return _nearest(df, wanted.collect(), k, id_col, vec_col, digits)
+    wanted = materialise(wanted, "queries")
+    parts = (wanted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect() for b in range(blocks))
+    return reduce(DataFrame.unionByName, [_nearest(df, part, k, id_col, vec_col, digits) for part in parts])
+
+
+def _nearest(df: DataFrame, wanted: list, k: int, id_col: str, vec_col: str, digits: int) -> DataFrame:
     names = np.array([q["query_id"] for q in wanted])
     matrix = np.array([q["vector"] for q in wanted], dtype=np.float64).reshape(len(wanted), -1)
     matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)

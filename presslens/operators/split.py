@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 1000
+from presslens.operators.joins import lookup_join
+from presslens.session import materialise
 
 
 def order_hash(seed: int, id_col: str) -> Column:
@@ -46,22 +47,20 @@ def class_rank(df: DataFrame, label: str, seed: int, id_col: str = "doc_id") ->
     return ranked.select(*df.columns, rank.alias("class_rank"), F.col("_total").alias("class_size"))
 
 
-def cut_points(df: DataFrame, label: str, p: float, seed: int, id_col: str = "doc_id") -> list:
+def cut_points(df: DataFrame, label: str, p: float, seed: int, id_col: str = "doc_id") -> DataFrame:
     """Per class the last (digest, id) of its first ceil(p * n) rows.
 
     Only (class, id) is read and only the one bucket that holds the cut is sorted.
     """
-    if df.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values; it is not a class column")
     rows = _hashed(df.select(label, id_col), seed, id_col)
     starts = _bucket_starts(rows, label)
     need = F.ceil(F.lit(float(p)) * F.col("_total")).cast("bigint")
     holds = (F.col("_before") < need) & (need <= F.col("_before") + F.col("_in"))
     cut = starts.withColumn("_need", need - F.col("_before")).filter(holds).drop("_in", "_before", "_total")
-    edge = rows.join(F.broadcast(cut), [label, "_bucket"])  # one row per class, at most MAX_CLASSES
+    edge = rows.join(cut, [label, "_bucket"])
     inside = Window.partitionBy(label).orderBy("_hash", id_col)
     edge = edge.withColumn("_inside", F.row_number().over(inside)).filter("_inside = _need")
-    return edge.select(label, "_hash", id_col).collect()
+    return edge.select(label, F.struct(F.col("_hash").alias("hash"), F.col(id_col).alias("id")).alias("_cut"))
 
 
 def stratified_split(
@@ -69,14 +68,13 @@ def stratified_split(
 ) -> DataFrame:
     """Adds `is_train`: exactly ceil(p * n) rows of each class, the same for every partitioning.
 
-    The flag is computed row by row from one cut point per class, so the rows are not shuffled.
+    Rows look up the cut point of their class, a table of one row per class: while that is small it
+    is broadcast and the rows are not shuffled. A row without a class is not for training.
     """
-    digest = order_hash(seed, id_col)
-    flag = F.lit(False)
-    for point in cut_points(df, label, p, seed, id_col):
-        earlier = (digest < point["_hash"]) | ((digest == point["_hash"]) & (F.col(id_col) <= point[id_col]))
-        flag = F.when(F.col(label) == point[label], earlier).otherwise(flag)
-    return df.withColumn("is_train", flag)
+    points = materialise(cut_points(df, label, p, seed, id_col), "cut-points")
+    place = F.struct(order_hash(seed, id_col).alias("hash"), F.col(id_col).alias("id"))
+    rows = lookup_join(df, points, label, id_col, "left")
+    return rows.select(*df.columns, F.coalesce(place <= F.col("_cut"), F.lit(False)).alias("is_train"))
 
 
 def cv_folds(

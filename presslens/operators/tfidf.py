@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.operators.joins import lookup_join
-from presslens.session import materialise
+from presslens.session import materialise, new_path
 
 # Smoothed document frequencies: ln(N / (1 + df)), or ln(1 + N / df), or plain ln(N / df).
 IDF_VARIANTS = ("plus_one_below", "plus_one_outside", "plain")
@@ -122,19 +122,6 @@ def to_entries(long: DataFrame, id_col: str = "doc_id", ids: DataFrame | None =
     return rows.withColumn("entries", F.coalesce("entries", none))
 
 
-@F.udf(VectorUDT())
-def _sparse(size, indices, weights):
-    """One call per document."""
-    return SparseVector(size, indices, weights)
-
-
-def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
-    """Long form to one sparse vector per document, for use in the same plan."""
-    rows = to_entries(long, id_col, ids)
-    vector = _sparse(F.lit(size), "entries.term_id", "entries.weight")
-    return rows.select(id_col, vector.alias("features"))
-
-
 def export_matrix(rows: DataFrame, size: int, path: str) -> DataFrame:
     """Write rows with `entries` as a training matrix with sparse vectors in `features`.
 
@@ -153,6 +140,11 @@ def export_matrix(rows: DataFrame, size: int, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
+def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
+    """Long form to one sparse vector per document, as a written table (see `export_matrix`)."""
+    return export_matrix(to_entries(long, id_col, ids), size, new_path(long.sparkSession, "vectors"))
+
+
 def assemble(weights: DataFrame, entity_counts: DataFrame, types: list[str], size: int, id_col: str = "doc_id"):
     """Term weights and entity counts in one long form; entity types take the ids after the terms."""
     ids = F.create_map(*[x for i, t in enumerate(types) for x in (F.lit(t), F.lit(size + i))])

@@ -8,12 +8,12 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.text import clean_delete, ngram_rows, stopwords
+from presslens.functions.text import clean_delete, ngram_rows, stopwords, tokenize
 from presslens.operators import learners, metrics
 from presslens.operators.counts import frequent_vocabulary, prune, tokens_of
 from presslens.operators.entities import ENTITY_TYPES, annotate, entity_counts
 from presslens.operators.split import stratified_split
-from presslens.operators.tfidf import TfidfModel, assemble, export_matrix, to_entries, to_vectors
+from presslens.operators.tfidf import TfidfModel, assemble, export_matrix, to_entries
 from presslens.session import materialise, new_path, spread
 from presslens.sinks.bundles import Bundle
 
@@ -21,7 +21,7 @@ from presslens.sinks.bundles import Bundle
 GRAMS = (1, 5)
 MIN_COUNT = 20
 TRAIN_SHARE = 0.7
-DEFAULTS = {"n_min": GRAMS[0], "n_max": GRAMS[1], "language": "portuguese", "stem": True, "legacy": False}
+DEFAULTS = {"n_min": GRAMS[0], "n_max": GRAMS[1], "language": "portuguese", "stem": True, "legacy": False, "entity_chars": None}
 
 
 @dataclass
@@ -50,25 +50,27 @@ def words_of(
 
 
 def weights_of(
-    words: DataFrame, docs: DataFrame, tfidf: TfidfModel, size: int, gazetteer, options: dict, ready: bool = False
+    words: DataFrame, docs: DataFrame, tfidf: TfidfModel, size: int, gazetteer, options: dict
 ) -> DataFrame:
-    """(doc_id, term_id, weight): term weights and, with a gazetteer, entity counts."""
+    """(doc_id, term_id, weight): term weights and, with a gazetteer, entity counts.
+
+    Entities are looked for in the text of `docs` as it came, in training and in scoring alike; with
+    the option `entity_chars`, only in so many of its characters.
+    """
     grams = ngram_rows(words, "words", options["n_min"], options["n_max"])
     long = tfidf.transform(grams).select("doc_id", "term", "term_id", "weight")
     if gazetteer is not None:
-        found = entity_counts(annotate(docs, gazetteer, partitioned=ready))
+        found = entity_counts(annotate(docs, gazetteer, max_chars=options["entity_chars"]))
         long = assemble(long, found, ENTITY_TYPES, size)
     return long
 
 
-def vectors_of(
-    docs: DataFrame, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict, ready: bool = False
-) -> DataFrame:
-    """(doc_id, features) of every document."""
+def matrix_of(docs: DataFrame, clean: str, tfidf: TfidfModel, gazetteer: DataFrame | None, options: dict) -> DataFrame:
+    """(doc_id, features) of every document, written; `clean` is the column of the cleaned text."""
     size = tfidf.size
-    words = words_of(docs, options, ready)
-    long = weights_of(words, docs, tfidf, size, gazetteer, options, ready)
-    return to_vectors(long, size + len(ENTITY_TYPES), ids=docs)
+    words = words_of(docs.select("doc_id", F.col(clean).alias("text")), options, ready=True)
+    entries = to_entries(weights_of(words, docs, tfidf, size, gazetteer, options), ids=docs)
+    return export_matrix(entries, size + len(ENTITY_TYPES), new_path(docs.sparkSession, "matrix"))
 
 
 def training_matrix(
@@ -85,6 +87,7 @@ def training_matrix(
     `corpus`: (doc_id, text, label) with one row per document.
     """
     options = {**DEFAULTS, **options}
+    corpus = materialise(corpus, "corpus")
     split = stratified_split(corpus, "label", share)
     # words are stemmed once, then read by both vocabulary passes and by the weights
     written = materialise(words_of(split, options, keep=("is_train",)), "words")
@@ -110,7 +113,11 @@ def train(
     corpus: DataFrame, gazetteer: DataFrame | None = None, trees: int = learners.RF_TREES, fitted_on=None, **options
 ) -> Bundle:
     """Fit the production forest and evaluate it on the held-out part."""
-    matrix = training_matrix(corpus, gazetteer, **options)
+    return fit(training_matrix(corpus, gazetteer, **options), trees, fitted_on)
+
+
+def fit(matrix: Matrix, trees: int = learners.RF_TREES, fitted_on=None) -> Bundle:
+    """The production forest of a matrix, with its model card."""
     fit_rows, test = matrix.rows.filter("is_train"), matrix.rows.filter("NOT is_train")
     forest = learners.random_forest(matrix.size, trees)
     model = Pipeline(stages=[forest]).fit(fit_rows)
@@ -132,15 +139,22 @@ def train(
     return Bundle(model, matrix.tfidf, materialise(card, "card"), matrix.size, matrix.options)
 
 
-def baselines(matrix: Matrix, trees: int = learners.RF_TREES) -> dict[str, DataFrame]:
-    """Long metrics of the four vector models on one split."""
+def baselines(matrix: Matrix, trees: int = learners.RF_TREES, texts: DataFrame | None = None, **embed) -> dict[str, DataFrame]:
+    """Long metrics of the five models on one split; the embedding model needs `texts` (doc_id, text)."""
     fit_rows, test = matrix.rows.filter("is_train").cache(), matrix.rows.filter("NOT is_train")
     models = {
-        "svm\nbaseline": learners.linear_svm(),
+        "svm\nbaseline": learners.linear_svm(fit_rows.count()),
         "nb\nbaseline": learners.gaussian_nb(),
         "logitboost\nbaseline": learners.boosted_stumps(),
         "random forests\nbaseline": learners.random_forest_baseline(matrix.size, trees),
     }
     results = {name: materialise(evaluate(m.fit(fit_rows), test), "metrics") for name, m in models.items()}
     fit_rows.unpersist()
+    if texts is not None:
+        settings = {**learners.EMBED, **embed}
+        rows = matrix.rows.select("doc_id", "label", "is_train").join(texts, "doc_id")
+        rows = rows.withColumn("tokens", tokenize(clean_delete(F.col("text"))))
+        rows = materialise(learners.gram_words(rows, "tokens", settings["word_ngrams"], settings["min_count"]), "words")
+        model = learners.embedding_classifier(**settings).fit(rows.filter("is_train"))
+        results["embedding\nbaseline"] = materialise(evaluate(model, rows.filter("NOT is_train")), "metrics")
     return results

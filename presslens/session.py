@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# A lookup table is broadcast only up to this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+# A lookup table is broadcast only up to this many rows and bytes; beyond it the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -35,16 +35,31 @@ def build_session(master: str | None = None, **conf) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named (tests)."""
+    """The shared folder the cluster names; a temporary one only in local mode, where none is named."""
     folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="presslens-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+_handed_out: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), "presslens", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), "presslens", f"{name}-{uuid.uuid4().hex}")
+    _handed_out.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every scratch table of this session; call it once a result has been used."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _handed_out:
+        path = hadoop(_handed_out.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

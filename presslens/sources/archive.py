@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.operators.dedupe import keep_first, latest
+from presslens.session import materialise
 
+# Columns of metric files that are text, and those that are whole numbers.
+TEXT = {"metric", "model", "date", "file_name", "last_changed", "splitrule", "model_type", "fitted_on"}
+WHOLE = {"train_n", "sample_size", "mtry", "n_tree", "min_node_size", "model_n", "tp", "fp", "fn", "tn"}
 # The archive's CSV dialect.
 CSV = {"multiLine": True, "escape": '"', "nullValue": "NA", "header": True}
 
@@ -31,17 +35,18 @@ def _listed(spark: SparkSession, path) -> list:
 
 
 def header_groups(spark: SparkSession, path) -> list[tuple[str, list[str]]]:
-    """Files by header line. The lines are found by a distributed scan that keeps one row per file.
+    """Files by header line, found by a distributed scan that keeps one row per file.
 
-    The driver gets file names only, which it lists for the scan anyway.
+    The driver gets the few distinct headers, then the names of one group at a time, which it lists
+    for the read of that group anyway; no task holds the names of a group together.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
     )
     lines = lines.filter("block = 0").withColumn("row", F.monotonically_increasing_id())
-    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [(r["header"], r["paths"]) for r in groups.orderBy("header").collect()]
+    first = materialise(lines.groupBy("path").agg(F.min_by("value", "row").alias("header")), "headers")
+    headers = [r["header"] for r in first.select("header").distinct().orderBy("header").collect()]
+    return [(h, sorted(r["path"] for r in first.filter(F.col("header") == h).select("path").toLocalIterator())) for h in headers]
 
 
 def read_drifting_csv(spark: SparkSession, path, with_mtime: bool = False) -> DataFrame:
@@ -72,8 +77,8 @@ def archive(snapshots: DataFrame, key: str = "url", order: str = "file_name") ->
 def read_metrics(spark: SparkSession, path, with_mtime: bool = False) -> DataFrame:
     """Metric files as one table; numbers are typed, older files may lack columns."""
     df = read_drifting_csv(spark, path, with_mtime)
-    text = {"metric", "model", "date", "file_name", "last_changed", "splitrule", "model_type", "fitted_on"}
-    return df.withColumns({c: F.col(c).cast("double") for c in df.columns if c not in text})
+    kind = {c: "bigint" if c in WHOLE else "double" for c in df.columns if c not in TEXT}
+    return df.withColumns({c: F.col(c).cast(k) for c, k in kind.items()})
 
 
 def latest_metrics(history: DataFrame) -> DataFrame:

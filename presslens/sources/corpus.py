@@ -31,7 +31,8 @@ class Labelled:
 def _unlist(field: Column) -> Column:
     """A field that may hold a JSON list of strings: its elements, joined."""
     items = F.from_json(field, T.ArrayType(T.StringType()))
-    return F.when(field.startswith("["), F.array_join(items, " ")).otherwise(field)
+    # Text that only looks like a list, such as a headline `[VIDEO] ...`, stays as it is.
+    return F.when(field.startswith("["), F.coalesce(F.array_join(items, " "), field)).otherwise(field)
 
 
 def load_labelled(spark: SparkSession, path: str, multi_line: bool = True) -> Labelled:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,11 +42,18 @@ FEED_SCHEMA = T.StructType(
 def read_feed(
     spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA, on_error: str = "raise"
 ) -> DataFrame:
-    """A stored feed; `on_error="empty"` turns a failed pull into an empty table of the full schema."""
+    """A stored feed.
+
+    `on_error="empty"`: a pull that left no file is an empty table of the full schema, and files that
+    cannot be read give no rows. Any other mistake, such as a wrong schema, still raises.
+    """
+    reader = spark.read.schema(schema)
+    if on_error == "empty":
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     try:
-        return spark.read.schema(schema).parquet(path)
-    except PySparkException:
-        if on_error != "empty":
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if on_error != "empty" or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -56,18 +63,18 @@ def feed_pull(
     as_of: datetime,
     lookback: int,
     filters: dict | None = None,
-    cap: int = PULL_CAP,
+    cap: int | None = None,
     key: str = "urlArticle",
     ts: str = "datetimeArticle",
     tie: str = "titleArticle",
 ) -> DataFrame:
-    """Newest articles of the last minutes, at most `cap`, then one row per key (the newest)."""
+    """Newest articles of the last minutes, at most `cap` if one is set, then one row per key (the newest)."""
     kind = df.schema[ts].dataType  # literals of the column's own type are pushed to the scan
     start, end = (F.lit(t.isoformat(" ")).cast(kind) for t in (as_of - timedelta(minutes=lookback), as_of))
     rows = df.filter((F.col(ts) > start) & (F.col(ts) <= end))
     for column, value in (filters or {}).items():
         rows = rows.filter(F.col(column) == value)
-    capped = newest(rows, [F.desc(ts), F.asc(tie)], cap)
+    capped = rows if cap is None else newest(rows, [F.desc(ts), F.asc(tie)], cap)
     age = F.lit(0) - F.unix_micros(F.col(ts).cast("timestamp"))
     return keep_first(capped, [key], [age, tie])
 

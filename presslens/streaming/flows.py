@@ -9,17 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from presslens.session import new_path
+from presslens.session import materialise, new_path
 
 # Fixed value: the longest lookback, and so the longest time a duplicate may arrive later.
 DEDUPE_DELAY = "240 minutes"
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", ts: str = "ts", per_trigger=1000
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", ts: str = "ts", per_trigger: int | None = None
 ) -> DataFrame:
-    """Feed files as they arrive; the time column becomes an instant so that it can carry a watermark."""
-    stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", per_trigger).load(path)
+    """Feed files as they arrive; the time column becomes an instant so that it can carry a watermark.
+
+    All files that wait are one batch: with `per_trigger`, the watermark moves between parts of a
+    backlog, and what then comes late by more than the delay is dropped. Set it only for files that
+    come in time order.
+    """
+    reader = spark.readStream.schema(schema).format(fmt)
+    if per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    stream = reader.load(path)
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
@@ -63,9 +71,9 @@ def score_stream(
     reject: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Score each micro-batch: positives and rejects go to tables partitioned by batch.
+    """Score each micro-batch: positives, negatives and rejects go to tables partitioned by batch.
 
-    A batch that is run again after a failure replaces its own partition, so nothing is doubled.
+    Documents that get no prediction are rejects too, so the three tables hold every input row. A batch that is run again after a failure replaces its own partition, so nothing is doubled.
     """
 
     def put(df: DataFrame, batch_id: int, table: str) -> None:
@@ -73,12 +81,12 @@ def score_stream(
         rows.option("partitionOverwriteMode", "dynamic").parquet(f"{out}/{table}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        kept = batch
-        if reject:
-            kept, rejects = reject(batch)
-            put(rejects, batch_id, "rejects")
-        scored = score(kept).filter("prediction = '1'")
-        put(scored, batch_id, "positives")
+        kept, rejects = reject(batch) if reject else (batch, None)
+        scored = materialise(score(kept), "scored-batch")  # read by all three sinks
+        put(scored.filter("prediction = '1'"), batch_id, "positives")
+        put(scored.filter("prediction = '0'"), batch_id, "negatives")
+        unscored = scored.filter("prediction IS NULL").select(*kept.columns, F.lit("not scored").alias("reason"))
+        put(unscored if rejects is None else rejects.unionByName(unscored), batch_id, "rejects")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -75,7 +75,7 @@ def test_longest_match_confidence_and_types(spark):
     rows = [(1, "O Porto Santo, porto e vila; santo"), (2, "nada"), (3, "x a b c d e"), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = en.annotate(docs, gaz)
-    by_gram = en.annotate(docs, gaz, by_first_word_up_to=(0, 0))
+    by_gram = en.annotate(docs, gaz, max_rows=0)
     assert sorted(found.collect()) == sorted(by_gram.collect())
     got = {(r["doc_id"], r["start"], r["surfaceForm"]) for r in found.collect()}
     assert got == {(1, 1, "porto santo"), (1, 3, "porto"), (3, 1, "a b c d e")}
