@@ -6,11 +6,11 @@ keeps the least value of each place. A step ends the work on a text as soon as n
 more. All elements of a buffer take a step together.
 
 Texts with one set are one class, so a thousand copies are one row from then on. Bands of a
-signature put classes into buckets. First every class is held against the least of its bucket, and
-verified pairs are linked; then all pairs of one bucket whose members are not yet in one component
-are verified too. So each pair that shares a band is either verified or already connected, and a
-group of near copies costs one comparison per member and bucket. Components come from alternating
-large-star and small-star rounds over the links.
+signature put classes into buckets. First every class is held against the least of its bucket, the
+hub, on whole sets, and verified pairs are linked. Classes of one hub that are then not in one
+component are held against each other in blocks, by what sets them apart from the hub. So each pair
+that shares a band is either verified or already connected; pairs are never rows. Components come
+from alternating large-star and small-star rounds over the links.
 
 With 28 bands of 4 rows a pair at the threshold shares no band with probability below 1e-6.
 
@@ -33,6 +33,8 @@ from presslens.llm import words as W
 from presslens.llm.store import Scratch, texts
 
 WIDTH, BANDS, ROWS = 4, 28, 4
+#: Members of a hub that one task holds against as many others.
+BLOCK = 2048
 U = W.U
 
 
@@ -135,22 +137,131 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, elements binary")
 
 
-def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets satisfy 100 * intersection >= percent * union."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, n_a, n_b, linked, diff) of pairs (a, b): sizes, whether 100 * intersection >= percent * union, and the
+    elements that only one of both has, as packed 64-bit values in order."""
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            n_a, n_b, linked, diff = [], [], [], []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                both = np.sort(np.concatenate((x, y)))
+                twice = np.zeros(len(both), bool)
+                twice[1:] = both[1:] == both[:-1]
+                shared = int(twice.sum())
+                twice[:-1] |= twice[1:]
+                n_a.append(len(x))
+                n_b.append(len(y))
+                linked.append(100 * shared >= percent * (len(both) - shared))
+                diff.append(both[~twice].tobytes())
+            columns = [batch.column("a"), batch.column("b"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(linked, pa.bool_()), pa.array(diff, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "linked", "diff"])
+
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    return rows.mapInArrow(run, "a long, b long, n_a long, n_b long, linked boolean, diff binary")
+
+
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of `x` shares with each of `y`: a sparse matrix product, element by element of
+    few holders, and a dense one for elements of many."""
+    ix = np.repeat(np.arange(len(x)), [len(e) for e in x])
+    iy = np.repeat(np.arange(len(y)), [len(e) for e in y])
+    ex, ey = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(ex, ey)
+    out = np.zeros((len(x), len(y)), np.float32)
+    if not len(both):
+        return out
+
+    def placed(elements, holder):
+        at = np.minimum(np.searchsorted(both, elements), len(both) - 1)
+        keep = both[at] == elements
+        at, holder = at[keep], holder[keep]
+        order = np.argsort(at, kind="stable")
+        return at[order], holder[order]
+
+    ax, hx = placed(ex, ix)
+    ay, hy = placed(ey, iy)
+    nx, ny = np.bincount(ax, minlength=len(both)), np.bincount(ay, minlength=len(both))
+    many = nx * ny > 64
+    for lo in range(0, int(many.sum()), 512):
+        chosen = np.flatnonzero(many)[lo : lo + 512]
+        column = np.full(len(both), -1)
+        column[chosen] = np.arange(len(chosen))
+        left, right = np.zeros((len(x), len(chosen)), np.float32), np.zeros((len(y), len(chosen)), np.float32)
+        k = column[ax] >= 0
+        left[hx[k], column[ax[k]]] = 1
+        k = column[ay] >= 0
+        right[hy[k], column[ay[k]]] = 1
+        out += left @ right.T
+    few = ~many[ax]
+    ax, hx = ax[few], hx[few]
+    first = np.cumsum(ny) - ny
+    size = ny[ax]
+    one = np.repeat(hx, size)
+    other = hy[np.repeat(first[ax] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    np.add.at(out, (one, other), 1)
+    return out
+
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+def joined(pairs: np.ndarray) -> np.ndarray:
+    """(node, least node) of what the pairs connect."""
+    nodes, at = np.unique(pairs, return_inverse=True)
+    at, label = at.reshape(-1, 2), np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[at[:, 0]], label[at[:, 1]])
+        fresh = label.copy()
+        np.minimum.at(fresh, at[:, 0], low)
+        np.minimum.at(fresh, at[:, 1], low)
+        fresh = fresh[fresh]
+        if (fresh == label).all():
+            return np.stack((nodes, nodes[label]), axis=1)
+        label = fresh
+
+
+def across_components(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between components inside the groups of one hub, enough to join what belongs together.
+
+    `members` has hub, node, component, n (size of the set) and diff (from the hub's set). Two sets
+    differ in what exactly one of their differences from the hub has, so whole sets need not travel.
+    A group is cut into blocks of BLOCK members; each pair of blocks is one task of bounded size that
+    counts shared elements as matrix products and sends no more links than it has members.
+    """
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select(
+        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "diff"
+    )
+
+    def match(table: pa.Table) -> pa.Table:
+        block, i = table["block"].to_numpy(), table["i"][0].as_py()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block != i)
+        right = right if table["j"][0].as_py() != i else left
+        diffs = [np.frombuffer(d.as_buffer(), U) for chunk in table["diff"].chunks for d in chunk]
+        n, component = table["n"].to_numpy(), table["component"].to_numpy()
+        found = [np.zeros((0, 2), np.int64)]
+        for lo in range(0, len(left), 256):
+            part = left[lo : lo + 256]
+            if not len(right):
+                break
+            shared = shared_counts([diffs[k] for k in part], [diffs[k] for k in right])
+            size = np.array([len(d) for d in diffs])
+            apart = size[part][:, None] + size[right][None, :] - 2 * shared
+            total = n[part][:, None] + n[right][None, :]
+            # 100 * intersection >= percent * union, with twice both on either side
+            like = 100 * (total - apart) >= percent * (total + apart)
+            like &= component[part][:, None] != component[right][None, :]
+            a, b = np.nonzero(like)
+            if len(a):
+                found.append(joined(np.stack((component[part][a], component[right][b]), axis=1)))
+        links = joined(np.concatenate(found)) if len(found) > 1 else found[0]
+        links = links[links[:, 0] != links[:, 1]]
+        return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
+
+    return rows.groupBy("hub", "i", "j").applyInArrow(match, "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -193,20 +304,19 @@ def near_duplicates(
     nodes = members.select("node").distinct()
     texts_of = docs.withColumnRenamed("doc_id", "node").join(nodes, "node", "left_semi")
     sets = scratch.put(sets_of(texts_of, width).distinct(), "sets")
-    star = scratch.put(similar(hubs, sets, percent), "star")
-    linked = components(star, scratch, "linked")
-
-    # Buckets that still hold several components: their pairs across components, once each.
-    placed = members.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = scratch.put(placed.join(mixed.filter("low < high"), ["band", "key"]).select("band", "key", "node", "n_shingles", "component"), "mixed")
-    x, y = placed.alias("x"), placed.alias("y")
-    close = (100 * F.col("x.n_shingles") >= percent * F.col("y.n_shingles")) & (100 * F.col("y.n_shingles") >= percent * F.col("x.n_shingles"))
-    across = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-    across = x.join(y, across & (F.col("x.node") > F.col("y.node")) & close)
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(hubs, ["a", "b"], "left_anti")
-    links = scratch.put(star.union(similar(across, sets, percent)), "links")
-    scratch.drop("members", "sets", "star", "mixed")
+    star = scratch.put(compared(hubs, sets, percent), "star")
+    scratch.drop("members", "sets")
+    links = star.filter("linked").select("a", "b")
+    linked = components(links, scratch, "linked")
+
+    # Groups of one hub that still hold several components.
+    own = star.select(F.col("b").alias("hub"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.lit(b"").alias("diff")).distinct()
+    rows = star.select(F.col("b").alias("hub"), F.col("a").alias("node"), F.col("n_a").alias("n"), "diff").unionByName(own)
+    rows = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    rows = scratch.put(rows.join(mixed.select("hub"), "hub"), "mixed")
+    links = scratch.put(links.unionByName(across_components(rows, percent)).unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
+    scratch.drop("star", "mixed")
     groups = components(links, scratch, "groups").select(F.col("node").alias("class_id"), "component")
 
     out = signed.join(classes.select(*same_set, F.col("node").alias("class_id")), same_set, "left")
