@@ -46,8 +46,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
     found = decontaminate.Index(docs, table(spark, sf_dir, "benchmark")).contamination()
-    clean = found.filter(~decontaminate.contaminated())
-    return clean.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    gone = found.filter(decontaminate.contaminated()).select("key").distinct()
+    return decontaminate.without(docs, Scratch(spark, "benchmark").put(gone, "gone"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

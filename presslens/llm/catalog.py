@@ -91,9 +91,9 @@ def _(spark, sf):
 
 @query("op9_positional_index_decontamination")
 def _(spark, sf):
-    found = decontaminate.Index(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark")).contamination()
+    found = decontaminate.Index(table(spark, sf, "documents"), table(spark, sf, "benchmark")).contamination()
     return found.select(
-        "row.doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
+        "doc_id", "n_words", "n_hit", F.size("ids").cast("long").alias("n_items"),
         decontaminate.items_digest().alias("items_sha256"), decontaminate.contaminated().alias("contaminated"),
     )
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,37 +137,70 @@ def alignments(pairs: DataFrame, index: DataFrame, slop: int) -> DataFrame:
     return near.filter(F.col("gap") <= slop).groupBy("item", "key", "shift").agg(F.min("gap").alias("gap"))
 
 
-def compared(docs: DataFrame, width: int) -> DataFrame:
-    """(row, n_words, n_hit, ids): whole texts held against the items at their alignments (column `at`)."""
-    kind = docs.schema["row"].dataType.simpleString()
+def sieved(key: Column, bits) -> Column:
+    """Whether the bit set (broadcast) may hold the key."""
+
+    @F.pandas_udf("boolean")
+    def found(keys):
+        return pd.Series(np.unpackbits(bits.value).astype(bool)[keys.to_numpy().view(W.U) % W.U(SIEVE_BITS)])
+
+    return found(key)
+
+
+def word_lists(docs: DataFrame, bits) -> DataFrame:
+    """(doc_id, key, n_words, own): the number of words of every text, and the hashed words where `bits` may hold the key."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = W.Fingerprint()
+        marks, keep = W.Fingerprint(), np.unpackbits(bits.value).astype(bool)
         for batch in batches:
-            at, hits, sizes, ids = batch.column("at"), [], [], []
+            wanted = keep[batch.column("key").to_numpy().view(W.U) % W.U(SIEVE_BITS)]
             for i, j, data, offsets in W.slices(batch.column("text")):
                 _, _, row, found = hashed(data, offsets, marks)
                 cuts = np.searchsorted(row, np.arange(j - i + 1))
-                sizes.extend(np.diff(cuts).tolist())
-                for r in range(j - i):
-                    own, seen, names = found[cuts[r] : cuts[r + 1]], None, set()
-                    for one in at[i + r].as_py() or ():
-                        item, shift = np.array(one["words"], np.int64), one["shift"]
-                        lo, hi = max(0, -shift), min(len(item), len(own) - shift)
-                        if hi <= lo:
-                            continue
-                        same = np.concatenate(([0], (own[lo + shift : hi + shift] == item[lo:hi]).astype(np.int8), [0]))
-                        edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
-                        for a, b in edges[edges[:, 1] - edges[:, 0] >= min(width, len(item))]:
-                            seen = np.zeros(len(own), bool) if seen is None else seen
-                            seen[lo + shift + a : lo + shift + b] = True
-                            names.add(one["item_id"])
-                    hits.append(0 if seen is None else int(seen.sum()))
-                    ids.append(sorted(names))
-            columns = [batch.column("row"), pa.array(sizes, pa.int64()), pa.array(hits, pa.int64()), pa.array(ids, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "n_hit", "ids"])
-
-    return docs.select("row", "text", "at").mapInArrow(run, f"row {kind}, n_words long, n_hit long, ids array<string>")
+                own = [found[cuts[r] : cuts[r + 1]].tobytes() if wanted[i + r] else None for r in range(j - i)]
+                part = batch.slice(i, j - i)
+                columns = [part.column("doc_id"), part.column("key"), pa.array(np.diff(cuts), pa.int64()), pa.array(own, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "own"])
+
+    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, n_words long, own binary")
+
+
+def compared(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, key, n_words, n_hit, ids): the words of documents held against the items at their alignments (column `at`)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits, ids = [], []
+            for packed, at in zip(batch.column("own"), batch.column("at"), strict=True):
+                own = np.frombuffer(packed.as_buffer(), np.int64) if at.is_valid else np.zeros(0, np.int64)
+                seen, names = np.zeros(len(own), bool), set()
+                for one in at.as_py() or ():
+                    item, shift = np.array(one["words"], np.int64), one["shift"]
+                    lo, hi = max(0, -shift), min(len(item), len(own) - shift)
+                    if hi <= lo:
+                        continue
+                    same = np.concatenate(([0], (own[lo + shift : hi + shift] == item[lo:hi]).astype(np.int8), [0]))
+                    edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
+                    for a, b in edges[edges[:, 1] - edges[:, 0] >= min(width, len(item))]:
+                        seen[lo + shift + a : lo + shift + b] = True
+                        names.add(one["item_id"])
+                hits.append(int(seen.sum()))
+                ids.append(sorted(names))
+            columns = [batch.column(c) for c in ("doc_id", "key", "n_words")] + [pa.array(hits, pa.int64()), pa.array(ids, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "n_hit", "ids"])
+
+    rows = docs.select("doc_id", "key", "n_words", "own", "at")
+    return rows.mapInArrow(run, f"doc_id {kind}, key long, n_words long, n_hit long, ids array<string>")
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose key is not in `keys`, a written table; only rows that a bit set lets through are joined."""
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(keys.select("key")))
+    rows = keyed(docs, id_col, text_col).withColumn("maybe", sieved(F.col("key"), bits))
+    kept = rows.filter("NOT maybe").select("row").unionByName(rows.filter("maybe").join(keys, "key", "left_anti").select("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 class Index:
@@ -179,7 +213,7 @@ class Index:
         items = bench.select(F.xxhash64(item_col, item_text).alias("item"), F.col(item_col).cast("string").alias("item_id"), text.cast("binary").alias("text"))
         self.items = self.scratch.put(item_words(items).distinct(), "items")
         key = F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")
-        narrow = docs.select(key, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+        narrow = self.narrow = docs.select(F.col(id_col).alias("doc_id"), key, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
         vocabulary = self.items.select(F.explode("words").alias("word")).distinct()
         counts = self.scratch.put(frequencies(narrow, vocabulary), "frequencies")
         self.pairs = self.scratch.put(anchors(self.items, counts, width), "anchors")
@@ -187,13 +221,15 @@ class Index:
         self.postings = self.scratch.put(postings(narrow, wanted), "postings")
 
     def contamination(self) -> DataFrame:
-        """(row, n_words, n_hit, ids) of every document: words hit by exact phrase matches, and the matched items."""
+        """(doc_id, key, n_words, n_hit, ids) of every document: words hit by exact phrase matches, and the matched items.
+
+        Words travel only of documents with an alignment, which a bit set of fixed size tells from most others.
+        """
         found = alignments(self.pairs, self.postings, 0).join(self.items, "item")
         found = found.groupBy("key").agg(F.collect_set(F.struct("item_id", "words", "shift")).alias("at"))
         found = self.scratch.put(found, "alignments")
-        rows = keyed(self.docs, self.id_col, self.text_col).join(found, "key", "left")
-        text = F.coalesce(F.col(f"row.`{self.text_col}`"), F.lit("")).cast("binary")
-        return compared(rows.withColumn("text", text), self.width)
+        bits = self.docs.sparkSession.sparkContext.broadcast(sieve(found.select("key")))
+        return compared(word_lists(self.narrow, bits).join(found, "key", "left"), self.width)
 
     def proximity(self, slop: int) -> DataFrame:
         """(doc_id, item_id, gap): documents with both anchors of a window at most `slop` off, but not exact."""

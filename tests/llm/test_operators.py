@@ -250,10 +250,11 @@ def test_near_copies(spark, docs, empty):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_near_copy_chains(spark, seed):
-    """Chains whose ends are not similar, copies, and pairs around the threshold."""
+def test_near_copy_chains(spark, seed, monkeypatch):
+    """Chains whose ends are not similar, copies, and pairs around the threshold; groups of several blocks."""
     import random
 
+    monkeypatch.setattr(nearcopy, "BLOCK", 4 if seed else 2048)
     draw, rows = random.Random(seed), []
     for g in range(12):
         text = data.words(draw.randint(20, 200), 100 * seed + g)
@@ -267,6 +268,25 @@ def test_near_copy_chains(spark, seed):
     assert {r.doc_id: r.component_id for r in found} == data.groups(texts)
 
 
+@pytest.mark.parametrize("block", [3, 2048])
+def test_siblings_of_a_missing_base(spark, block, monkeypatch):
+    """Many copies of one text with edits of their own: pairs on both sides of the threshold, under one hub."""
+    import random
+
+    monkeypatch.setattr(nearcopy, "BLOCK", block)
+    draw, base, rows = random.Random(9), data.words(90, 77), []
+    for i in range(60):
+        text = base
+        for k in range(draw.randint(1, 4)):
+            parts = text.split(" ")
+            parts[draw.randrange(len(parts))] = f"w{i}x{k}" if draw.random() < 0.7 else f"same{draw.randrange(3)}"
+            text = " ".join(parts)
+        rows.append((i, text))
+    found = nearcopy.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want = data.groups(dict(rows))
+    assert len(set(want.values())) > 1 and {r.doc_id: r.component_id for r in found} == want
+
+
 def test_super_minhash_estimates_similarity():
     """The share of equal places is an unbiased estimate, with less spread than independent hashes give."""
     draw = np.random.default_rng(5)
@@ -313,11 +333,14 @@ def test_decontaminate(spark, docs, empty):
     rows = found.collect()
     assert len(rows) == len(ROWS)
     for r in rows:
-        n, hit, names = data.hits(TEXTS[r.row.doc_id], BENCH)
+        n, hit, names = data.hits(TEXTS[r.doc_id], BENCH)
         assert (r.n_words, r.n_hit, r.ids) == (n, hit, names)
         assert r.digest == hashlib.sha256(",".join(names).encode()).hexdigest()
         assert r.flag == (hit > 0 and 20 * hit >= n)
-    assert found.select("row.*").columns == docs.columns
+    gone = found.filter("flag").select("key").distinct()
+    left = decontaminate.without(docs, gone)
+    assert left.columns == docs.columns
+    assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in rows if not r.flag)
     assert decontaminate.Index(empty, bench).contamination().count() == 0
     assert {r.n_hit for r in decontaminate.Index(docs, bench.limit(0)).contamination().collect()} == {0}
 
