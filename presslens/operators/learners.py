@@ -44,7 +44,7 @@ SEED = 1234
 # The greatest depth that MLlib trees may have.
 DEPTH = 30
 # Hashed places of words and grams under the embedding layer.
-BUCKETS = 2048
+BUCKETS = 1024
 
 
 def mtry(features: int, factor: int = 2) -> int:
