@@ -9,8 +9,8 @@ from presslens.functions import text as tx
 from presslens.functions.stemming import stem_tokens
 from presslens.session import materialise, spread
 
-# Hashes of frequent word pairs are broadcast up to this many.
-PAIR_ROWS = 10_000_000
+# Frequent word pairs are broadcast as numbers below this: a table of bounded size for any corpus.
+PAIR_SLOTS = 1 << 22
 
 
 def tokens_of(
@@ -93,17 +93,23 @@ def research_grams(
     return tx.ngram_rows(rows, "words", n_min, n_max, " ", (id_col,))
 
 
-def _long_candidates(words: DataFrame, pairs: DataFrame, n_max: int, sep: str, id_col: str) -> DataFrame:
+def _long_candidates(
+    words: DataFrame, pairs: DataFrame, n_max: int, sep: str, id_col: str, slots: int = PAIR_SLOTS
+) -> DataFrame:
     """Grams of 3..n_max words whose pairs of neighbours are all frequent.
 
-    Pairs are broadcast as 64-bit hashes. Two pairs with one hash can only let a candidate through
-    that the final count then drops.
+    Pairs are broadcast as one of `slots` numbers. Two pairs with one number can only let a candidate
+    through that the final count then drops, so the terms are the same for any number of pairs.
     """
     rows = tx.word_windows(words, "words", n_max, [id_col])
-    hashes = pairs.select(F.xxhash64("term").alias("_h")).distinct()
+
+    def slot(term):
+        return F.pmod(F.xxhash64(term), F.lit(slots))
+
+    hashes = pairs.select(slot("term").alias("_h")).distinct()
     for k in range(n_max - 1):
         listed = hashes.withColumnRenamed("_h", f"_p{k}")
-        pair = F.xxhash64(F.concat_ws(sep, F.col(f"w{k}"), F.col(f"w{k + 1}"))) == F.col(f"_p{k}")
+        pair = slot(F.concat_ws(sep, F.col(f"w{k}"), F.col(f"w{k + 1}"))) == F.col(f"_p{k}")
         # every gram from three words on needs the first two pairs
         rows = rows.join(F.broadcast(listed), pair, "inner" if k < 2 else "left")
     grams, usable = [], F.lit(True)
@@ -120,14 +126,13 @@ def frequent_vocabulary(
     min_count: int = 20,
     sep: str = "_",
     id_col: str = "doc_id",
-    max_pairs: int = PAIR_ROWS,
+    slots: int = PAIR_SLOTS,
 ) -> DataFrame:
     """Terms of n_min..n_max words with at least `min_count` occurrences, as a written table.
 
     A gram occurs no more often than any pair of neighbours in it. So words and pairs are counted
     first, and longer grams are only formed where all their pairs are frequent: most of the long
-    grams, which make up most of the bytes to shuffle, never arise. No frequent gram is lost. When
-    the frequent pairs are too many to broadcast, the longer grams are all counted.
+    grams, which make up most of the bytes to shuffle, never arise. No frequent gram is lost.
     """
     short = tx.ngram_rows(words, "words", min(n_min, 2), min(n_max, 2), sep, (id_col,))
     low = materialise(prune(vocabulary(term_counts(short, id_col)), min_count), "vocabulary-short")
@@ -135,10 +140,7 @@ def frequent_vocabulary(
         return low
     width = F.size(F.split("term", sep))
     pairs = low.filter(width == 2)
-    if pairs.limit(max_pairs + 1).count() <= max_pairs:
-        long = _long_candidates(words, pairs, n_max, sep, id_col)
-    else:
-        long = tx.ngram_rows(words, "words", 3, n_max, sep, (id_col,))
+    long = _long_candidates(words, pairs, n_max, sep, id_col, slots)
     high = prune(vocabulary(term_counts(long, id_col)), min_count)
     if n_min > 2:
         return materialise(high.filter(width >= n_min), "vocabulary")

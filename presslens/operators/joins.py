@@ -13,14 +13,22 @@ SALTS = 32
 
 
 def natural_left(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left join on all shared columns; null keys match each other."""
+    """Left join on all shared columns; null keys match each other.
+
+    Rows without a key, often many, are shared out over salted tasks.
+    """
     shared = [c for c in left.columns if c in right.columns]
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in shared])
+    salt = F.when(missing, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.explode(F.when(missing, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     other = right.select(
         *[F.col(c).alias(f"_r_{c}") for c in shared],
         *[F.col(c) for c in right.columns if c not in shared],
+        salts.alias("_r_salt"),
     )
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in shared])
-    return left.join(other, match, "left").drop(*[f"_r_{c}" for c in shared])
+    rows = left.withColumn("_salt", salt).join(other, match & (F.col("_salt") == F.col("_r_salt")), "left")
+    return rows.drop("_salt", "_r_salt", *[f"_r_{c}" for c in shared])
 
 
 def fits(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -29,12 +29,12 @@ def nearest(
         return _nearest(df, wanted.collect(), k, id_col, vec_col, digits)
     wanted = materialise(wanted, "queries")
     parts = (wanted.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect() for b in range(blocks))
-    return reduce(DataFrame.unionByName, [_nearest(df, part, k, id_col, vec_col, digits) for part in parts])
+    return reduce(DataFrame.unionByName, [_nearest(df, part, k, id_col, vec_col, digits) for part in parts if part])
 
 
 def _nearest(df: DataFrame, wanted: list, k: int, id_col: str, vec_col: str, digits: int) -> DataFrame:
     names = np.array([q["query_id"] for q in wanted])
-    matrix = np.array([q["vector"] for q in wanted], dtype=np.float64).reshape(len(wanted), -1)
+    matrix = np.array([q["vector"] for q in wanted], dtype=np.float64).reshape(len(wanted), -1 if wanted else 1)
     matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
     def best(batches):

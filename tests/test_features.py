@@ -90,3 +90,14 @@ def test_entity_text_can_be_cut(spark):
     docs = spark.createDataFrame([(1, "x " * 2500 + "porto")], "doc_id long, text string")
     assert en.annotate(docs, gaz).count() == 1
     assert en.annotate(docs, gaz, max_chars=5000).count() == 0
+
+
+def test_surfaces_are_words_of_any_number_and_keep_all_types(spark):
+    rows = [
+        ("COVID-19", "DBpedia:Disease", 0.9), ("Covid 19", "DBpedia:Work", 0.6), ("covid-19", "DBpedia:Person", 0.1),
+        ("one two three four five six seven", "DBpedia:Person", 0.9), ("--", "DBpedia:Person", 0.9),
+    ]
+    gaz = spark.createDataFrame(rows, "surface string, types string, confidence double")
+    docs = spark.createDataFrame([(1, "the Covid-19 case; one two three, four five six seven eight")], "doc_id long, text string")
+    got = {(r["start"], r["surfaceForm"], r["types"]) for r in en.annotate(docs, gaz).collect()}
+    assert got == {(1, "covid 19", "DBpedia:Disease,DBpedia:Work"), (4, "one two three four five six seven", "DBpedia:Person")}

@@ -141,3 +141,38 @@ def test_model_card_needs_one_row(spark):
     assert {r["model_f1"] for r in sc.with_model_card(df, card).collect()} == {0.9}
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         sc.with_model_card(df, card.union(card)).collect()
+
+
+MARKED_PAGE = """<html><head><title>Situa&ccedil;&atilde;o &#231;&#xE3;o &amp;lt; &euro; &#128512; &nosuch;</title>
+<meta content="Uma &quot;descri&ccedil;&atilde;o&quot;" name="description"/><meta name='author' content='Zé D&apos;Ávila'>
+<meta property="article:published_time" content="2020-04-01T10:00:00Z"><meta content='B. C.' name="author"></head>
+<body><article><p>Texto &#0; e &#55296;</p></article></body></html>"""
+
+
+def test_references_and_attributes_in_any_order(spark):
+    df = spark.createDataFrame([(1, "u", MARKED_PAGE)], "page_id long, url string, html string")
+    row = pages.extract_articles(df).first()
+    assert row["title"] == "Situação ção &lt; &euro; 😀 &nosuch;"
+    assert row["description"] == 'Uma "descrição"' and row["authors"] == ["Zé D'Ávila", "B. C."]
+    assert row["date_publish"] is not None and row["maintext"] == "Texto &#0; e &#55296;"
+
+
+def test_bracketed_headline_is_kept(spark, tmp_path):
+    (tmp_path / "covid-2.json").write_text('[{"doc_id": "P2", "headlines": "[VIDEO] h", "leading_paragraph": "[\\"a\\", \\"b\\"]"}]')
+    row = corpus.load_labelled(spark, f"{tmp_path}/*.json").rows.first()
+    assert (row["headlines"], row["leading_paragraph"]) == ("[VIDEO] h", "a b")
+
+
+def test_backlog_out_of_order_loses_nothing(spark, tmp_path):
+    """Files that wait are one batch, whatever their order."""
+    for day in (9, 1, 5, 3):
+        rows = spark.range(5).select(F.col("id"), F.lit(datetime(2024, 1, day)).alias("ts"))
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    once = flows.dedupe_stream(flows.read_stream(spark, str(tmp_path / "in"), schema), ["id", "ts"])
+    assert flows.run_to_table(once, "backlog").count() == 20
+
+
+def test_whole_numbers_of_the_history(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("model,mtry,n_tree,model_f1\na,8,500,0.5\n")
+    assert dict(archive.read_metrics(spark, f"{tmp_path}/*.csv").dtypes)["n_tree"] == "bigint"
