@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences: a sentence ends after a word that ends with `.`, `!` or `?`, and at a
-line break. Every run of `run` consecutive sentences with at least `min_words` words is hashed by
+A text is cut into sentences: a sentence ends after a word that ends with `.`, `!` or `?` (up to
+three more signs, such as quotes and brackets, may follow), at a line break, and after `MAX_WORDS`
+words, so that long text without stops has runs too. Every run of `run` consecutive sentences with at least `min_words` words is hashed by
 its words, so that spacing does not matter. Runs are joined over the whole corpus; of those with one
 hash the first by (id, key of the row, place) stays, and every sentence that lies in any other is
 removed together with the space after it.
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from presslens.llm import words as W
 from presslens.llm.store import Scratch, keyed
 
-RUN, MIN_WORDS = 2, 10
+RUN, MIN_WORDS, MAX_WORDS = 2, 10, 20
 _ENDS = W.byte_class(".!?")
+_SIGNS = ~W.ALNUM & ~W.byte_class("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _BREAKS = W.byte_class("\n")
 
 
@@ -37,7 +39,17 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         return none, none, none, first, last, row
     breaks = np.concatenate(([0], np.cumsum(_BREAKS[data], dtype=np.int64)))
     ends = np.ones(len(first), bool)
-    ends[:-1] = _ENDS[data[last[:-1] - 1]] | (row[1:] != row[:-1]) | (breaks[first[1:]] > breaks[last[:-1]])
+    ends[:-1] = (row[1:] != row[:-1]) | (breaks[first[1:]] > breaks[last[:-1]])
+    open_signs = np.ones(len(first), bool)
+    for k in range(4):
+        at = last - 1 - k
+        open_signs &= at >= first
+        byte = data[np.maximum(at, 0)]
+        ends |= open_signs & _ENDS[byte]
+        open_signs &= _SIGNS[byte]
+    begin = np.concatenate(([0], np.flatnonzero(ends)[:-1] + 1))
+    number = np.arange(len(first)) - np.repeat(begin, np.diff(np.append(begin, len(first))))
+    ends |= number % MAX_WORDS == MAX_WORDS - 1
     after = np.flatnonzero(ends) + 1
     begin = np.concatenate(([0], after[:-1]))
     return begin, after, row[begin], first, last, row

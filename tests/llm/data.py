@@ -37,7 +37,7 @@ def documents() -> list[tuple]:
         base, base, near(base, 1), near(near(base, 1), 2), near(near(near(base, 1), 2), 3), None, "", " \t\n ", "one", "one", "a b c", "A b  C",
         long, words(50, 5) + passage, passage + words(60, 6), words(40, 7) + passage + words(40, 8), "x " * 300, "same line here\n" * 40,
         "### $$$ %%% &&&" * 20, "<|endoftext|> in a text <|endoftext|>", "two  spaces \n and\ttabs ", "Ünïcode ß 漢字     é" * 10, "5 6 7 8 9",
-        words(300, 9), words(200, 10) + "\n" + words(200, 10), "don't we'll I'm they've it's", "z" * 5000, "é" * 300 + "é" * 300,
+        words(300, 9), words(200, 10) + "\n" + words(200, 10), 'say. "what?" (yes!) no.### and.**** it ' * 9, 'say. "what?" (yes!) no.### and.**** it ' * 9, "don't we'll I'm they've it's", "z" * 5000, "é" * 300 + "é" * 300,
     ]
     rows = []
     for i, text in enumerate(texts):
@@ -99,7 +99,8 @@ def groups(texts: dict, percent: int = 80) -> dict:
 def sentence_list(text: str) -> list[tuple[int, list[str]]]:
     out, before = [], None
     for m in re.finditer(f"[^{SPACE}]+", text):
-        if before is None or before[0][-1] in ".!?" or "\n" in text[before.end() : m.start()]:
+        stop = before is None or re.search(r"[.!?][!-/:-@\[-`{-~\x00-\x08\x0e-\x1f\x7f]{0,3}$", before[0])
+        if stop or "\n" in text[before.end() : m.start()] or len(out[-1][1]) == 20:
             out.append((m.start(), [m[0]]))
         else:
             out[-1][1].append(m[0])
