@@ -39,6 +39,7 @@ LENGTH = 200
 PERIOD = 73
 COVER = np.unique([pow(2, k, PERIOD) for k in range(9)])
 CHUNK = 1 << 22
+BUCKET = 1 << 25
 #: Chunks that a worker holds at once.
 AT_ONCE = "2"
 U = W.U
@@ -264,7 +265,8 @@ def drop_repeated_strings(docs: DataFrame, length: int = LENGTH, chunk_bytes: in
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     chunks = scratch.put(chunked(texts(docs, id_col, text_col), chunk_bytes), "chunks")
     total = chunks.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
-    bits = max(8, math.ceil(math.log2(total / (1 << 28) + 1)))
+    # A bucket holds the entries of about BUCKET bytes of text.
+    bits = max(8, math.ceil(math.log2(total / BUCKET + 1)))
 
     rounds = [
         ("ranks", True, lambda c: c.rank_entries()),
