@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = W.Fingerprint()
         for batch in batches:
-            for i, j, data, offsets in W.slices(batch.column("text"), 1 << 20):
+            for i, j, data, offsets in W.slices(batch.column("text"), 1 << 19):
                 row, elements = shingles(data, offsets, marks, width)
                 size = np.bincount(row, minlength=j - i)
                 ends = np.cumsum(size)
@@ -199,10 +199,11 @@ def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     few = ~many[ax]
     ax, hx = ax[few], hx[few]
     first = np.cumsum(ny) - ny
-    size = ny[ax]
-    one = np.repeat(hx, size)
-    other = hy[np.repeat(first[ax] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-    np.add.at(out, (one, other), 1)
+    for lo in range(0, len(ax), 1 << 14):
+        at, holder = ax[lo : lo + (1 << 14)], hx[lo : lo + (1 << 14)]
+        size = ny[at]
+        other = hy[np.repeat(first[at] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        np.add.at(out, (np.repeat(holder, size), other), 1)
     return out
 
 

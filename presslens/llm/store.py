@@ -2,12 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.session import new_path
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Texts, or sets of whole texts, that a Python worker gets at once.
+BATCH_ROWS = 500
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the jobs that run inside, then as they were."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 class Scratch:
@@ -20,17 +39,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name, self.paths = spark, name, {}
 
-    def put(self, df: DataFrame, step: str) -> DataFrame:
+    def put(self, df: DataFrame, step: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
         path = new_path(self.spark, f"{self.name}-{step}")
-        before = self.spark.conf.get(CLEAN, None)
-        self.spark.conf.set(CLEAN, "true")
-        try:
+        with settings(self.spark, **{CLEAN: "true", BATCH: str(batch_rows)}):
             df.write.parquet(path)
-        finally:
-            if before is None:
-                self.spark.conf.unset(CLEAN)
-            else:
-                self.spark.conf.set(CLEAN, before)
         self.paths[step] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

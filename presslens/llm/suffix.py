@@ -41,7 +41,7 @@ COVER = np.unique([pow(2, k, PERIOD) for k in range(9)])
 CHUNK = 1 << 22
 BUCKET = 1 << 25
 #: Chunks that a worker holds at once.
-AT_ONCE = "2"
+AT_ONCE = 2
 U = W.U
 
 
@@ -260,9 +260,7 @@ def drop_repeated_strings(docs: DataFrame, length: int = LENGTH, chunk_bytes: in
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per row of `docs`; `kept` holds the remaining bytes."""
     if length < 2 * PERIOD:
         raise ValueError(f"strings of at least {2 * PERIOD} bytes")
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "suffix")
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    scratch = Scratch(docs.sparkSession, "suffix")
     chunks = scratch.put(chunked(texts(docs, id_col, text_col), chunk_bytes), "chunks")
     total = chunks.agg(F.sum(F.octet_length("data").cast("long"))).first()[0] or 0
     # A bucket holds the entries of about BUCKET bytes of text.
@@ -275,15 +273,11 @@ def drop_repeated_strings(docs: DataFrame, length: int = LENGTH, chunk_bytes: in
         ("ends_found", True, lambda c, ranks, ties, marks: (c.shared(ranks), c.ties(ties), c.end_entries(marks))[2]),
     ]
     known, joined = [], chunks
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", AT_ONCE)
-    try:
-        for name, repeats, entries in rounds:
-            sent = entries_sent(joined, entries, length, bits, list(known))
-            answers = scratch.put(resolved(sent, repeats, name), name)
-            joined = joined.join(answers, "chunk", "left")
-            known.append(name)
-        out = scratch.put(cut(joined, length, bits), "cut")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for name, repeats, entries in rounds:
+        sent = entries_sent(joined, entries, length, bits, list(known))
+        answers = scratch.put(resolved(sent, repeats, name), name, AT_ONCE)
+        joined = joined.join(answers, "chunk", "left")
+        known.append(name)
+    out = scratch.put(cut(joined, length, bits), "cut", AT_ONCE)
     scratch.drop("chunks", *known)
     return out
