@@ -109,7 +109,7 @@ def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
-    return toxicity.severity(docs, docs.join(labels.withColumn("grade", grade), "doc_id"))
+    return toxicity.severity(docs, labels.select("doc_id", grade.alias("grade")))
 
 
 @query("op5_difference_cover_dedup")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm import words as W
+from presslens.llm.store import Scratch
 
 SPACE = 1 << 13
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 32, 1e-3
@@ -104,13 +105,18 @@ class Model:
 
 def learned(training: DataFrame, per_language: int, landmarks: int, ridge: float) -> bytes | None:
     """The model, fitted in one task on the bounded sample; `training` has doc_id, text and lang."""
-    # The share of each language to draw, from counts: no window over a whole language.
-    sizes = training.groupBy("lang").agg(F.count("*").alias("n"))
+    # Ids are drawn first, with the share of each language taken from its count; then only the drawn
+    # rows' texts are read into the fit, so no text and no whole language is shuffled.
+    scratch = Scratch(training.sparkSession, "language")
+    sizes = scratch.put(training.groupBy("lang").agg(F.count("*").alias("n")), "sizes")
     draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = training.withColumn("draw", draw).join(sizes, "lang")
+    drawn = training.select("doc_id", "lang", draw.alias("draw")).join(sizes, "lang")
     drawn = drawn.filter(F.col("draw") * F.col("n") < 2 * per_language + 50)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    drawn = drawn.withColumn("rank", rank).filter(F.col("rank") <= per_language)
+    drawn = drawn.withColumn("rank", rank).filter(F.col("rank") <= per_language).groupBy("doc_id", "lang").agg(F.min("rank").alias("rank"))
+    drawn = scratch.put(drawn, "drawn")
+    same = F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("t.lang") == F.col("d.lang"))
+    drawn = training.alias("t").join(drawn.alias("d"), same).select("t.text", "t.lang", "d.rank")
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("lang", "ascending"), ("rank", "ascending")])

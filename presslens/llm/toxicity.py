@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.llm import words as W
-from presslens.llm.store import texts
+from presslens.llm.store import Scratch, texts
 
 PLACES = 1 << 18
 PREFIXES = (4, 5)
@@ -86,13 +86,15 @@ def fit(row: np.ndarray, place: np.ndarray, grade: np.ndarray, steps: int, ridge
     return scales, w.astype(np.float32), np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
 
 
-def learned(labelled: DataFrame, fit_rows: int, steps: int, ridge: float) -> tuple | None:
-    """The model of a bounded sample of (doc_id, text, grade), fitted in one task."""
-    n = labelled.select("doc_id").count()
+def learned(training: DataFrame, grades: DataFrame, fit_rows: int, steps: int, ridge: float) -> tuple | None:
+    """The model of a bounded sample of (doc_id, grade) and its texts, fitted in one task."""
+    n = grades.count()
     if not n:
         return None
+    # Grades are drawn first, so that only the drawn rows' texts move.
     draw = F.pmod(F.xxhash64(F.lit("severity"), "doc_id"), F.lit(1 << 30))
-    sample = labelled.filter(draw < int((1 << 30) * min(1.0, fit_rows / n)))
+    sample = grades.filter(draw < int((1 << 30) * min(1.0, fit_rows / n)))
+    labelled = training.join(Scratch(training.sparkSession, "toxicity").put(sample, "sample"), "doc_id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = W.Fingerprint()
@@ -105,7 +107,7 @@ def learned(labelled: DataFrame, fit_rows: int, steps: int, ridge: float) -> tup
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"), pa.array(packed, pa.binary())], ["doc_id", "grade", "places"])
 
     kind = labelled.schema["doc_id"].dataType.simpleString()
-    rows = sample.select("doc_id", "text", "grade").mapInArrow(hashed, f"doc_id {kind}, grade int, places binary")
+    rows = labelled.select("doc_id", "text", "grade").mapInArrow(hashed, f"doc_id {kind}, grade int, places binary")
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("places", "ascending")])
@@ -122,14 +124,17 @@ def learned(labelled: DataFrame, fit_rows: int, steps: int, ridge: float) -> tup
 
 
 def severity(
-    docs: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS, steps: int = STEPS, ridge: float = RIDGE, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, grades: DataFrame, training: DataFrame | None = None, fit_rows: int = FIT_ROWS, steps: int = STEPS,
+    ridge: float = RIDGE, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """(doc_id, grade, severity, toxic): the likeliest grade, the expected severity, and whether P(grade > 0) is over one half.
 
-    `labelled` has (doc_id, text, grade) with grades from 0; the text may be null.
+    `grades` has (doc_id, grade) with grades from 0, of rows of `training`, by default of `docs`; an id
+    with several grades has the highest.
     """
-    graded = labelled.filter("grade IS NOT NULL").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.col("grade").cast("int").alias("grade"))
-    model = docs.sparkSession.sparkContext.broadcast(learned(graded, fit_rows, steps, ridge))
+    graded = grades.filter("grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
+    known = texts(docs if training is None else training, id_col, text_col)
+    model = docs.sparkSession.sparkContext.broadcast(learned(known, graded, fit_rows, steps, ridge))
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 

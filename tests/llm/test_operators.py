@@ -88,13 +88,14 @@ def test_severity(spark, docs, empty):
     clean = [(2000 + i, data.words(40, 900 + i), 0) for i in range(600)] + [(1, None, 0), (2, "x", None)]
     labelled = spark.createDataFrame(mild + strong + clean, "doc_id long, text string, grade int")
     fresh = [(1, data.words(60, 5000) + " Nasty"), (2, data.words(60, 5001) + " vile NASTY"), (3, data.words(60, 5002)), (4, None), (5, "")]
-    found = {r.doc_id: r for r in toxicity.severity(spark.createDataFrame(fresh, "doc_id long, text string"), labelled).collect()}
+    grades = labelled.select("doc_id", "grade")
+    found = {r.doc_id: r for r in toxicity.severity(spark.createDataFrame(fresh, "doc_id long, text string"), grades, labelled).collect()}
     assert [found[i].grade for i in (1, 2, 3)] == [1, 2, 0]
     assert found[3].severity < found[1].severity < found[2].severity <= 2
     assert not found[4].toxic and not found[5].toxic
-    assert toxicity.severity(docs, labelled).count() == len(ROWS)
-    assert toxicity.severity(empty, labelled).count() == 0
-    assert {r.severity for r in toxicity.severity(docs, labelled.limit(0)).collect()} == {0.0}
+    assert toxicity.severity(docs, grades, labelled).count() == len(ROWS)
+    assert toxicity.severity(empty, grades, labelled).count() == 0
+    assert {r.severity for r in toxicity.severity(docs, grades.limit(0)).collect()} == {0.0}
 
 
 def test_token_counts_and_cache(spark, docs, empty, library, tmp_path):
