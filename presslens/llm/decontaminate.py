@@ -54,7 +54,7 @@ def item_words(items: DataFrame) -> DataFrame:
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column("item"), part.column("item_id"), lists], ["item", "item_id", "words"])
 
-    return items.mapInArrow(run, f"item long, item_id {kind}, words array<long>").filter("size(words) > 0")
+    return items.mapInArrow(W.tidy(run), f"item long, item_id {kind}, words array<long>").filter("size(words) > 0")
 
 
 def sieve(words: DataFrame) -> np.ndarray:
@@ -67,7 +67,7 @@ def sieve(words: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
     # Four parts of SIEVE_BITS / 8 bytes each reach the driver, whatever the size of the benchmark.
-    parts = words.repartition(4).mapInArrow(run, "bits binary").collect()
+    parts = words.repartition(4).mapInArrow(W.tidy(run), "bits binary").collect()
     out = np.zeros(SIEVE_BITS // 8, np.uint8)
     for part in parts:
         out |= np.frombuffer(part.bits, np.uint8)
@@ -86,7 +86,7 @@ def frequencies(docs: DataFrame, words: DataFrame) -> DataFrame:
                 word, n = np.unique(found[keep[found.view(W.U) % W.U(SIEVE_BITS)]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n, pa.int64())], ["word", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(W.tidy(run), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return words.join(counted, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -118,7 +118,7 @@ def postings(docs: DataFrame, words: DataFrame) -> DataFrame:
                 keys = batch.column("key").take(pa.array(doc[fresh] + i))
                 yield pa.RecordBatch.from_arrays([pa.array(word[fresh]), keys, lists], ["word", "key", "places"])
 
-    found = docs.select("key", "text").mapInArrow(run, "word long, key long, places array<int>")
+    found = docs.select("key", "text").mapInArrow(W.tidy(run), "word long, key long, places array<int>")
     return found.join(words, "word", "left_semi").distinct()
 
 
@@ -163,7 +163,7 @@ def word_lists(docs: DataFrame, bits) -> DataFrame:
                 columns = [part.column("doc_id"), part.column("key"), pa.array(np.diff(cuts), pa.int64()), pa.array(own, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "own"])
 
-    return docs.select("doc_id", "key", "text").mapInArrow(run, f"doc_id {kind}, key long, n_words long, own binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(W.tidy(run), f"doc_id {kind}, key long, n_words long, own binary")
 
 
 def compared(docs: DataFrame, width: int) -> DataFrame:
@@ -192,7 +192,7 @@ def compared(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_words", "n_hit", "ids"])
 
     rows = docs.select("doc_id", "key", "n_words", "own", "at")
-    return rows.mapInArrow(run, f"doc_id {kind}, key long, n_words long, n_hit long, ids array<string>")
+    return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, key long, n_words long, n_hit long, ids array<string>")
 
 
 def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -150,4 +150,4 @@ def identify(
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), (~train).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")

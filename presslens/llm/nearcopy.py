@@ -119,7 +119,7 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 columns = [batch.column("doc_id").slice(i, j - i), pa.array(size, pa.int64()), *map(pa.array, sums), filled]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "s1", "s2", "bands"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(W.tidy(run), schema)
 
 
 def sets_of(docs: DataFrame, width: int) -> DataFrame:
@@ -134,7 +134,7 @@ def sets_of(docs: DataFrame, width: int) -> DataFrame:
                 packed = [elements[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), pa.array(packed, pa.binary())], ["node", "elements"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, elements binary")
+    return docs.select("node", "text").mapInArrow(W.tidy(run), "node long, elements binary")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -161,7 +161,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "linked", "diff"])
 
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return rows.mapInArrow(run, "a long, b long, n_a long, n_b long, linked boolean, diff binary")
+    return rows.mapInArrow(W.tidy(run), "a long, b long, n_a long, n_b long, linked boolean, diff binary")
 
 
 def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:

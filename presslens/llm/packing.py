@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslens.llm import words as W
 from presslens.llm.store import Scratch
 from presslens.llm.tokens import Encoder
 
@@ -83,7 +84,7 @@ def packed_pieces(docs: DataFrame, path: str, size: int, end_id: int, windows: i
         if space.open:
             yield table([(None, None, None, None, None, window, None, fill) for fill, window in space.open])
 
-    return docs.mapInArrow(run, PIECES + ", fill long")
+    return docs.mapInArrow(W.tidy(run), PIECES + ", fill long")
 
 
 def merged(left: DataFrame, size: int, windows: int, scratch: Scratch) -> DataFrame:

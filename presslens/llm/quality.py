@@ -85,7 +85,7 @@ def measure(docs: DataFrame, text: str) -> DataFrame:
                 rows = batch.select(keep).slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(rows.columns + [pa.array(c, pa.int64()) for c in counts(data, offsets, marks)], names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(W.tidy(run), schema)
 
 
 def base_failed(min_words: int = 50) -> Column:

@@ -88,7 +88,7 @@ def runs(rows: DataFrame, run: int, min_words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), ids.take(at), keys.take(at), pa.array(place, pa.int64())], names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"h1 long, h2 long, doc_id {kind}, key long, place long")
+    return rows.mapInArrow(W.tidy(scan), f"h1 long, h2 long, doc_id {kind}, key long, place long")
 
 
 def without(rows: DataFrame, run: int) -> DataFrame:
@@ -122,7 +122,7 @@ def without(rows: DataFrame, run: int) -> DataFrame:
                     out.append(piece.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "text"])
 
-    return rows.select("row", "text", "places").mapInArrow(cut, f"row {kind}, text binary")
+    return rows.select("row", "text", "places").mapInArrow(W.tidy(cut), f"row {kind}, text binary")
 
 
 def drop_repeated_spans(

@@ -162,7 +162,7 @@ def chunked(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), ids, ends, pa.array([data.tobytes()], pa.binary())], ["chunk", "ids", "ends", "data"])
                 number += 1
 
-    return docs.mapInArrow(run, f"chunk long, ids array<{kind}>, ends binary, data binary")
+    return docs.mapInArrow(W.tidy(run), f"chunk long, ids array<{kind}>, ends binary, data binary")
 
 
 def opened(batch: pa.RecordBatch, i: int, length: int, bits: int, answers: list[str]) -> tuple[Chunk, list]:
@@ -194,7 +194,7 @@ def entries_sent(chunks: DataFrame, entries: Callable[..., Entries], length: int
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return chunks.select("chunk", "ends", "data", *answers).mapInArrow(run, "bucket int, chunk long, high binary, low binary, flags binary")
+    return chunks.select("chunk", "ends", "data", *answers).mapInArrow(W.tidy(run), "bucket int, chunk long, high binary, low binary, flags binary")
 
 
 def resolved(sent: DataFrame, repeats: bool, name: str) -> DataFrame:
@@ -253,7 +253,7 @@ def cut(chunks: DataFrame, length: int, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     rows = chunks.select("ids", "ends", "data", *answers)
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def drop_repeated_strings(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHUNK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

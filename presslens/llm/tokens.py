@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presslens.llm import words as W
 from presslens.llm.store import Scratch
 
 CACHE_SCHEMA = "tokenizer_digest string, content_digest binary, n_tokens long"
@@ -118,7 +119,7 @@ def encoded_sizes(contents: DataFrame, path: str) -> DataFrame:
             sizes = [len(encoder.encode(text.as_py())) // 4 for text in batch.column("content")]
             yield pa.RecordBatch.from_arrays([batch.column("content_digest"), pa.array(sizes, pa.int64())], ["content_digest", "n_tokens"])
 
-    return contents.select("content_digest", "content").mapInArrow(run, "content_digest binary, n_tokens long")
+    return contents.select("content_digest", "content").mapInArrow(W.tidy(run), "content_digest binary, n_tokens long")
 
 
 def token_counts(

@@ -107,7 +107,7 @@ def learned(training: DataFrame, grades: DataFrame, fit_rows: int, steps: int, r
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"), pa.array(packed, pa.binary())], ["doc_id", "grade", "places"])
 
     kind = labelled.schema["doc_id"].dataType.simpleString()
-    rows = labelled.select("doc_id", "text", "grade").mapInArrow(hashed, f"doc_id {kind}, grade int, places binary")
+    rows = labelled.select("doc_id", "text", "grade").mapInArrow(W.tidy(hashed), f"doc_id {kind}, grade int, places binary")
 
     def one(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("places", "ascending")])
@@ -152,4 +152,4 @@ def severity(
                 columns = [shares.argmax(axis=1).astype(np.int32), over.sum(axis=1), over[:, 0] > 0.5]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, n), *map(pa.array, columns)], ["doc_id", "grade", "severity", "toxic"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, grade int, severity double, toxic boolean")
+    return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, grade int, severity double, toxic boolean")

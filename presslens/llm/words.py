@@ -7,6 +7,8 @@ block by block and kept only where they are asked for: memory does not grow with
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,28 @@ U = np.uint64
 BASE, GOLDEN = 0x9E3779B97F4A7C13, U(0x9E3779B97F4A7C15)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept for later tasks, and so is what they hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # other C libraries have no such call
+        pass
+
+
+def tidy(run):
+    """`run`, a function over an iterator of batches, that leaves no memory behind in its worker."""
+
+    def inside(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inside
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the splitmix64 finaliser)."""
     x = x + GOLDEN
