@@ -1,16 +1,21 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences: a sentence ends after a word that ends with `.`, `!` or `?` (up to
-three more signs, such as quotes and brackets, may follow), at a line break, and after `MAX_WORDS`
-words, so that long text without stops has runs too. Every run of `run` consecutive sentences with at least `min_words` words is hashed by
-its words, so that spacing does not matter. Runs are joined over the whole corpus; of those with one
-hash the first by (id, key of the row, place) stays, and every sentence that lies in any other is
-removed together with the space after it.
-
-Defined results: a null text stays null and an empty one empty; texts of fewer than `run` sentences
-are left alone; rows repeated in id and text count as one text and keep the same sentences; null ids
-come before all others; an empty table gives an empty result; whole rows travel in one column, so
-extra columns and clashing names pass through untouched.
+A text is cut into sentences: a sentence ends after a word that ends with a stop (`.`, `!`, `?` or
+the full stops of other scripts; up to three more signs, such as quotes and brackets, may follow) and
+at a line break. Where scripts have no spaces, every character is a word, which counts as half a
+word of others (Chinese, Japanese) or a quarter (Thai, Lao, Khmer, Burmese). Sentences are cut into
+pieces after `MAX_WORDS` words, so that long text without stops has runs too.
+
+From every piece a run grows until it has `run` sentence ends and `min_words` words, or `MAX_WORDS`
+words whatever their stops; one more run reaches back from the end of the text. A run is hashed by its
+words, so that spacing does not matter. Runs are joined over the whole corpus; of those with one hash
+the first by (id, key of the row, place) stays, and every piece that lies in any other is removed
+together with the space after it.
+
+Defined results: a null text stays null and an empty one empty; texts too short for a run are left
+alone; rows repeated in id and text count as one text and keep the same sentences; null ids come
+before all others; an empty table gives an empty result; whole rows travel in one column, so extra
+columns and clashing names pass through untouched.
 """
 
 from __future__ import annotations
@@ -26,42 +31,128 @@ from presslens.llm import words as W
 from presslens.llm.store import Scratch, keyed
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 10, 20
+#: Bits of a place that hold the number of pieces.
+SHIFT = 32
 _ENDS = W.byte_class(".!?")
 _SIGNS = ~W.ALNUM & ~W.byte_class("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _BREAKS = W.byte_class("\n")
+#: Stops and closing signs beyond ASCII, by their number of UTF-8 bytes.
+_STOPS = {2: "؟۔։", 3: "。！？．｡।॥…።។៕။།"}
+_CLOSERS = {2: "»", 3: "」』）】》〉〕］｝”’›、，"}
+#: A word weighs 4, a character of a script without spaces 2 or 1.
+WORD, HALF, QUARTER = 4, 2, 1
+
+
+def _codes(signs: str) -> np.ndarray:
+    return np.array([int.from_bytes(c.encode(), "big") for c in signs])
+
+
+def _beyond_ascii(data: np.ndarray, ends: np.ndarray, closing: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions where a word begins, characters that are words, their weights); marks the last bytes of stops and closing signs."""
+    glued, after = [], []
+    for size, lead in ((2, (0xC2, 0xDF)), (3, (0xE0, 0xEF))):
+        at = np.flatnonzero((data >= lead[0]) & (data <= lead[1]))
+        code = np.zeros(len(at), np.int64)
+        for k in range(size):
+            code = code << 8 | data[at + k]
+        stop, closer = np.isin(code, _codes(_STOPS[size])), np.isin(code, _codes(_CLOSERS[size]))
+        ends[at[stop] + size - 1] = True
+        closing[at[closer] + size - 1] = size
+        if size == 3:
+            glued.append(at[stop | closer])
+            after.append(at[(stop | closer) & np.isin(code >> 16, (0xE3, 0xEF))] + 3)
+    pair, free = code >> 8, ~(stop | closer)
+    half = (code >= 0xE38080) & (code <= 0xE9BFBF) | (pair >= 0xEFA4) & (pair <= 0xEFAB)
+    quarter = (pair >= 0xE0B8) & (pair <= 0xE0BB) | (pair >= 0xE180) & (pair <= 0xE182) | (pair == 0xE19E) | (pair == 0xE19F)
+    far = np.flatnonzero(data >= 0xF0)
+    far = far[(data[far] == 0xF0) & (data[far + 1] >= 0xA0)]
+    wide = np.concatenate((at[half & free], far, at[quarter & free]))
+    weight = np.repeat((HALF, QUARTER), (len(wide) - int((quarter & free).sum()), int((quarter & free).sum())))
+    after += [at[(half | quarter) & free] + 3, far + 4]
+    begin = np.setdiff1d(np.concatenate((wide, *after)), np.concatenate(glued))
+    return begin, wide, weight
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(first, last, row, weight, whether it ends with a stop) of each word."""
+    first, last, row = W.spans(W.NOT_SPACE[data], offsets)
+    ends, closing = _ENDS[data], _SIGNS[data].astype(np.int64)
+    weight = np.full(len(first), WORD)
+    if len(data) and data.max() >= 0x80:
+        begin, wide, heavy = _beyond_ascii(data, ends, closing)
+        begin = begin[begin < len(data)]
+        begin = begin[W.NOT_SPACE[data[begin]]]
+        starts = np.union1d(first, begin)
+        if len(starts) > len(first):
+            held = np.searchsorted(first, starts, "right") - 1
+            last, row = np.minimum(np.append(starts[1:], len(data)), last[held]), row[held]
+        first, weight = starts, np.full(len(starts), WORD)
+        weight[np.searchsorted(first, wide)] = heavy
+    stops, open_signs, at = np.zeros(len(first), bool), np.ones(len(first), bool), last - 1
+    for _ in range(4):
+        open_signs &= at >= first
+        spot = np.maximum(at, 0)
+        stops |= open_signs & ends[spot]
+        open_signs &= closing[spot] > 0
+        at = at - closing[spot]
+    return first, last, row, weight, stops
 
 
-def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(first word, word after the last, row) of each sentence, and (first, last, row) of each word."""
-    first, last, row = W.spans(W.NOT_SPACE[data], offsets)
+def sentences(data: np.ndarray, offsets: np.ndarray, marks: W.Fingerprint) -> tuple[np.ndarray, ...]:
+    """(first word, word after the last, row) of each piece, and (first byte, hash, weight, whether a sentence ends) of each word."""
+    first, last, row, weight, stops = split(data, offsets)
+    hashes = marks.segments(data, first, last)
     if not len(first):
         none = np.zeros(0, np.int64)
-        return none, none, none, first, last, row
+        return none, none, none, first, hashes, weight, stops
     breaks = np.concatenate(([0], np.cumsum(_BREAKS[data], dtype=np.int64)))
-    ends = np.ones(len(first), bool)
-    ends[:-1] = (row[1:] != row[:-1]) | (breaks[first[1:]] > breaks[last[:-1]])
-    open_signs = np.ones(len(first), bool)
-    for k in range(4):
-        at = last - 1 - k
-        open_signs &= at >= first
-        byte = data[np.maximum(at, 0)]
-        ends |= open_signs & _ENDS[byte]
-        open_signs &= _SIGNS[byte]
-    begin = np.concatenate(([0], np.flatnonzero(ends)[:-1] + 1))
+    new = row[1:] != row[:-1]
+    stops[-1] = True
+    stops[:-1] |= new | (breaks[first[1:]] > breaks[last[:-1]])
+    begin = np.concatenate(([0], np.flatnonzero(stops)[:-1] + 1))
     number = np.arange(len(first)) - np.repeat(begin, np.diff(np.append(begin, len(first))))
-    ends |= number % MAX_WORDS == MAX_WORDS - 1
+    ends = stops | (number % MAX_WORDS == MAX_WORDS - 1)
     after = np.flatnonzero(ends) + 1
     begin = np.concatenate(([0], after[:-1]))
-    return begin, after, row[begin], first, last, row
+    return begin, after, row[begin], first, hashes, weight, stops
+
+
+def grown(begin: np.ndarray, after: np.ndarray, row: np.ndarray, weight: np.ndarray, stops: np.ndarray, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first piece, piece after the last) of every run, in ascending order of the first."""
+    load = np.concatenate(([0], np.cumsum(weight)))
+    done = np.concatenate(([0], np.cumsum(stops)))
+    most = max(min_words, MAX_WORDS)
+
+    def enough(lo, hi):
+        words, sentence_ends = load[after[hi]] - load[begin[lo]], done[after[hi]] - done[begin[lo]]
+        return (row[lo] == row[hi]) & ((words >= WORD * min_words) & (sentence_ends >= run) | (words >= WORD * most))
+
+    # Both counts only grow along a text, so the last piece of a run is the least that suffices.
+    load_of, done_of = load[after], done[after]
+    lo = np.arange(len(begin))
+    both = np.maximum(np.searchsorted(load_of, load[begin] + WORD * min_words), np.searchsorted(done_of, done[begin] + run))
+    hi = np.minimum(both, np.searchsorted(load_of, load[begin] + WORD * most))
+    fits = hi < len(begin)
+    lo, hi = lo[fits], hi[fits]
+    fits = enough(lo, hi)
+    lo, hi = lo[fits], hi[fits]
+    # The run that reaches back from the last piece of each text: the latest first piece that suffices.
+    end = np.flatnonzero(np.append(row[1:] != row[:-1], True)) if len(row) else np.zeros(0, np.int64)
+    both = np.minimum(
+        np.searchsorted(load[begin], load_of[end] - WORD * min_words, "right"), np.searchsorted(done[begin], done_of[end] - run, "right")
+    )
+    back = np.maximum(both, np.searchsorted(load[begin], load_of[end] - WORD * most, "right")) - 1
+    end, back = end[back >= 0], back[back >= 0]
+    fits = enough(back, end)
+    pairs = np.unique(np.stack((np.append(lo, back[fits]), np.append(hi, end[fits])), axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1] + 1
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, marks: W.Fingerprint, run: int, min_words: int) -> tuple[np.ndarray, ...]:
-    """(row, number of the first sentence in its row, two hashes) of every run."""
-    begin, after, row, first, last, _ = sentences(data, offsets)
-    at = np.flatnonzero(row[run - 1 :] == row[: len(row) - run + 1]) if len(row) >= run else np.zeros(0, np.int64)
-    at = at[after[at + run - 1] - begin[at] >= min_words]
-    hashes = marks.segments(data, first, last)
-    number = at - np.searchsorted(row, row[at])
+    """(row, number of the first piece in its row and number of pieces as one value, two hashes) of every run."""
+    begin, after, row, _, hashes, weight, stops = sentences(data, offsets, marks)
+    at, to = grown(begin, after, row, weight, stops, run, min_words)
+    place = (at - np.searchsorted(row, row[at])) << SHIFT | (to - at)
     out = []
     for salt in (1, 2):
         # Word hashes chained by powers, so that any stretch of words comes from two prefix sums.
@@ -69,9 +160,9 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, marks: W.Fingerprint, run: in
             up = np.multiply.accumulate(np.concatenate((np.ones(1, W.U), np.full(len(hashes), W.BASE + 2 * salt, W.U))))
             down = np.multiply.accumulate(np.concatenate((np.ones(1, W.U), np.full(len(hashes), pow(W.BASE + 2 * salt, -1, 2**64), W.U))))
         sums = np.concatenate((np.zeros(1, W.U), np.cumsum(W.mix(hashes + W.U(salt)) * up[:-1], dtype=W.U)))
-        lo, hi = begin[at], after[at + run - 1]
+        lo, hi = begin[at], after[to - 1]
         out.append(W.mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(W.U)).view(np.int64))
-    return row[at], number, *out
+    return row[at], place, *out
 
 
 def runs(rows: DataFrame, run: int, min_words: int) -> DataFrame:
@@ -91,22 +182,25 @@ def runs(rows: DataFrame, run: int, min_words: int) -> DataFrame:
     return rows.mapInArrow(W.tidy(scan), f"h1 long, h2 long, doc_id {kind}, key long, place long")
 
 
-def without(rows: DataFrame, run: int) -> DataFrame:
-    """(row, text) with the sentences of the runs in `places` removed."""
+def without(rows: DataFrame) -> DataFrame:
+    """(row, text) with the pieces of the runs in `places` removed."""
     kind = rows.schema["row"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = W.Fingerprint()
         for batch in batches:
             places, out = batch.column("places"), []
             for i, j, data, offsets in W.slices(batch.column("text")):
-                begin, _, row, first, _, _ = sentences(data, offsets)
-                drop = np.zeros(len(begin), bool)
+                begin, _, row, first, _, _, _ = sentences(data, offsets, marks)
+                change = np.zeros(len(begin) + 1, np.int64)
                 starts = np.searchsorted(row, np.arange(j - i))
                 for r in range(j - i):
                     if places[i + r].is_valid:
-                        at = starts[r] + np.array(places[i + r].as_py(), np.int64)
-                        for k in range(run):
-                            drop[at + k] = True
+                        found = np.array(places[i + r].as_py(), np.int64)
+                        at = starts[r] + (found >> SHIFT)
+                        np.add.at(change, at, 1)
+                        np.subtract.at(change, at + (found & (1 << SHIFT) - 1), 1)
+                drop = np.cumsum(change[:-1]) > 0
                 for r in range(j - i):
                     lo, hi = starts[r], starts[r + 1] if r + 1 < j - i else len(begin)
                     gone = np.flatnonzero(drop[lo:hi]) + lo
@@ -143,6 +237,6 @@ def drop_repeated_spans(
     places = scratch.put(places, "places")
     scratch.drop("runs")
     rows = rows.join(places, "key", "left").withColumn("text", F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).cast("binary"))
-    done = without(rows, run)
+    done = without(rows)
     text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.decode("text", "UTF-8"))
     return done.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
