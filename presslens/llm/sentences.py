@@ -3,8 +3,11 @@
 A text is cut into sentences: a sentence ends after a word that ends with a stop (`.`, `!`, `?` or
 the full stops of other scripts; up to three more signs, such as quotes and brackets, may follow) and
 at a line break. Where scripts have no spaces, every character is a word, which counts as half a
-word of others (Chinese, Japanese) or a quarter (Thai, Lao, Khmer, Burmese). Sentences are cut into
-pieces after `MAX_WORDS` words, so that long text without stops has runs too.
+word of others (Chinese, Japanese) or a quarter (Thai, Lao, Khmer, Burmese). Sentences are cut further
+into pieces after the least of every `WINDOW` words in a row, by the hash of a word and the one before
+(winnowing); words that end with a stop are the least of all, so that only long sentences are cut.
+Cuts depend on the words around them only and are at most `WINDOW` words apart: of any
+2 * `WINDOW` + `MAX_WORDS` words that two texts share, a run of `MAX_WORDS` or more is the same in both.
 
 From every piece a run grows until it has `run` sentence ends and `min_words` words, or `MAX_WORDS`
 words whatever their stops; one more run reaches back from the end of the text. A run is hashed by its
@@ -31,6 +34,7 @@ from presslens.llm import words as W
 from presslens.llm.store import Scratch, keyed
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 10, 20
+WINDOW = 15
 #: Bits of a place that hold the number of pieces.
 SHIFT = 32
 _ENDS = W.byte_class(".!?")
@@ -98,6 +102,25 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return first, last, row, weight, stops
 
 
+def slid(values: np.ndarray, of: np.ufunc) -> np.ndarray:
+    """`of` over every WINDOW values in a row."""
+    size = 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        values, size = of(values[:-step], values[step:]), size + step
+    return values
+
+
+def least(values: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Whether a value above 0 is the least of any WINDOW values in a row that lie in one text."""
+    n = len(values) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(len(values), bool)
+    low = np.where(row[WINDOW - 1 :] == row[:n], slid(values, np.minimum), W.U(0))
+    rest = np.zeros(WINDOW - 1, W.U)
+    return slid(np.concatenate((rest, low, rest)), np.maximum) == values
+
+
 def sentences(data: np.ndarray, offsets: np.ndarray, marks: W.Fingerprint) -> tuple[np.ndarray, ...]:
     """(first word, word after the last, row) of each piece, and (first byte, hash, weight, whether a sentence ends) of each word."""
     first, last, row, weight, stops = split(data, offsets)
@@ -107,11 +130,11 @@ def sentences(data: np.ndarray, offsets: np.ndarray, marks: W.Fingerprint) -> tu
         return none, none, none, first, hashes, weight, stops
     breaks = np.concatenate(([0], np.cumsum(_BREAKS[data], dtype=np.int64)))
     new = row[1:] != row[:-1]
+    before = np.concatenate((np.zeros(1, W.U), np.where(new, W.U(0), hashes[:-1])))
+    ends = least(np.where(stops, W.U(1), W.mix(before * W.U(3) + hashes) | W.U(2)), row)
     stops[-1] = True
     stops[:-1] |= new | (breaks[first[1:]] > breaks[last[:-1]])
-    begin = np.concatenate(([0], np.flatnonzero(stops)[:-1] + 1))
-    number = np.arange(len(first)) - np.repeat(begin, np.diff(np.append(begin, len(first))))
-    ends = stops | (number % MAX_WORDS == MAX_WORDS - 1)
+    ends |= stops
     after = np.flatnonzero(ends) + 1
     begin = np.concatenate(([0], after[:-1]))
     return begin, after, row[begin], first, hashes, weight, stops
@@ -232,10 +255,12 @@ def drop_repeated_spans(
     found = scratch.put(runs(narrow, run, min_words), "runs")
     spot = F.struct("doc_id", "key", "place")
     first = found.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
-    again = found.withColumn("spot", spot).join(first.select("h1", "h2", "first"), ["h1", "h2"]).filter("spot <> first")
+    # Written, so that the shuffle before it is gone and a frequent hash can be dealt to several tasks of the join.
+    first = scratch.put(first.select("h1", "h2", "first"), "first")
+    again = found.withColumn("spot", spot).join(first, ["h1", "h2"]).filter("spot <> first")
     places = again.groupBy("key").agg(F.collect_set("place").alias("places"))
     places = scratch.put(places, "places")
-    scratch.drop("runs")
+    scratch.drop("runs", "first")
     rows = rows.join(places, "key", "left").withColumn("text", F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).cast("binary"))
     done = without(rows)
     text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.decode("text", "UTF-8"))

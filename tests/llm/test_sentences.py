@@ -87,6 +87,32 @@ def test_short_sentences_are_hashed(spark, form):
     assert done == {0: text, 1: ""}
 
 
+def test_cuts_fall_alike_at_every_offset(spark):
+    passage = draw(60, 2)
+    for stops in ([], [29], [14, 29, 44]):
+        own = [w + "." if i in stops else w for i, w in enumerate(passage)]
+        texts = [" ".join(draw(40, 99) + own + draw(40, 98))]
+        texts += [" ".join(draw(30 + k, 100 + k) + own + draw(45, 200 + k)) for k in range(20)]
+        done, left = cut(spark, texts), []
+        for k in range(1, 21):
+            now, before = set(done[k].split()), texts[k].split()
+            left.append([w for w in own if w in now])
+            assert [w for w in before if w not in now and w not in own] == []
+            assert len(left[-1]) <= 30
+        # Near its edges, cuts also depend on the words around the passage.
+        middle = set(own[16:44])
+        assert all(not middle & set(x) for x in left), left
+
+
+def test_every_window_of_fifty_words_loses_most(spark):
+    """Of any 50 words that an earlier text holds at least 20 go; the others lie before the first or after the last cut."""
+    source = draw(400, 3)
+    texts = [" ".join(source)] + [" ".join(draw(7 + k, 300 + k) + source[5 * k : 5 * k + 50] + draw(9, 400 + k)) for k in range(60)]
+    done = cut(spark, texts)
+    kept = [len(set(done[k + 1].split()) & set(source[5 * k : 5 * k + 50])) for k in range(60)]
+    assert max(kept) <= 30, kept
+
+
 def test_scripts_without_spaces(spark):
     rng = random.Random(4)
     text = "".join("".join(chr(rng.randint(0x4E00, 0x9F00)) for _ in range(12)) + "。" for _ in range(20))
