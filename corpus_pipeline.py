@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id."""
-    groups = nearcopy.near_duplicates(docs)
+    groups = nearcopy.near_duplicates(docs, width=5)
     gone = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
     return docs.join(Scratch(spark, "near").put(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
 

@@ -76,3 +76,11 @@ def test_empty_tables(spark, folder, tmp_path):
 def test_stages_are_as_asked():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "repeated spans", "benchmark passages", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_duplicates_take_five_words(spark):
+    """One word of 40 changed: 0.805 on four words, 0.756 on five."""
+    own = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(own)), (2, " ".join([*own[:20], "changed", *own[21:]])), (3, " ".join(own))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {1, 2}
