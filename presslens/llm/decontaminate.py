@@ -11,7 +11,8 @@ distance is off by at most that much, without being exact, are proximity matches
 
 Defined results: a null or empty text has no words, no hits and is not contaminated; an item without
 words matches nothing; an item of fewer than `width` words is one window; repeated rows get the same
-result; an empty benchmark leaves all documents clean; an empty table gives an empty result; only id
+result; an item with a null id marks its words but has no name to list; an empty benchmark leaves all
+documents clean; an empty table gives an empty result; only id
 and text are read, so other columns cannot clash.
 """
 
@@ -185,7 +186,8 @@ def compared(docs: DataFrame, width: int) -> DataFrame:
                     edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
                     for a, b in edges[edges[:, 1] - edges[:, 0] >= min(width, len(item))]:
                         seen[lo + shift + a : lo + shift + b] = True
-                        names.add(one["item_id"])
+                        if one["item_id"] is not None:
+                            names.add(one["item_id"])
                 hits.append(int(seen.sum()))
                 ids.append(sorted(names))
             columns = [batch.column(c) for c in ("doc_id", "key", "n_words")] + [pa.array(hits, pa.int64()), pa.array(ids, pa.list_(pa.string()))]

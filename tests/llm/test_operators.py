@@ -386,3 +386,12 @@ def test_fingerprints_do_not_depend_on_the_place(monkeypatch):
 
 def test_texts_are_bytes(docs):
     assert as_bytes(docs, "doc_id", "text").columns == ["doc_id", "text"]
+
+
+def test_decontaminate_with_null_item_ids(spark):
+    """An item without an id marks its words; it has no name to list."""
+    one, two = (" ".join(f"{name}{i}" for i in range(15)) for name in ("left", "right"))
+    bench = spark.createDataFrame([(None, one), ("q", two)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"{one} {two} end"), (2, one), (3, "other")], "doc_id long, text string")
+    rows = decontaminate.Index(docs, bench).contamination().collect()
+    assert {(r.doc_id, r.n_hit, tuple(r.ids)) for r in rows} == {(1, 30, ("q",)), (2, 15, ()), (3, 0, ())}
