@@ -7,7 +7,7 @@ word of others (Chinese, Japanese) or a quarter (Thai, Lao, Khmer, Burmese). Sen
 into pieces after the least of every `WINDOW` words in a row, by the hash of a word and the one before
 (winnowing); words that end with a stop are the least of all, so that only long sentences are cut.
 Cuts depend on the words around them only and are at most `WINDOW` words apart: of any
-2 * `WINDOW` + `MAX_WORDS` words that two texts share, a run of `MAX_WORDS` or more is the same in both.
+2 * `WINDOW` + `MAX_WORDS` spaced words without stops or line breaks that two texts share, a run of `MAX_WORDS` or more is the same in both.
 
 From every piece a run grows until it has `run` sentence ends and `min_words` words, or `MAX_WORDS`
 words whatever their stops; one more run reaches back from the end of the text. A run is hashed by its
