@@ -3,6 +3,8 @@
 Fingerprints are polynomial in a fixed odd base modulo 2^64 over a fixed random table of the 256
 byte values, so that the value of any segment comes from two prefix values. Prefixes are formed
 block by block and kept only where they are asked for: memory does not grow with a long text.
+Powers of an odd base agree modulo 2^64 for some long strings that are each other's complement, so a
+segment longer than `PIECE` bytes is the sum of its pieces, each spread together with its number.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 19
+#: Bytes that one polynomial covers; complementary strings first agree at 1,024.
+PIECE = 288
 U = np.uint64
 BASE, GOLDEN = 0x9E3779B97F4A7C13, U(0x9E3779B97F4A7C15)
 
@@ -83,7 +87,24 @@ class Fingerprint:
 
     def segments(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Fingerprints of data[first:last]; both arrays ascend."""
-        return mix((self.prefixes(data, last) - self.prefixes(data, first)) * self.shift(first) + (last - first).astype(U))
+        out = mix((self.prefixes(data, last) - self.prefixes(data, first)) * self.shift(first) + (last - first).astype(U))
+        long = np.flatnonzero(last - first > PIECE)
+        if len(long):
+            out[long] = self.pieced(data, first[long], last[long])
+        return out
+
+    def pieced(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Fingerprints of long segments from those of their pieces."""
+        count = -(-(last - first) // PIECE)
+        starts = np.cumsum(count) - count
+        number = np.arange(count.sum()) - np.repeat(starts, count)
+        lo = np.repeat(first, count) + PIECE * number
+        hi = np.minimum(lo + PIECE, np.repeat(last, count))
+        marks = np.unique(np.concatenate((lo, hi)))
+        values = self.prefixes(data, marks)
+        part = (values[np.searchsorted(marks, hi)] - values[np.searchsorted(marks, lo)]) * self.shift(lo) + (hi - lo).astype(U)
+        part = mix(mix(part) ^ mix(number.astype(U)))
+        return mix(np.add.reduceat(part, starts) + (last - first).astype(U))
 
 
 def byte_class(keep: str) -> np.ndarray:

@@ -395,3 +395,14 @@ def test_decontaminate_with_null_item_ids(spark):
     docs = spark.createDataFrame([(1, f"{one} {two} end"), (2, one), (3, "other")], "doc_id long, text string")
     rows = decontaminate.Index(docs, bench).contamination().collect()
     assert {(r.doc_id, r.n_hit, tuple(r.ids)) for r in rows} == {(1, 30, ("q",)), (2, 15, ()), (3, 0, ())}
+
+
+def test_complementary_strings_differ():
+    """Alternating strings and their complements agree for any polynomial of an odd base modulo 2^64 from 1,024 bytes on."""
+    for size in (512, 1024, 2048, 4096):
+        one = np.array([97 + bin(i).count("1") % 2 for i in range(size)], np.uint8)
+        both = np.concatenate((one, 195 - one, one))
+        first = np.arange(3) * size
+        for salt in (0, 1, 2):
+            x, y, again = words.Fingerprint(salt).segments(both, first, first + size)
+            assert x == again != y
