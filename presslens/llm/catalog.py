@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import decontaminate, language, nearcopy, packing, quality, sentences, sharding, suffix, tokens, toxicity
+from presslens.functions.text import bind
+from presslens.llm import decontaminate, language, nearcopy, packing, quality, runs, sentences, sharding, suffix, tokens, toxicity
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -116,3 +117,34 @@ def _(spark, sf):
 def _(spark, sf):
     found = suffix.drop_repeated_strings(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by the CRC-32 of its id, repeats a stretch of its words from some word on."""
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(draw / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+
+        def from_numbers(first, period):
+            return F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, first + F.pmod(i - first, period))))
+
+        return F.when(n > 0, bind(a, lambda first: bind(p, lambda period: F.array_join(from_numbers(first, period), " "))))
+
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    text = F.when(F.pmod(draw, F.lit(10)) == 0, F.coalesce(bind(words, repeated), F.col("text"))).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query("op13_periodic_runs")
+def _(spark, sf):
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf, "documents"))).withColumn("best", runs.strongest())
+    best = [F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")]
+    exponent = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent,
+        F.sha2(runs.listing(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
