@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.functions.text import bind
-from presslens.llm import decontaminate, language, nearcopy, packing, quality, runs, sentences, sharding, suffix, tokens, toxicity
+from presslens.llm import alignment, decontaminate, language, lines, nearcopy, packing, quality, runs, sentences, sharding, suffix, tokens, toxicity
 from presslens.llm.store import Scratch, texts
 
 QUERIES, SQL = {}, {}
@@ -148,3 +148,25 @@ def _(spark, sf):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent,
         F.sha2(runs.listing(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op12_bloom_line_dedup",
+    f"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place FROM documents),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {lines.MIN_CHARS} GROUP BY key
+        HAVING count(DISTINCT doc_id) >= {lines.MIN_DOCS}),
+    d AS (SELECT k.*, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM k LEFT JOIN r ON k.key = r.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256 FROM d GROUP BY doc_id""",
+)
+def _(spark, sf):
+    found = lines.drop_repeated_lines(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op11_fragment_alignment")
+def _(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model"))
