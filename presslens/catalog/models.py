@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presslens.catalog.registry import SEED, gazetteer, query, table
 from presslens.functions.text import clean_delete, tokenize
-from presslens.operators import learners, metrics, neighbours, split
+from presslens.operators import embeddings, learners, metrics, neighbours, split
 from presslens.operators.counts import class_share
 from presslens.operators.dedupe import keep_first_by_text
 from presslens.plans import training
@@ -15,9 +16,11 @@ from presslens.session import materialise, new_path
 from presslens.sinks.bundles import load_bundle, save_bundle
 from presslens.streaming import flows
 
-# The tuning query fits 120 forests; with 500 trees each that took 15 minutes on the test box. Its
-# trees and labelled rows are bounded here, and its result says so (columns trees and fit_rows).
-TUNE_TREES, TUNE_ROWS = 20, 100
+# The tuning query fits 120 forests on all rows; its forests have fewer trees than the production
+# forest, for the time that takes, and its result says so (column trees).
+TUNE_TREES = 20
+# As many words as the research run asks neighbours of.
+NEIGHBOUR_WORDS = 7
 
 # ---- split ---------------------------------------------------------------------------------------
 
@@ -223,6 +226,14 @@ def _(spark, sf):
     return neighbours.nearest(vectors, neighbours.centroids(vectors, "label"), 12)
 
 
+@query("embedding_index_neighbours")
+def _(spark, sf):
+    """The neighbours of the same centroids by the index; a test holds its recall against the exact ones."""
+    vectors = table(spark, sf, "embeddings")
+    found = neighbours.ProjectionIndex.build(vectors).nearest(neighbours.centroids(vectors, "label"), 12)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 # ---- classifiers ---------------------------------------------------------------------------------
 
 _fitted: dict = {}
@@ -311,19 +322,42 @@ def token_lists(spark, sf):
     return materialise(split.stratified_split(materialise(rows, "tokens"), "label"), "split")
 
 
+def embedding_model(spark, sf):
+    """(rows with buckets, model) of the published settings, trained once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf, "embedding")
+    if key not in _fitted:
+        s = learners.EMBED
+        rows = materialise(learners.embedding_rows(token_lists(spark, sf), "tokens", s["word_ngrams"], s["min_count"]), "words")
+        _fitted[key] = rows, embeddings.train(rows.filter("is_train"), s["dim"], s["lr"], s["epoch"])
+    return _fitted[key]
+
+
 @query("embedding_classifier")
 def _(spark, sf):
-    settings = learners.EMBED
-    rows = learners.gram_words(token_lists(spark, sf), "tokens", settings["word_ngrams"], settings["min_count"])
-    rows = materialise(rows, "words")
-    model = learners.embedding_classifier(**settings).fit(rows.filter("is_train"))
-    return learners.predict(model, rows.filter("NOT is_train"))
+    rows, model = embedding_model(spark, sf)
+    return model.predict(rows.filter("NOT is_train"))
+
+
+@query("word_neighbours")
+def _(spark, sf):
+    """12 neighbours, in the fitted model, of the words that most of its texts hold."""
+    rows, model = embedding_model(spark, sf)
+    words = rows.filter("is_train").select(F.explode(F.array_distinct("tokens")).alias("term"))
+    words = words.groupBy("term").agg(F.count("*").alias("texts")).withColumn("term_id", F.xxhash64("term"))
+    known = materialise(model.word_vectors(words.filter(F.col("texts") >= learners.EMBED["min_count"])), "words")
+    asked = known.orderBy(F.desc("texts"), "term").limit(NEIGHBOUR_WORDS)
+    found = neighbours.ProjectionIndex.build(known, "term_id", "vector").nearest(asked.select(F.col("term_id").alias("query_id"), "vector"), 13)
+    names = known.select("term_id", "term")
+    named = found.join(names.withColumnsRenamed({"term_id": "query_id", "term": "word"}), "query_id").filter("id <> query_id")
+    named = named.join(names.withColumnsRenamed({"term_id": "id", "term": "neighbour"}), "id")
+    rank = F.row_number().over(Window.partitionBy("word").orderBy("rank"))
+    return named.select("word", "neighbour", "cosine", rank.alias("rank")).filter("rank <= 12")
 
 
 @query("cv_tune_rf")
 def _(spark, sf):
     train = matrix(spark, sf).rows.filter("is_train")
-    return learners.tune(train, trees=TUNE_TREES, parallelism=8, fit_rows=TUNE_ROWS)
+    return learners.tune(train, trees=TUNE_TREES, parallelism=8)
 
 
 @query("grid_eval")

@@ -5,24 +5,22 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions.text import gram_array
+from presslens.operators import embeddings
+from presslens.operators.embeddings import bucketed
 from presslens.operators.joins import lookup_join
 from presslens.operators.metrics import hamming_loss
-from presslens.operators.split import class_rank, cv_folds
+from presslens.operators.split import cv_folds
 from presslens.session import materialise
 
 # Fixed values of the production and research forests, the embedding model and the tuning grids.
@@ -43,8 +41,6 @@ EMBED_GRID = [
 SEED = 1234
 # The greatest depth that MLlib trees may have.
 DEPTH = 30
-# Hashed places of words and grams under the embedding layer.
-BUCKETS = 1024
 
 
 def mtry(features: int, factor: int = 2) -> int:
@@ -95,23 +91,9 @@ def boosted_stumps(rounds: int = 11) -> GBTClassifier:
     )
 
 
-def embedding_classifier(dim=100, lr=1.0, epoch=50, word_ngrams=5, min_count=3, buckets: int = BUCKETS) -> Pipeline:
-    """A layer of `dim` units over hashed words and grams, and a softmax, trained by gradient steps.
-
-    The column `words` holds tokens and grams (see `gram_words`, which uses `word_ngrams` and
-    `min_count`). Each of the `epoch` steps of size `lr` is one distributed pass over all rows; the
-    model has buckets * dim weights, whatever the vocabulary.
-    """
-    return Pipeline(
-        stages=[
-            HashingTF(inputCol="words", outputCol="hashed", numFeatures=buckets),
-            Normalizer(inputCol="hashed", outputCol="features"),
-            MultilayerPerceptronClassifier(
-                labelCol="label", featuresCol="features", layers=[buckets, dim, 2], solver="gd", stepSize=lr,
-                maxIter=epoch, tol=0.0, seed=SEED,
-            ),
-        ]
-    )
+def embedding_rows(docs: DataFrame, tokens: str = "tokens", word_ngrams: int = 5, min_count: int = 3) -> DataFrame:
+    """`docs` with the buckets of its words and grams and their shares, as the embedding model takes them."""
+    return bucketed(gram_words(docs, tokens, word_ngrams, min_count)).drop("words")
 
 
 def gram_words(docs: DataFrame, tokens: str = "tokens", word_ngrams: int = 5, min_count: int = 3) -> DataFrame:
@@ -153,36 +135,43 @@ def tune(
     min_node: int = RF_RESEARCH_MIN_NODE,
     depth: int = DEPTH,
     parallelism: int = 4,
-    fit_rows: int | None = None,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """Repeated cross-validation over mtry: mean accuracy per value, best first.
+    """Repeated cross-validation over mtry: mean accuracy of the folds per value, best first.
 
-    Every fold is fitted once per value; nothing is fitted on all rows. `fit_rows` bounds the labelled
-    rows that are used, with the classes in proportion; without it all are.
+    All rows of `train` are used in every fit: the rows of the fold held out have weight 0, so that the
+    120 fits share one cached table, and the least node size is a share of the weight. A fit scores the
+    rows of its fold; in each repeat every row is scored once per value (`scored`).
     """
-    if fit_rows is not None:
-        share = F.lit(float(fit_rows)) / F.greatest(F.lit(train.count()), F.lit(1))
-        train = class_rank(train, "label", SEED, id_col).filter(F.col("class_rank") <= F.ceil(share * F.col("class_size"))).drop("class_rank", "class_size")
-        train = train.repartition(1)  # a bounded sample
-    scorer = MulticlassClassificationEvaluator(metricName="accuracy")
-
-    def score(data, fold, tried):
-        model = random_forest(1, trees, tried, min_node, depth).fit(data.filter(F.col("fold") != fold))
-        return scorer.evaluate(model.transform(data.filter(F.col("fold") == fold)))
-
-    rows = []
+    rows = train
     for repeat in range(repeats):
-        data = cv_folds(train, "label", folds, SEED + repeat, id_col).cache()
-        runs = [(fold, tried) for fold in range(folds) for tried in grid]
-        with ThreadPoolExecutor(parallelism) as pool:
-            found = pool.map(lambda run: score(data, *run), runs)  # noqa: B023
-            rows += [(repeat, tried, float(a)) for (_, tried), a in zip(runs, found, strict=True)]
-        data.unpersist()
-    table = train.sparkSession.createDataFrame(rows, "repeat int, mtry int, accuracy double")
-    mean = table.groupBy("mtry").agg(F.avg("accuracy").alias("accuracy"), F.countDistinct("repeat").alias("repeats"))
-    settings = {"fit_rows": F.lit(fit_rows).cast("bigint"), "trees": F.lit(trees), "folds": F.lit(folds), "min_node": F.lit(min_node)}
-    return mean.withColumns(settings).orderBy(F.desc("accuracy"), "mtry")
+        rows = cv_folds(rows, "label", folds, SEED + repeat, id_col).withColumnRenamed("fold", f"fold_{repeat}")
+    rows = materialise(rows, "folds").cache()
+    sizes = {(r["repeat"], r["fold"]): r["n"] for r in _fold_sizes(rows, repeats)}
+    total = sum(n for (repeat, _), n in sizes.items() if repeat == 0)
+
+    def score(repeat, fold, tried):
+        held_out = F.col(f"fold_{repeat}") == fold
+        share = max(1, min_node // 2) / max(1, total - sizes[repeat, fold])
+        forest = random_forest(1, trees, tried, 1, depth).setWeightCol("weight").setMinWeightFractionPerNode(min(0.49, share))
+        model = forest.fit(rows.withColumn("weight", F.when(held_out, 0.0).otherwise(1.0)))
+        right = F.count_if(F.col("prediction") == F.col("label"))
+        said = model.transform(rows.filter(held_out)).agg(right.alias("right"), F.count("*").alias("n")).first()
+        return repeat, fold, tried, said["right"] / said["n"], said["n"]
+
+    runs = [(repeat, fold, tried) for repeat, fold in sorted(sizes) for tried in grid]
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(lambda run: score(*run), runs))
+    rows.unpersist()
+    table = train.sparkSession.createDataFrame(found, "repeat int, fold int, mtry int, accuracy double, n long")
+    facts = [F.avg("accuracy").alias("accuracy"), F.countDistinct("repeat").alias("repeats"), F.countDistinct("fold").alias("folds"), F.sum("n").alias("scored")]
+    settings = {"trees": F.lit(trees), "min_node": F.lit(min_node)}
+    return table.groupBy("mtry").agg(*facts).withColumns(settings).orderBy(F.desc("accuracy"), "mtry")
+
+
+def _fold_sizes(rows: DataFrame, repeats: int) -> list:
+    folds = F.explode(F.array(*[F.struct(F.lit(r).alias("repeat"), F.col(f"fold_{r}").alias("fold")) for r in range(repeats)]))
+    return rows.select(folds.alias("x")).groupBy("x.repeat", "x.fold").agg(F.count("*").alias("n")).collect()
 
 
 def grid_eval(docs: DataFrame, configs: list[dict] = EMBED_GRID, min_count: int = EMBED["min_count"]) -> DataFrame:
@@ -191,9 +180,9 @@ def grid_eval(docs: DataFrame, configs: list[dict] = EMBED_GRID, min_count: int
     for number, config in enumerate(configs, 1):
         n = config["word_ngrams"]
         if n not in words:
-            words[n] = materialise(gram_words(docs, "tokens", n, min_count), f"grams-{n}")
-        model = embedding_classifier(**config, min_count=min_count).fit(words[n].filter("is_train"))
-        said = predict(model, words[n].filter("NOT is_train"))
+            words[n] = materialise(embedding_rows(docs, "tokens", n, min_count), f"grams-{n}")
+        model = embeddings.train(words[n].filter("is_train"), config["dim"], config["lr"], config["epoch"])
+        said = model.predict(words[n].filter("NOT is_train"))
         loss = hamming_loss(said, "label", "predicted").first()["hamming_loss"]
         rows.append((number, float(loss), config["dim"], config["lr"], config["epoch"], n))
     schema = "model_n int, ham_loss double, dim int, lr double, epoch int, word_ngrams int"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions.text import clean_delete, ngram_rows, stopwords, tokenize
-from presslens.operators import learners, metrics
+from presslens.operators import embeddings, learners, metrics
 from presslens.operators.counts import frequent_vocabulary, prune, tokens_of
 from presslens.operators.entities import ENTITY_TYPES, annotate, entity_counts
 from presslens.operators.split import stratified_split
@@ -105,7 +105,12 @@ def training_matrix(
 
 def evaluate(model, test: DataFrame) -> DataFrame:
     """The 18 metrics of a fitted model as (metric, value)."""
-    said = learners.predict(model, test).withColumn("label", F.col("label").cast("int"))
+    return judged(learners.predict(model, test))
+
+
+def judged(said: DataFrame) -> DataFrame:
+    """The 18 metrics of predictions (label, predicted) as (metric, value)."""
+    said = said.withColumn("label", F.col("label").cast("int"))
     return metrics.melt(metrics.metrics(metrics.confusion(said, "label", "predicted")))
 
 
@@ -154,7 +159,7 @@ def baselines(matrix: Matrix, trees: int = learners.RF_TREES, texts: DataFrame |
         settings = {**learners.EMBED, **embed}
         rows = matrix.rows.select("doc_id", "label", "is_train").join(texts, "doc_id")
         rows = rows.withColumn("tokens", tokenize(clean_delete(F.col("text"))))
-        rows = materialise(learners.gram_words(rows, "tokens", settings["word_ngrams"], settings["min_count"]), "words")
-        model = learners.embedding_classifier(**settings).fit(rows.filter("is_train"))
-        results["embedding\nbaseline"] = materialise(evaluate(model, rows.filter("NOT is_train")), "metrics")
+        rows = materialise(learners.embedding_rows(rows, "tokens", settings["word_ngrams"], settings["min_count"]), "words")
+        model = embeddings.train(rows.filter("is_train"), settings["dim"], settings["lr"], settings["epoch"])
+        results["embedding\nbaseline"] = materialise(judged(model.predict(rows.filter("NOT is_train"))), "metrics")
     return results

@@ -128,5 +128,3 @@ def test_settings_of_the_learners():
     assert learners.linear_svm(50, 2.0).getRegParam() == 1 / 100
     forest = learners.random_forest_research(900)
     assert (forest.getNumTrees(), forest.getFeatureSubsetStrategy(), forest.getMinInstancesPerNode()) == (500, "10", 5)
-    net = learners.embedding_classifier(**learners.EMBED_GRID[4]).getStages()[-1]
-    assert (net.getStepSize(), net.getMaxIter(), net.getLayers()[1]) == (0.05, 500, 100)
