@@ -37,6 +37,20 @@ def wanted_surfaces(
     return rows.filter("surface <> ''")
 
 
+def trie(surfaces: DataFrame) -> DataFrame:
+    """(level, prefix, longer, types): every beginning of a surface by its number of words.
+
+    `types` is set where the beginning is a surface itself, `longer` where a surface goes on.
+    """
+    words = F.split("surface", " ")
+    size = F.size(words)
+    level = F.explode(F.sequence(F.lit(1), size))
+    rows = surfaces.select("types", words.alias("words"), size.alias("size"), level.alias("level"))
+    rows = rows.select("level", F.array_join(F.slice("words", F.lit(1), F.col("level")), " ").alias("prefix"), "types", (F.col("level") < F.col("size")).alias("longer"))
+    ends = F.max(F.when(~F.col("longer"), F.col("types"))).alias("types")
+    return rows.groupBy("level", "prefix").agg(F.max("longer").alias("longer"), ends)
+
+
 def annotate(
     docs: DataFrame,
     gazetteer: DataFrame,
@@ -49,25 +63,36 @@ def annotate(
     """One row per mention: doc_id, start, surfaceForm, types; the longest match at each position.
 
     Surfaces are split into words as texts are, so `COVID-19` is found however it is written; a
-    surface listed twice has the types of both rows; surfaces may have any number of words. Each word
-    position is looked up once, by its first word; what may follow is compared inside the row, so no
-    gram is built and no match is shuffled.
+    surface listed twice has the types of both rows; surfaces may have any number of words. The words
+    from a position on are followed down a trie of all surfaces, one level per join, by the beginning
+    they spell; most positions end at the first. A level holds one row per beginning, however many
+    surfaces share it, and is broadcast only while it is small.
     """
     body = F.col(text) if max_chars is None else truncate(F.col(text), max_chars)
     words = docs.select("doc_id", tx.tokenize(body).alias("words"))
-    surfaces = wanted_surfaces(gazetteer, min_conf, types)
-    split = F.split("surface", " ")
-    entry = F.struct(F.size(split).alias("width"), "surface", "types")
-    by_first = surfaces.groupBy(split[0].alias("w0")).agg(F.collect_list(entry).alias("entries"))
-    by_first = materialise(by_first, "surfaces")
-    width = by_first.agg(F.max(F.array_max(F.transform("entries", lambda e: e["width"])))).first()[0] or 1
-    hits = lookup_join(tx.word_windows(words, "words", width, ["doc_id"]), by_first, "w0", "doc_id", max_rows=max_rows)
-    ahead = F.array(*[F.col(f"w{k}") for k in range(width)])
-    match = F.filter("entries", lambda e: F.array_join(F.slice(ahead, 1, e["width"]), " ") == e["surface"])
-    best = hits.select("doc_id", "pos", F.array_max(match).alias("hit")).filter("hit IS NOT NULL")
-    return best.select(
-        "doc_id", F.col("pos").alias("start"), F.col("hit.surface").alias("surfaceForm"), "hit.types"
-    )
+    nodes = materialise(trie(wanted_surfaces(gazetteer, min_conf, types)), "trie")
+    width = nodes.agg(F.max("level")).first()[0] or 1
+
+    def step(rows, level, how):
+        table = nodes.filter(F.col("level") == level).select("prefix", F.col("longer").alias("_longer"), F.col("types").alias("_types"))
+        return lookup_join(rows, table, "prefix", "doc_id", how, max_rows)
+
+    rows = tx.word_windows(words, "words", width, ["doc_id"])
+    ahead = [F.col(f"w{k}") for k in range(1, width)]
+    rows = step(rows.select("doc_id", "pos", F.col("w0").alias("prefix"), *ahead), 1, "inner")
+    found = F.struct(F.col("prefix").alias("surface"), F.col("_types").alias("types"))
+    none = F.lit(None).cast("struct<surface: string, types: string>")
+    for level in range(1, width + 1):
+        hit = F.when(F.col("_types").isNotNull(), found).otherwise(F.col("hit") if level > 1 else none)
+        rows = rows.select("doc_id", "pos", "prefix", hit.alias("hit"), F.coalesce("_longer", F.lit(False)).alias("longer"), *ahead[level - 1 :])
+        if level < width:
+            # Where no surface goes on, a text that no surface has keeps rows from meeting in one task.
+            following = F.concat_ws(" ", "prefix", f"w{level}")
+            off = F.concat_ws("\x01", F.lit(""), F.col("doc_id").cast("string"), F.col("pos").cast("string"))
+            prefix = F.when(F.col("longer") & F.col(f"w{level}").isNotNull(), following).otherwise(off)
+            rows = step(rows.select("doc_id", "pos", prefix.alias("prefix"), "hit", *ahead[level:]), level + 1, "left")
+    best = rows.filter("hit IS NOT NULL")
+    return best.select("doc_id", F.col("pos").alias("start"), F.col("hit.surface").alias("surfaceForm"), "hit.types")
 
 
 def entity_counts(mentions: DataFrame, types: list[str] | None = None, id_col: str = "doc_id") -> DataFrame:

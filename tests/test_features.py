@@ -9,7 +9,7 @@ from presslens.functions.text import ngram_rows
 from presslens.operators import counts as ct
 from presslens.operators import entities as en
 from presslens.operators import tfidf as tf
-from presslens.session import new_path
+from presslens.session import BROADCAST_ROWS, new_path
 
 DOCS = [(1, "a a b"), (2, "a c"), (3, "b b b b"), (4, "zzz")]
 
@@ -101,3 +101,23 @@ def test_surfaces_are_words_of_any_number_and_keep_all_types(spark):
     docs = spark.createDataFrame([(1, "the Covid-19 case; one two three, four five six seven eight")], "doc_id long, text string")
     got = {(r["start"], r["surfaceForm"], r["types"]) for r in en.annotate(docs, gaz).collect()}
     assert got == {(1, "covid 19", "DBpedia:Disease,DBpedia:Work"), (4, "one two three four five six seven", "DBpedia:Person")}
+
+
+def test_many_surfaces_behind_one_word(spark):
+    """A word that begins thousands of surfaces is one row of the trie, and texts find the longest of them."""
+    names = [f"north n{i}" + (f" m{i}" if i % 3 == 0 else "") for i in range(5000)] + ["north", "north n7 x y z"]
+    gaz = spark.createDataFrame([(n, "DBpedia:Person", 0.9) for n in names], "surface string, types string, confidence double")
+    texts = ["north", "to north n7 x y", "north n7 x y z", "North n9 m9 north n9 m8", "n9 north", "north n4999 north n5000", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = []
+    for i, text in enumerate(texts):
+        words = text.lower().split()
+        for a in range(len(words)):
+            fits = [" ".join(words[a:b]) for b in range(a + 1, len(words) + 1) if " ".join(words[a:b]) in names]
+            if fits:
+                want.append((i, a, fits[-1]))
+    for rows in (BROADCAST_ROWS, 0):
+        got = en.annotate(docs, gaz, max_rows=rows).collect()
+        assert sorted((r["doc_id"], r["start"], r["surfaceForm"]) for r in got) == want
+    nodes = en.trie(en.wanted_surfaces(gaz))
+    assert nodes.filter("level = 1").count() == 1 and nodes.filter("level = 2").count() == 5000
