@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslens.functions.text import JOIN_BOTH, JOIN_DIGITS, JOIN_LETTERS
 from presslens.operators.entities import ENTITY_TYPES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +111,18 @@ def sql_tokens(col: str = "text") -> str:
     return rf"list_filter(regexp_split_to_array(lower({col}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
 
 
+def sql_unicode_words(col: str = "text") -> str:
+    """Words by the Unicode word boundary rules, matched instead of separated: letters and digits with what joins them."""
+    letters, digits = (re.escape(a + JOIN_BOTH).replace("'", "''") for a in (JOIN_LETTERS, JOIN_DIGITS))
+    letter, more = r"[^\P{L}\p{Han}\p{Hiragana}]", r"[\p{L}\p{M}\p{Cf}]"
+    more = r"(?:[^\P{L}\p{Han}\p{Hiragana}]|[\p{M}\p{Cf}])"
+    digit = r"\p{Nd}[\p{Nd}\p{M}\p{Cf}]*"
+    spelt = rf"{letter}{more}*(?:[{letters}]{letter}{more}*)*"
+    number = rf"{digit}(?:[{digits}]{digit})*"
+    alone = r"[\p{Han}\p{Hiragana}][\p{M}\p{Cf}]*"
+    return rf"regexp_extract_all(lower({col}), '(?:{spelt}|{number}|[\p{{Nl}}\p{{Pc}}][\p{{M}}\p{{Cf}}]*)+|{alone}')"
+
+
 def sql_clean_delete(col: str = "text") -> str:
     edge = "' ' || chr(9) || chr(10) || chr(13)"
     return rf"trim(regexp_replace({col}, '\p{{Cc}}+|[^\p{{L}}\p{{M}}\p{{N}}\s\-]', '', 'g'), {edge})"

@@ -15,6 +15,7 @@ from presslens.catalog.registry import (
     sql_grams,
     sql_list,
     sql_tokens,
+    sql_unicode_words,
     stopword_lists,
     table,
 )
@@ -48,6 +49,12 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", joined.alias("words"))
 
 
+@query("word_tokenize_unicode", f"SELECT doc_id, array_to_string({sql_unicode_words()}, ' ') AS words FROM documents")
+def _(spark, sf):
+    joined = F.array_join(tx.unicode_words(F.col("text")), " ")
+    return table(spark, sf, "documents").select("doc_id", joined.alias("words"))
+
+
 @query(
     "split_to_rows",
     r"""SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS word

@@ -31,6 +31,35 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
 
 
+# Characters that join two letters, two digits, or either, by the Unicode word boundary rules.
+JOIN_LETTERS, JOIN_DIGITS, JOIN_BOTH = ":\u00b7\u0387\u05f4\u2027\ufe13\ufe55\uff1a", ",;\u037e\u0589\u060c\u066c\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b", ".'\u2018\u2019\u2024\ufe52\uff07\uff0e"
+# Scripts whose characters are words by themselves.
+ALONE = r"\p{IsHan}\p{IsHiragana}"
+_PART = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\p{Cf}"
+
+
+def word_separators() -> str:
+    """What stands between words by the Unicode word boundary rules, as a pattern of single separators.
+
+    A joining character between two letters (or two digits, marks aside) is no separator; a run of
+    other characters that no word has is one; characters of scripts without spaces are cut on both sides.
+    """
+    every = JOIN_LETTERS + JOIN_DIGITS + JOIN_BOTH
+    letters, digits = JOIN_LETTERS + JOIN_BOTH, JOIN_DIGITS + JOIN_BOTH
+    letter, digit = rf"[\p{{L}}&&[^{ALONE}]]", r"\p{Nd}"
+    joined = rf"(?<={letter}[\p{{M}}\p{{Cf}}]{{0,4}})[{letters}](?={letter})|(?<={digit}[\p{{M}}\p{{Cf}}]{{0,4}})[{digits}](?={digit})"
+    # A joining character that is not joined: no match of `joined` begins at it.
+    return rf"[^{_PART}{every}]+|(?!{joined})[{every}]|(?<=[{ALONE}])(?![\p{{M}}\p{{Cf}}])|(?=[{ALONE}])"
+
+
+def unicode_words(text: Column) -> Column:
+    """Lower-cased words by the Unicode word boundary rules: `don't`, `3.14` and `u.s` are one word each.
+
+    Runs of marks or joiners alone are no words.
+    """
+    return F.filter(F.split(F.lower(text), word_separators()), lambda w: w.rlike(r"[\p{L}\p{Nd}\p{Nl}\p{Pc}]"))
+
+
 def stopwords(lang: str = "portuguese") -> list[str]:
     """Spark's stop-word list of a language (a few hundred words); needs a running session."""
     return sorted(set(StopWordsRemover.loadDefaultStopWords(lang)))

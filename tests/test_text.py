@@ -110,3 +110,36 @@ def test_label_from_path_uses_the_base_name(spark):
     paths = ["x/labeled_data/labeled_data/no_covid_label-1.json", "x/labeled_data/pub-2.json"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     assert [r[0] for r in df.select(sc.label_from_path(F.col("p"))).collect()] == [False, True]
+
+
+# Cases of the published word boundary rules: text, words.
+BOUNDARIES = [
+    ("The quick (\u201cbrown\u201d) fox can\u2019t jump 32.3 feet, right?", "the quick brown fox can\u2019t jump 32.3 feet right"),
+    ("don't stop, 'quoted' words' end", "don't stop quoted words end"),
+    ("3.14 1,234.5 3a A_B 1:2 a:b a.b. U.S. etc.", "3.14 1,234.5 3a a_b 1 2 a:b a.b u.s etc"),
+    ("a,b 1.a a.1 ..a.. 'tis o''clock x;y 1;2", "a b 1 a a 1 a tis o clock x y 1;2"),
+    ("caf\u00e9 cafe\u0301s l'\u00e9t\u00e9 e\u0301'e\u0301", "caf\u00e9 cafe\u0301s l'\u00e9t\u00e9 e\u0301'e\u0301"),
+    ("\u6f22\u5b57 ab\u6f22cd \u3042\u3044", "\u6f22 \u5b57 ab \u6f22 cd \u3042 \u3044"),
+    ("a\u00ad\u200db zero\u200dwidth", "a\u00ad\u200db zero\u200dwidth"),
+    ("can't-stop e-mail x=y $5 50% #tag @me", "can't stop e mail x y 5 50 tag me"),
+    ("", ""),
+    ("... !!! -- '", ""),
+]
+
+
+def test_unicode_words(spark):
+    rows = spark.createDataFrame(list(enumerate(t for t, _ in BOUNDARIES)), "i int, text string")
+    got = {r.i: r.words for r in rows.select("i", F.array_join(tx.unicode_words(F.col("text")), " ").alias("words")).collect()}
+    assert [got[i] for i in range(len(BOUNDARIES))] == [w for _, w in BOUNDARIES]
+    long = spark.createDataFrame([("a.b" * 40_000 + " " + "1,2;" * 40_000 + "!?" * 50_000,)], "text string")
+    assert long.select(F.size(tx.unicode_words(F.col("text")))).first()[0] == 2
+
+
+def test_unicode_words_twin(spark):
+    """The SQL, which matches words, agrees with the separators on the published cases."""
+    import duckdb
+
+    from presslens.catalog.registry import sql_unicode_words
+
+    for given, words in BOUNDARIES:
+        assert " ".join(duckdb.execute(f"SELECT {sql_unicode_words('?')}", [given]).fetchone()[0]) == words
