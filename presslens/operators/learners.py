@@ -174,19 +174,22 @@ def _fold_sizes(rows: DataFrame, repeats: int) -> list:
     return rows.select(folds.alias("x")).groupBy("x.repeat", "x.fold").agg(F.count("*").alias("n")).collect()
 
 
-def grid_eval(docs: DataFrame, configs: list[dict] = EMBED_GRID, min_count: int = EMBED["min_count"]) -> DataFrame:
+def grid_eval(docs: DataFrame, configs: list[dict] = EMBED_GRID, min_count: int = EMBED["min_count"], parallelism: int = 3) -> DataFrame:
     """One row per configuration with its Hamming loss; `docs` has tokens, label and is_train."""
-    rows, words = [], {}
-    for number, config in enumerate(configs, 1):
-        n = config["word_ngrams"]
-        if n not in words:
-            words[n] = materialise(embedding_rows(docs, "tokens", n, min_count), f"grams-{n}")
-        model = embeddings.train(words[n].filter("is_train"), config["dim"], config["lr"], config["epoch"])
-        said = model.predict(words[n].filter("NOT is_train"))
+    lengths = sorted({config["word_ngrams"] for config in configs})
+    words = {n: materialise(embedding_rows(docs, "tokens", n, min_count), f"grams-{n}") for n in lengths}
+
+    def run(number, config):
+        rows = words[config["word_ngrams"]]
+        model = embeddings.train(rows.filter("is_train"), config["dim"], config["lr"], config["epoch"])
+        said = model.predict(rows.filter("NOT is_train"))
         loss = hamming_loss(said, "label", "predicted").first()["hamming_loss"]
-        rows.append((number, float(loss), config["dim"], config["lr"], config["epoch"], n))
+        return number, float(loss), config["dim"], config["lr"], config["epoch"], config["word_ngrams"]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(run, range(1, len(configs) + 1), configs))
     schema = "model_n int, ham_loss double, dim int, lr double, epoch int, word_ngrams int"
-    return docs.sparkSession.createDataFrame(rows, schema)
+    return docs.sparkSession.createDataFrame(found, schema)
 
 
 def gaussian_moments(weights: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

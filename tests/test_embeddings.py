@@ -52,16 +52,16 @@ def test_training_is_the_plain_loop(rows):
     output = np.zeros((2, dim))
     for e in range(epoch):
         step = lr * (1 - e / epoch)
+        held, before, turn = output.copy(), {b: v.copy() for b, v in vectors.items()}, np.zeros((2, dim))
         for d in np.random.default_rng((embeddings.SEED, e)).permutation(len(texts)):
             row = texts[d]
             hidden = sum(s * vectors[b] for b, s in zip(row.ids, row.shares, strict=True))
-            scores = np.exp(output @ hidden)
-            error = (np.arange(2) == row.label) - scores / scores.sum()
-            back = error @ output
-            for c in (0, 1):
-                output[c] = output[c] + step * error[c] * hidden
+            scores = np.exp(held @ hidden)
+            error = step * ((np.arange(2) == row.label) - scores / scores.sum())
             for b, s in zip(row.ids, row.shares, strict=True):
-                vectors[b] = vectors[b] + step * s * back
+                turn += np.outer(error, s * before[b])
+                vectors[b] = vectors[b] + s * (error @ held)
+        output = held + turn * min(1, max(embeddings.FIRST_STEP, np.linalg.norm(held)) / np.linalg.norm(turn))
     for rounds in (1, 4):
         model = embeddings.train(rows.filter("is_train"), dim, lr, epoch, rounds=rounds, part_rows=10_000)
         got = {r.bucket: np.array(r.vector) for r in model.vectors.collect()}
