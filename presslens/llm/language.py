@@ -19,11 +19,11 @@ table gives an empty result; extra columns are left out.
 from __future__ import annotations
 
 import io
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +33,7 @@ from presslens.llm.store import Scratch
 SPACE = 1 << 13
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 32, 1e-3
 BLOCK_ROWS = 256
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
 def presence(texts: list[str]) -> np.ndarray:
