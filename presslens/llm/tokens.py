@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +27,6 @@ CACHE_SCHEMA = "tokenizer_digest string, content_digest binary, n_tokens long"
 #: Pieces remembered per task; beyond it the memory starts anew.
 MEMORY = 700_000
 
-# A space with white space on either side, in any reading of "white space".
-_CLOSE_SPACES = re.compile(r" \s|\s ")
-
 
 class Encoder:
     """Ids of texts without begin, end or added special tokens.
@@ -78,20 +74,25 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not self.cuts or _CLOSE_SPACES.search(text) or any(s in text for s in self.specials):
-            return np.array(self.library([text])[0], "<u4").tobytes()
         head, *rest = text.split(" ")
-        found, out = self.pieces, [self.piece(head)]
-        for part in rest:
-            ids = found.get(part)
-            if ids is None:
-                if len(found) >= self.memory:
-                    found.clear()
-                ids = self.piece(" " + part)
-                if len(part) < 64:
-                    found[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        if not self.cuts or head[-1:].isspace() or any(s in text for s in self.specials):
+            return self.whole(text)
+        out = list(map(self.pieces.get, rest))
+        if None in out:
+            if len(self.pieces) >= self.memory:
+                self.pieces.clear()
+            for k, part in enumerate(rest):
+                if out[k] is None:
+                    # Pieces that are remembered have no white space at their ends.
+                    if not part or part[0].isspace() or part[-1].isspace():
+                        return self.whole(text)
+                    out[k] = self.pieces.get(part) or self.piece(" " + part)
+                    if len(part) < 64:
+                        self.pieces[part] = out[k]
+        return self.piece(head) + b"".join(out)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library([text])[0], "<u4").tobytes()
 
 
 def byte_letters() -> dict[int, int]:
