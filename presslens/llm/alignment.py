@@ -44,7 +44,7 @@ from presslens.llm.tokens import byte_letters
 from presslens.operators.joins import lookup_join
 
 #: Longer texts, in bytes, are dealt in ranges of CHUNK characters; a range begins at most REACH after a lone space.
-LONG, CHUNK, REACH = 1 << 18, 1 << 16, 1 << 14
+LONG, CHUNK, REACH = 1 << 16, 1 << 14, 1 << 12
 FAN_IN = 16
 #: Pairs whose counts are held in every task.
 HELD = 1 << 22

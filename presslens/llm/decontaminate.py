@@ -21,13 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm import words as W
-from presslens.llm.store import Scratch, keyed
+from presslens.llm.store import Scratch, row_key
 
 WIDTH = 13
 #: Size of the bit set that tasks use to skip words; the index is the same whatever it lets through.
@@ -138,16 +137,6 @@ def alignments(pairs: DataFrame, index: DataFrame, slop: int) -> DataFrame:
     return near.filter(F.col("gap") <= slop).groupBy("item", "key", "shift").agg(F.min("gap").alias("gap"))
 
 
-def sieved(key: Column, bits) -> Column:
-    """Whether the bit set (broadcast) may hold the key."""
-
-    @F.pandas_udf("boolean")
-    def found(keys):
-        return pd.Series(np.unpackbits(bits.value).astype(bool)[keys.to_numpy().view(W.U) % W.U(SIEVE_BITS)])
-
-    return found(key)
-
-
 def word_lists(docs: DataFrame, bits) -> DataFrame:
     """(doc_id, key, n_words, own): the number of words of every text, and the hashed words where `bits` may hold the key."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -178,16 +167,17 @@ def compared(docs: DataFrame, width: int) -> DataFrame:
                 own = np.frombuffer(packed.as_buffer(), np.int64) if at.is_valid else np.zeros(0, np.int64)
                 seen, names = np.zeros(len(own), bool), set()
                 for one in at.as_py() or ():
-                    item, shift = np.array(one["words"], np.int64), one["shift"]
-                    lo, hi = max(0, -shift), min(len(item), len(own) - shift)
-                    if hi <= lo:
-                        continue
-                    same = np.concatenate(([0], (own[lo + shift : hi + shift] == item[lo:hi]).astype(np.int8), [0]))
-                    edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
-                    for a, b in edges[edges[:, 1] - edges[:, 0] >= min(width, len(item))]:
-                        seen[lo + shift + a : lo + shift + b] = True
-                        if one["item_id"] is not None:
-                            names.add(one["item_id"])
+                    item = np.array(one["words"], np.int64)
+                    for shift in one["shifts"]:
+                        lo, hi = max(0, -shift), min(len(item), len(own) - shift)
+                        if hi <= lo:
+                            continue
+                        same = np.concatenate(([0], (own[lo + shift : hi + shift] == item[lo:hi]).astype(np.int8), [0]))
+                        edges = np.flatnonzero(np.diff(same)).reshape(-1, 2)
+                        for a, b in edges[edges[:, 1] - edges[:, 0] >= min(width, len(item))]:
+                            seen[lo + shift + a : lo + shift + b] = True
+                            if one["item_id"] is not None:
+                                names.add(one["item_id"])
                 hits.append(int(seen.sum()))
                 ids.append(sorted(names))
             columns = [batch.column(c) for c in ("doc_id", "key", "n_words")] + [pa.array(hits, pa.int64()), pa.array(ids, pa.list_(pa.string()))]
@@ -197,14 +187,6 @@ def compared(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, key long, n_words long, n_hit long, ids array<string>")
 
 
-def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose key is not in `keys`, a written table; only rows that a bit set lets through are joined."""
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(keys.select("key")))
-    rows = keyed(docs, id_col, text_col).withColumn("maybe", sieved(F.col("key"), bits))
-    kept = rows.filter("NOT maybe").select("row").unionByName(rows.filter("maybe").join(keys, "key", "left_anti").select("row"))
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-
-
 class Index:
     """The postings of the anchors of one benchmark over one corpus."""
 
@@ -214,7 +196,7 @@ class Index:
         text = F.coalesce(F.col(item_text), F.lit(""))
         items = bench.select(F.xxhash64(item_col, item_text).alias("item"), F.col(item_col).cast("string").alias("item_id"), text.cast("binary").alias("text"))
         self.items = self.scratch.put(item_words(items).distinct(), "items")
-        key = F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")
+        key = row_key(id_col, text_col).alias("key")
         narrow = self.narrow = docs.select(F.col(id_col).alias("doc_id"), key, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
         vocabulary = self.items.select(F.explode("words").alias("word")).distinct()
         counts = self.scratch.put(frequencies(narrow, vocabulary), "frequencies")
@@ -227,8 +209,9 @@ class Index:
 
         Words travel only of documents with an alignment, which a bit set of fixed size tells from most others.
         """
-        found = alignments(self.pairs, self.postings, 0).join(self.items, "item")
-        found = found.groupBy("key").agg(F.collect_set(F.struct("item_id", "words", "shift")).alias("at"))
+        # The shifts of an item in a document first, so that its words come once, however often it may stand there.
+        found = alignments(self.pairs, self.postings, 0).groupBy("key", "item").agg(F.collect_set("shift").alias("shifts")).join(self.items, "item")
+        found = found.groupBy("key").agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("at"))
         found = self.scratch.put(found, "alignments")
         bits = self.docs.sparkSession.sparkContext.broadcast(sieve(found.select("key")))
         return compared(word_lists(self.narrow, bits).join(found, "key", "left"), self.width)
@@ -237,7 +220,7 @@ class Index:
         """(doc_id, item_id, gap): documents with both anchors of a window at most `slop` off, but not exact."""
         near = alignments(self.pairs, self.postings, slop).join(self.items, "item")
         near = near.groupBy("key", "item_id").agg(F.min("gap").alias("gap")).filter("gap > 0")
-        ids = self.docs.select(F.xxhash64(self.id_col, self.text_col).alias("key"), F.col(self.id_col).alias("doc_id"))
+        ids = self.docs.select(row_key(self.id_col, self.text_col).alias("key"), F.col(self.id_col).alias("doc_id"))
         return ids.join(near, "key").select("doc_id", "item_id", "gap")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslens.llm import words as W
-from presslens.llm.store import Scratch
+from presslens.llm.store import Scratch, row_key
 from presslens.operators.joins import lookup_join
 
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -180,7 +180,7 @@ def suspects(rows: DataFrame, twice, min_chars: int) -> DataFrame:
                 columns = [batch.column("doc_id").take(at), batch.column("key").take(at), pa.array([d for _, d in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.list_(pa.int64()))], ["doc_id", "key", "digest", "numbers"])
 
-    return rows.select("doc_id", "key", "text").mapInArrow(W.tidy(run), f"doc_id {kind}, key binary, digest binary, numbers array<bigint>")
+    return rows.select("doc_id", "key", "text").mapInArrow(W.tidy(run), f"doc_id {kind}, key bigint, digest binary, numbers array<bigint>")
 
 
 def without(rows: DataFrame) -> DataFrame:
@@ -210,15 +210,23 @@ def without(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(W.tidy(run), f"doc_id {kind}, none boolean, text binary, n_lines bigint, n_dropped bigint")
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """128 bits of id and text; nulls are no empty texts."""
-    parts = [F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)]
-    halves = [F.hex(F.xxhash64(F.lit(seed), *parts)) for seed in (1, 2)]
-    return F.unhex(F.concat(*[F.lpad(h, 16, "0") for h in halves]))
+def same_row(left: str, right: str) -> Column:
+    return (F.col(f"{left}.key") == F.col(f"{right}.key")) & F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that are not in `gone` (doc_id, key), a written table; only rows that a filter lets through are joined."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(filled(gone.select(F.col("key").alias("hash")), 1).tobytes())
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), whole)
+    rows = rows.withColumn("maybe", may_hold(F.col("key"), bitmap))
+    left = rows.filter("maybe").alias("r").join(gone.alias("g"), same_row("r", "g"), "left_anti")
+    kept = rows.filter("NOT maybe").select("row").unionByName(left.select("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def lines_to_drop(rows: DataFrame, scratch: Scratch, min_chars: int, min_docs: int) -> DataFrame:
-    """(key, numbers): the numbers of the lines that the rows of each key lose, a written table."""
+    """(doc_id, key, numbers): the numbers of the lines that the rows lose, a written table."""
     spread = rows.sparkSession.sparkContext.broadcast
     hashes = scratch.put(line_hashes(rows, min_chars), "hashes")
     found = scratch.put(suspects(rows, spread(filled(hashes, 2).tobytes()), min_chars), "suspects")
@@ -230,7 +238,7 @@ def lines_to_drop(rows: DataFrame, scratch: Scratch, min_chars: int, min_docs: i
     repeated = scratch.put(repeated.select("digest", "keeper"), "repeated")
     again = lookup_join(found, repeated, "digest", "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     numbers = F.array_distinct(F.flatten(F.collect_list("numbers")))
-    places = scratch.put(again.groupBy("key").agg(numbers.alias("numbers")), "places")
+    places = scratch.put(again.groupBy("doc_id", "key").agg(numbers.alias("numbers")), "places")
     scratch.drop("suspects", "repeated")
     return places
 
@@ -248,8 +256,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
     )
     places = lines_to_drop(rows, scratch, min_chars, min_docs)
-    bitmap = docs.sparkSession.sparkContext.broadcast(filled(places.select(F.xxhash64("key").alias("hash")), 1).tobytes())
-    marked = rows.withColumn("maybe", may_hold(F.xxhash64("key"), bitmap))
+    bitmap = docs.sparkSession.sparkContext.broadcast(filled(places.select(F.col("key").alias("hash")), 1).tobytes())
+    marked = rows.withColumn("maybe", may_hold(F.col("key"), bitmap))
     free = marked.filter("NOT maybe").withColumn("numbers", F.lit(None).cast("array<bigint>"))
-    done = without(free).unionByName(without(marked.filter("maybe").join(places, "key", "left")))
+    cut = marked.filter("maybe").alias("r").join(places.alias("p"), same_row("r", "p"), "left").select("r.doc_id", "none", "text", "numbers")
+    done = without(free).unionByName(without(cut))
     return done.select("doc_id", F.when(~F.col("none"), F.decode("text", "UTF-8")).alias("text"), "n_lines", "n_dropped")

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from presslens.llm import words as W
 from presslens.llm.store import Scratch, texts
+from presslens.operators.joins import lookup_join
 
 WIDTH, BANDS, ROWS = 4, 28, 4
 #: Members of a hub that one task holds against as many others.
@@ -222,7 +223,7 @@ def joined(pairs: np.ndarray) -> np.ndarray:
         label = fresh
 
 
-def across_components(members: DataFrame, percent: int) -> DataFrame:
+def across_components(members: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): links between components inside the groups of one hub, enough to join what belongs together.
 
     `members` has hub, node, component, n (size of the set) and diff (from the hub's set). Two sets
@@ -231,7 +232,9 @@ def across_components(members: DataFrame, percent: int) -> DataFrame:
     counts shared elements as matrix products and sends no more links than it has members.
     """
     sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # Broadcast while small, else salted: either way rows are not dealt by hub, and pairs of blocks are.
+    rows = lookup_join(members, scratch.put(sizes, "sizes"), "hub", "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
         "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "n", "diff"
@@ -316,7 +319,7 @@ def near_duplicates(
     rows = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     rows = scratch.put(rows.join(mixed.select("hub"), "hub"), "mixed")
-    links = scratch.put(links.unionByName(across_components(rows, percent)).unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
+    links = scratch.put(links.unionByName(across_components(rows, percent, scratch)).unionByName(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
     scratch.drop("star", "mixed")
     groups = components(links, scratch, "groups").select(F.col("node").alias("class_id"), "component")
 

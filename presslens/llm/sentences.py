@@ -31,10 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.llm import words as W
-from presslens.llm.store import Scratch, keyed
+from presslens.llm.lines import filled, may_hold, same_row
+from presslens.llm.store import Scratch, row_key
 
 RUN, MIN_WORDS, MAX_WORDS = 2, 10, 20
 WINDOW = 15
+#: A name that no column of a table has.
+TO_CUT = "_presslens_to_cut"
 #: Bits of a place that hold the number of pieces.
 SHIFT = 32
 _ENDS = W.byte_class(".!?")
@@ -206,8 +209,8 @@ def runs(rows: DataFrame, run: int, min_words: int) -> DataFrame:
 
 
 def without(rows: DataFrame) -> DataFrame:
-    """(row, text) with the pieces of the runs in `places` removed."""
-    kind = rows.schema["row"].dataType.simpleString()
+    """(rest, text) with the pieces of the runs in `places` removed."""
+    kind = rows.schema["rest"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = W.Fingerprint()
@@ -237,31 +240,37 @@ def without(rows: DataFrame) -> DataFrame:
                         keep = np.cumsum(change[:-1]) == 0
                         piece = piece[keep]
                     out.append(piece.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(out, pa.binary())], ["rest", "text"])
 
-    return rows.select("row", "text", "places").mapInArrow(W.tidy(cut), f"row {kind}, text binary")
+    return rows.select("rest", "text", "places").mapInArrow(W.tidy(cut), f"rest {kind}, text binary")
 
 
 def drop_repeated_spans(
     docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """`docs` with its text column cut; every row stays."""
+    """`docs` with its text column cut; every row stays.
+
+    Only rows that may have a place to cut are joined and go through Python, without a second copy of
+    their text; a filter of the keys of such rows tells most others.
+    """
     scratch = Scratch(docs.sparkSession, "sentences")
-    rows = keyed(docs, id_col, text_col)
-    narrow = docs.select(
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
-    )
-    found = scratch.put(runs(narrow, run, min_words), "runs")
+    # Rows are told apart by id and key, so that a key of 64 bits need only do so among rows of one id.
+    key = row_key(id_col, text_col).alias("key")
+    doc = F.col(id_col).alias("doc_id")
+    body = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
+    found = scratch.put(runs(docs.select(key, doc, body), run, min_words), "runs")
     spot = F.struct("doc_id", "key", "place")
     first = found.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.max(spot).alias("last")).filter("first < last")
     # Written, so that the shuffle before it is gone and a frequent hash can be dealt to several tasks of the join.
     first = scratch.put(first.select("h1", "h2", "first"), "first")
     again = found.withColumn("spot", spot).join(first, ["h1", "h2"]).filter("spot <> first")
-    places = again.groupBy("key").agg(F.collect_set("place").alias("places"))
+    places = again.groupBy("doc_id", "key").agg(F.collect_set("place").alias("places"))
     places = scratch.put(places, "places")
     scratch.drop("runs", "first")
-    rows = rows.join(places, "key", "left").withColumn("text", F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).cast("binary"))
-    done = without(rows)
-    text = F.when(F.col(f"row.`{text_col}`").isNotNull(), F.decode("text", "UTF-8"))
-    return done.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    bitmap = docs.sparkSession.sparkContext.broadcast(filled(places.select(F.col("key").alias("hash")), 1).tobytes())
+    rows = docs.withColumn(TO_CUT, may_hold(key, bitmap))
+    rest = F.struct(F.col(text_col).isNull().alias("none"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
+    cut = rows.filter(TO_CUT).select(rest.alias("rest"), key, doc, body).alias("r").join(places.alias("p"), same_row("r", "p"), "left")
+    text = F.when(~F.col("rest.none"), F.decode("text", "UTF-8"))
+    cut = without(cut).select(*[text.alias(c) if c == text_col else F.col(f"rest.row.`{c}`").alias(c) for c in docs.columns])
+    return rows.filter(f"NOT {TO_CUT}").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(cut)

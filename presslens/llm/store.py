@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.session import new_path
@@ -14,6 +14,8 @@ CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Texts, or sets of whole texts, that a Python worker gets at once.
 BATCH_ROWS = 500
+#: Bytes of a row group: a file can be read by as many tasks as it has row groups.
+ROW_GROUP = 16 << 20
 
 
 @contextmanager
@@ -42,7 +44,7 @@ class Scratch:
     def put(self, df: DataFrame, step: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
         path = new_path(self.spark, f"{self.name}-{step}")
         with settings(self.spark, **{CLEAN: "true", BATCH: str(batch_rows)}):
-            df.write.parquet(path)
+            df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
         self.paths[step] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -57,10 +59,9 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(key, row): the whole row in one column, so that no name can clash, and a key of id and text.
+def row_key(id_col: str, text_col: str) -> Column:
+    """64 bits of id and text, nulls being no empty values; rows are told apart by it among rows of one id.
 
-    Rows with the same key are repeated rows; every operator gives them the same result.
+    Rows with the same id and key are repeated rows; every operator gives them the same result.
     """
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
-    return docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))

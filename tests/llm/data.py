@@ -6,12 +6,18 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
+from presslens.llm import words as words_module
+
 SPACE = "\x20\x09-\x0d"
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, kept string, `row` string, `key` int, "
     "place int, size string, n_words int, window string"
 )
 LONG_WORDS = 30_000
+#: Two words that any polynomial of an odd base gives one value modulo 2^64.
+COMPLEMENTS = ["".join("ab"[(bin(i).count("1") + k) % 2] for i in range(2048)) for k in (0, 1)]
 
 
 def words(n: int, seed: int) -> str:
@@ -38,6 +44,7 @@ def documents() -> list[tuple]:
         long, words(50, 5) + passage, passage + words(60, 6), words(40, 7) + passage + words(40, 8), "x " * 300, "same line here\n" * 40,
         "### $$$ %%% &&&" * 20, "<|endoftext|> in a text <|endoftext|>", "two  spaces \n and\ttabs ", "Ünïcode ß 漢字     é" * 10, "5 6 7 8 9",
         words(300, 9), words(200, 10) + "\n" + words(200, 10), 'say. "what?" (yes!) no.### and.**** it ' * 9, 'say. "what?" (yes!) no.### and.**** it ' * 9, "don't we'll I'm they've it's", "z" * 5000, "é" * 300 + "é" * 300,
+        f"{COMPLEMENTS[0]} {long[:400]}\n{COMPLEMENTS[0]}\n{COMPLEMENTS[1]}", COMPLEMENTS[1], *COMPLEMENTS,
     ]
     rows = []
     for i, text in enumerate(texts):
@@ -78,9 +85,9 @@ def shingle_set(text: str | None, width: int = 4) -> set[tuple]:
     return {tuple(own[i : i + width]) for i in range(len(own) - width + 1)}
 
 
-def groups(texts: dict, percent: int = 80) -> dict:
+def groups(texts: dict, percent: int = 80, width: int = 4) -> dict:
     """Least reachable id of each id."""
-    sets, root = {k: shingle_set(t) for k, t in texts.items()}, {k: k for k in texts}
+    sets, root = {k: shingle_set(t, width) for k, t in texts.items()}, {k: k for k in texts}
 
     def find(x):
         while root[x] != x:
@@ -96,35 +103,93 @@ def groups(texts: dict, percent: int = 80) -> dict:
     return {k: find(k) for k in texts}
 
 
-def sentence_list(text: str) -> list[tuple[int, list[str]]]:
-    out, before = [], None
-    for m in re.finditer(f"[^{SPACE}]+", text):
-        stop = before is None or re.search(r"[.!?][!-/:-@\[-`{-~\x00-\x08\x0e-\x1f\x7f]{0,3}$", before[0])
-        if stop or "\n" in text[before.end() : m.start()] or len(out[-1][1]) == 20:
-            out.append((m.start(), [m[0]]))
-        else:
-            out[-1][1].append(m[0])
-        before = m
-    return out
+# Fixed values of the rule of repeated spans.
+STOP_SIGNS = ".!?؟۔։。！？．｡।॥…።៕។"
+CLOSING_SIGNS = "»」』）】》〉〕］｝”’›、，"
 
 
-def without_spans(texts: dict, run: int = 2, least: int = 10) -> dict:
-    parts, first = {k: sentence_list(texts[k] or "") for k in sorted(texts)}, {}
+def script_weight(char: str) -> int | None:
+    """What a character weighs that is a word by itself; a spaced word weighs 4."""
+    if char in STOP_SIGNS or char in CLOSING_SIGNS:
+        return None
+    if "\u3000" <= char <= "\u9fff" or "\uf900" <= char <= "\ufaff" or char >= "\U00020000":
+        return 2
+    if "\u0e00" <= char <= "\u0eff" or "\u1000" <= char <= "\u10bf" or "\u1780" <= char <= "\u17ff":
+        return 1
+    return None
 
-    def spans(k):
-        for i in range(len(parts[k]) - run + 1):
-            own = tuple(w for _, ws in parts[k][i : i + run] for w in ws)
-            if len(own) >= least:
-                yield i, own
 
-    for k in parts:
-        for i, own in spans(k):
-            first.setdefault(own, (k, i))
-    out = {}
+def span_words(text: str) -> list[tuple[int, str, int, bool, bool]]:
+    """(place, word, weight, ends with a stop, a sentence ends) of each word."""
+    out = []
+    for m in re.finditer(f"[^{SPACE}]+", text):
+        starts, own = [m.start()], m[0]
+        for k in range(1, len(own)):
+            big = len(own[k].encode()) == 3 and own[k] in STOP_SIGNS + CLOSING_SIGNS
+            before = own[k - 1]
+            after_sign = before in STOP_SIGNS + CLOSING_SIGNS and (before >= "\uf000" or "\u3000" <= before <= "\u3fff")
+            if not big and (script_weight(own[k]) or script_weight(before) or after_sign):
+                starts.append(m.start() + k)
+        for a, b in zip(starts, [*starts[1:], m.end()], strict=True):
+            word, stop = text[a:b], False
+            for char in word[::-1][:4]:
+                stop |= char in STOP_SIGNS
+                if not (char in CLOSING_SIGNS or char.isascii() and not char.isalnum()):
+                    break
+            out.append((a, word, script_weight(word[0]) or 4, stop))
+    ends = [i + 1 == len(out) or out[i][3] or "\n" in text[a + len(w) : out[i + 1][0]] for i, (a, w, _, _) in enumerate(out)]
+    return [(*one, end) for one, end in zip(out, ends, strict=True)]
+
+
+def span_pieces(text: str, window: int = 15) -> list[list[tuple]]:
+    """The words of each piece: sentences, cut after the least of any `window` words in a row."""
+    own, marks = span_words(text), words_module.Fingerprint()
+    value, before = [], 0
+    for _, word, _, stop, _ in own:
+        raw = np.frombuffer(word.encode(), np.uint8)
+        mark = int(marks.segments(raw, np.array([0]), np.array([len(raw)]))[0])
+        mixed = int(words_module.mix(np.array([(before * 3 + mark) % 2**64], np.uint64))[0])
+        value.append(1 if stop else mixed | 2)
+        before = mark
+    least = set()
+    for a in range(len(own) - window + 1):
+        low = min(value[a : a + window])
+        least |= {i for i in range(a, a + window) if value[i] == low}
+    pieces = [[]]
+    for i, word in enumerate(own):
+        pieces[-1].append(word)
+        if word[4] or i in least:
+            pieces.append([])
+    return [p for p in pieces if p]
+
+
+def without_spans(texts: dict, run: int = 2, least: int = 10, most: int = 20) -> dict:
+    """Texts by id without the pieces of runs that stand earlier."""
+    cuts = {k: span_pieces(texts[k] or "") for k in sorted(texts)}
+
+    def enough(part):
+        n = sum(w[2] for p in part for w in p)
+        return n >= 4 * least and sum(w[4] for p in part for w in p) >= run or n >= 4 * most
+
+    def grown(part):
+        for i in range(len(part)):
+            j = next((j for j in range(i + 1, len(part) + 1) if enough(part[i:j])), None)
+            if j:
+                yield i, j
+        back = next((i for i in reversed(range(len(part))) if enough(part[i:])), None)
+        if back is not None:
+            yield back, len(part)
+
+    spans = {k: sorted(set(grown(part))) for k, part in cuts.items()}
+    words_of = {(k, at): tuple(w[1] for p in cuts[k][slice(*at)] for w in p) for k in spans for at in spans[k]}
+    first, out = {}, {}
+    for k in spans:
+        for at in spans[k]:
+            first.setdefault(words_of[k, at], (k, at))
     for k, text in texts.items():
-        gone = {i + j for i, own in spans(k) if first[own] != (k, i) for j in range(run)}
-        edges = [a for a, _ in parts[k]] + [len(text or "")]
-        out[k] = text and text[: edges[0]] + "".join(text[a:b] for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if i not in gone)
+        gone = {p for at in spans[k] if first[words_of[k, at]] != (k, at) for p in range(*at)}
+        edges = [p[0][0] for p in cuts[k]] + [len(text or "")]
+        out[k] = text and text[: edges[0]] + "".join(text[a:b] for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if p not in gone)
     return out
 
 

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 
 from presslens.llm import catalog, lines
 from presslens.llm import words as W
+from presslens.llm.store import row_key
 from tests.llm import data
 from tests.oracle import compare, connect
 
@@ -117,7 +118,7 @@ def test_only_suspects_are_shuffled(spark, tmp_path):
     """Lines that stand once stay where they are: the counted table holds repeated ones and few others."""
     rows = [(i, f"a line of its own with the number {i:07d} in it\n" + ("a line that every document has, word for word" if i % 2 else "")) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    keyed = df.select("doc_id", lines.row_key("doc_id", "text").alias("key"), df.text.cast("binary").alias("text"))
+    keyed = df.select("doc_id", row_key("doc_id", "text").alias("key"), df.text.cast("binary").alias("text"))
     hashes = lines.line_hashes(keyed, 40)
     assert hashes.count() == 6000
     twice = lines.filled(hashes, 2)

@@ -11,8 +11,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from presslens.llm import decontaminate, language, nearcopy, packing, quality, sentences, sharding, suffix, tokens, toxicity, words
+from presslens.llm import decontaminate, language, lines, nearcopy, packing, quality, sentences, sharding, suffix, tokens, toxicity, words
 from presslens.llm.catalog import tokenizer
+from presslens.llm.store import Scratch
 from presslens.llm.store import texts as as_bytes
 from tests.llm import data
 
@@ -228,17 +229,76 @@ def test_language(spark, docs, empty):
     samples = {"aa": "lorem ipsum dolor sit amet ", "bb": "wenn fliegen hinter fliegen fliegen ", "cc": "où était ça éèê "}
     rows = [(i, samples[["aa", "bb", "cc"][i % 3]] * (1 + i % 7), ["aa", "bb", "cc"][i % 3]) for i in range(300)]
     rows += [(1000, None, "aa"), (1001, "", "bb"), (1002, "12 34 !", "cc"), (1003, samples["bb"] * 20_000, None), (None, samples["aa"], "aa")]
+    # Numbers, signs and marks that no letter is among.
+    rows += [(2000 + i, text, "aa") for i, text in enumerate(["½ ² ③", "Ⅷ", "\u0301\u0302", "_ 7 ٣", "☃ ∑ €"])]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = {r.doc_id: r for r in language.identify(table, table.doc_id % 5 != 0).collect()}
     assert len(found) == len(rows)
     assert all(found[i].lang_pred == ["aa", "bb", "cc"][i % 3] and found[i].held_out == (i % 5 == 0) for i in range(300))
     assert [found[i].lang_pred for i in (1000, 1001, 1002, 1003, None)] == ["und", "und", "und", "bb", "aa"]
     assert all(0 <= r.score <= 1 for r in found.values())
+    assert all((found[2000 + i].lang_pred, found[2000 + i].score) == ("und", 0.0) for i in range(5))
     assert language.identify(docs, docs.doc_id > 0).count() == len(ROWS)
     assert language.identify(empty, empty.doc_id > 0).count() == 0
     assert {r.lang_pred for r in language.identify(docs, docs.doc_id < 0).collect()} == {"und"}
 
 
+def test_language_kernel_against_plain():
+    """Kernel values from sets of places, features from the landmarks' kernel matrix, and ridge by its normal equations."""
+
+    def places(text):
+        raw = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+        b = f" {raw} ".encode() if raw else b""
+        rest = language.SPACE - 256
+        out = set(b) | {256 + ((x * 256 + y) * 2654435761 % 2**32 >> 8) % rest for x, y in zip(b, b[1:], strict=False)}
+        return out | {256 + ((x * 65536 + y * 256 + z) * 2246822519 % 2**32 >> 7) % rest for x, y, z in zip(b, b[1:], b[2:], strict=False)}
+
+    texts = [data.words(30, i) + extra for i, extra in enumerate(["", "été où ça", "12 3", "wenn fliegen", " - ", "x", "漢字"] * 3)] + ["", "7"]
+    sets = [places(t) for t in texts]
+    kernel = np.array([[len(a & b) / max(1, (len(a) * len(b)) ** 0.5) for b in sets] for a in sets])
+    present = language.presence(texts)
+    assert np.abs(present @ present.T - kernel).max() < 1e-5
+    langs = ["aa" if i % 3 else "bb" for i in range(len(texts))]
+    first = [i < 6 for i in range(len(texts))]
+    model = language.Model(texts, langs, first, ridge=0.01)
+    own, cross = kernel[:6, :6], kernel[:, :6]
+    z = model.features(present).astype(float)
+    # Nyström: the features' products are the kernel's projection on the landmarks.
+    assert np.abs(z[:, :-1] @ z[:, :-1].T - cross @ np.linalg.pinv(own, rcond=1e-6) @ cross.T).max() < 1e-3
+    target = np.array([[1.0 if lang == one else -1.0 for one in ("aa", "bb")] for lang in langs])
+    want = np.linalg.solve(z.T @ z + 0.01 * len(texts) * np.eye(z.shape[1]), z.T @ target)
+    assert np.abs(model.weights - want).max() < 1e-3
+
+
+def test_null_ids(spark):
+    """Rows without an id get what their texts get; only links between documents need one."""
+    texts = [data.words(80, 1), data.words(80, 1), data.words(60, 2), None, ""]
+    named = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bare = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([("q", " ".join(data.bench_words(texts[2])[3:20]))], "item_id string, text string")
+
+    def results(docs):
+        packed = packing.pack(docs, tokenizer()).select("start", "length", "ids_crc32", "doc_tokens")
+        parts = [
+            tokens.token_counts(docs, tokenizer()).drop("doc_id"), packed,
+            suffix.drop_repeated_strings(docs).drop("doc_id"),
+            decontaminate.Index(docs, bench).contamination().select("n_words", "n_hit"),
+        ]
+        return [Counter(tuple(r) for r in p.collect()) for p in parts]
+
+    assert results(named) == results(bare)
+
+
+def test_blocks_of_a_hub_are_dealt_out(spark, tmp_path):
+    """Pairs of blocks are shuffled by hub and both blocks, not kept where their hub's join left them."""
+    schema = "hub long, node long, component long, n long, diff binary"
+    members = spark.createDataFrame([(1, i, i, 5, b"") for i in range(9)], schema)
+    members.write.parquet(f"{tmp_path}/members")
+    found = nearcopy.across_components(spark.read.parquet(f"{tmp_path}/members"), 80, Scratch(spark, "test"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(hub" in plan and "i#" in plan.split("hashpartitioning(hub")[-1].split(")")[0]
+
+
 def test_near_copies(spark, docs, empty):
     rows = nearcopy.near_duplicates(docs).collect()
     want = data.groups(TEXTS)
@@ -324,7 +384,7 @@ def test_shards_hold_the_mixture(spark):
 BENCH = [
     (1, " ".join(data.bench_words(data.words(70, 2))[5:45])),
     (2, "a b c"), (3, None), (4, ""), (5, "5 6 7 8 9"), (6, "one"), (6, "One!"), (7, "nowhere to be found in any of these texts, ever and ever and ever again"),
-    (8, "x x x x x x x x x x x x x x"), (9, "- - -"), (10, "a b"),
+    (8, "x x x x x x x x x x x x x x"), (9, "- - -"), (10, "a b"), (11, data.COMPLEMENTS[0]),
 ]
 
 
@@ -338,8 +398,8 @@ def test_decontaminate(spark, docs, empty):
         assert (r.n_words, r.n_hit, r.ids) == (n, hit, names)
         assert r.digest == hashlib.sha256(",".join(names).encode()).hexdigest()
         assert r.flag == (hit > 0 and 20 * hit >= n)
-    gone = found.filter("flag").select("key").distinct()
-    left = decontaminate.without(docs, gone)
+    gone = found.filter("flag").select("doc_id", "key").distinct()
+    left = lines.without_rows(docs, gone)
     assert left.columns == docs.columns
     assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in rows if not r.flag)
     assert decontaminate.Index(empty, bench).contamination().count() == 0

@@ -31,7 +31,7 @@ def plain_stages(rows):
 
     rows = [r for r in rows if good(r[1])]
     yield rows
-    group = data.groups(dict(rows))
+    group = data.groups(dict(rows), width=5)
     rows = [r for r in rows if group[r[0]] == r[0]]
     yield rows
     left = data.without_spans(dict(rows))

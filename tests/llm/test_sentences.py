@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from presslens.llm import sentences, words
 from tests.llm import data
@@ -23,55 +24,9 @@ def draw(n: int, seed: int) -> list[str]:
     return ["".join(rng.choice("abdeinorstu") for _ in range(rng.randint(3, 9))) for _ in range(n)]
 
 
-def pieces(text: str):
-    """(words, whether a sentence ends) and the place of each piece, and the bytes."""
-    raw = text.encode()
-    begin, after, _, first, _, _, stops = sentences.sentences(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), words.Fingerprint())
-    edges = [int(first[b]) for b in begin] + [len(raw)]
-    found = []
-    for b, a in zip(begin, after, strict=True):
-        at = [int(x) for x in first[b:a]] + [int(first[a]) if a < len(first) else len(raw)]
-        found.append(([raw[x:y].strip(b" \t\n\x0b\x0c\r") for x, y in zip(at, at[1:], strict=False)], int(stops[b:a].sum())))
-    return found, edges, raw
-
-
-def weight(word: bytes) -> int:
-    return 2 if "　" <= word.decode()[0] <= "鿿" else 4
-
-
-def plain(texts: dict, run: int = 2, least: int = 10, most: int = 20) -> dict:
-    """The rule in plain loops, on the pieces of the operator."""
-    cuts = {k: pieces(texts[k] or "") for k in sorted(texts)}
-
-    def enough(part):
-        n = sum(weight(w) for ws, _ in part for w in ws)
-        return n >= 4 * least and sum(s for _, s in part) >= run or n >= 4 * most
-
-    def runs(part):
-        for i in range(len(part)):
-            j = next((j for j in range(i + 1, len(part) + 1) if enough(part[i:j])), None)
-            if j:
-                yield i, j
-        back = next((i for i in reversed(range(len(part))) if enough(part[i:])), None)
-        if back is not None:
-            yield back, len(part)
-
-    first, out = {}, {}
-    spans = {k: sorted(set(runs(part))) for k, (part, _, _) in cuts.items()}
-    words_of = {k: {(i, j): tuple(w for ws, _ in cuts[k][0][i:j] for w in ws) for i, j in spans[k]} for k in spans}
-    for k in spans:
-        for at in spans[k]:
-            first.setdefault(words_of[k][at], (k, at))
-    for k, (part, edges, raw) in cuts.items():
-        gone = {p for at in spans[k] if first[words_of[k][at]] != (k, at) for p in range(*at)}
-        left = raw[: edges[0]] + b"".join(raw[edges[p] : edges[p + 1]] for p in range(len(part)) if p not in gone)
-        out[k] = None if texts[k] is None else left.decode()
-    return out
-
-
 def test_against_plain_loops(spark):
     docs = spark.createDataFrame(ROWS, data.SCHEMA).repartition(3)
-    want = plain(TEXTS)
+    want = data.without_spans(TEXTS)
     assert Counter((r.doc_id, r.text) for r in sentences.drop_repeated_spans(docs).collect()) == Counter((r[0], want[r[0]]) for r in ROWS)
 
 
@@ -119,3 +74,21 @@ def test_scripts_without_spaces(spark):
     thai = "".join(chr(rng.randint(0x0E01, 0x0E2E)) for _ in range(400))
     done = cut(spark, [text, text, "前" * 3 + text, thai, thai])
     assert done[0] == text and done[1] == "" and len(done[2]) < 40 and done[3] == thai and done[4] == ""
+
+
+@given(st.lists(st.text(st.sampled_from("ab.!?»」'\")。،、，漢字かกข\U00020001é \n\t"), max_size=60), min_size=1, max_size=3))
+@settings(max_examples=300, deadline=None)
+def test_words_and_stops_against_plain(texts):
+    """Words, weights, sentence ends and pieces of a buffer of several texts."""
+    import pyarrow as pa
+
+    for _, _, buffer, offsets in words.slices(pa.array([t.encode() for t in texts], pa.binary())):
+        begin, after, row, first, _, weight, stops = sentences.sentences(buffer, offsets, words.Fingerprint())
+        for r, text in enumerate(texts):
+            want = data.span_pieces(text)
+            mine = [(int(b), int(a)) for b, a, x in zip(begin, after, row, strict=True) if x == r]
+            places = [len(text[: w[0]].encode()) + int(offsets[r]) for p in want for w in p]
+            at = [i for b, a in mine for i in range(b, a)]
+            assert [int(first[i]) for i in at] == places
+            assert [(int(weight[i]), bool(stops[i])) for i in at] == [(w[2], w[4]) for p in want for w in p]
+            assert [a - b for b, a in mine] == [len(p) for p in want]
