@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from presslens.llm import decontaminate, nearcopy, packing, quality, sentences
 from presslens.llm.catalog import table, tokenizer
-from presslens.llm.store import Scratch
+from presslens.llm.lines import without_rows
+from presslens.llm.store import Scratch, row_key
 
 # Rows of the sequences are pieces of documents; a stage's decisions hold for all its input.
 ORACLE_SQL = None
@@ -22,20 +23,31 @@ ORACLE_SQL = None
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor a certified cutoff reject."""
     rows = docs.select(
-        F.col("doc_id"), F.col("lang").alias("stratum"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        "doc_id", row_key("doc_id", "text").alias("key"), F.col("lang").alias("stratum"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    measured = Scratch(spark, "quality").put(quality.measure(rows, "text"), "measured")
+    scratch = Scratch(spark, "quality")
+    measured = scratch.put(quality.measure(rows, "text"), "measured")
     labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
-    kept = quality.verdicts(measured, labels, "stratum").filter("kept")
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    found = quality.verdicts(measured, labels, "stratum")
+    gone = scratch.put(found.filter("NOT kept").select("doc_id", "key").distinct(), "gone")
+    scratch.drop("measured")
+    return without_rows(docs, gone)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id."""
-    groups = nearcopy.near_duplicates(docs, width=5)
+    """One document of each group of near-duplicates: the one with the least id.
+
+    A document without an id comes after all ids, by its text; rows that share an id are one document.
+    """
+    spare = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    own = F.coalesce(F.col("doc_id").cast("long"), spare)
+    groups = nearcopy.near_duplicates(docs.select(own.alias("doc_id"), "text"), width=5)
     gone = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).filter("NOT kept").select("doc_id")
-    return docs.join(Scratch(spark, "near").put(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    gone = Scratch(spark, "near").put(gone, "gone")
+    rows = docs.select(own.alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = rows.join(gone, "doc_id", "left_anti")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +58,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
     found = decontaminate.Index(docs, table(spark, sf_dir, "benchmark")).contamination()
-    gone = found.filter(decontaminate.contaminated()).select("key").distinct()
-    return decontaminate.without(docs, Scratch(spark, "benchmark").put(gone, "gone"))
+    gone = found.filter(decontaminate.contaminated()).select("doc_id", "key").distinct()
+    return without_rows(docs, Scratch(spark, "benchmark").put(gone, "gone"))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
