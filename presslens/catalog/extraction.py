@@ -10,7 +10,7 @@ from presslens.catalog.registry import query, table
 from presslens.functions.scalars import label_from_path, lookback_minutes
 from presslens.session import new_path
 from presslens.sinks.tables import write_rejects
-from presslens.sources import feed, pages
+from presslens.sources import feed, markup, pages
 from presslens.streaming import flows
 
 TIME = "yyyy-MM-dd HH:mm:ss"
@@ -82,6 +82,9 @@ MAINTEXT = sql_plain(f"regexp_extract({BODY}, '{pages.ARTICLE}', 1)")
 PARAGRAPHS = f"""list_filter(list_transform(regexp_extract_all({BODY}, '{pages.PARAGRAPH}', 1),
     lambda p: {sql_plain('p')}), lambda p: p IS NOT NULL)"""
 PARSED = f"SELECT page_id, url, {TITLE} AS title, {MAINTEXT} AS maintext FROM pages"
+# With the fallback: headings and paragraphs where title or article are missing.
+COMPLETED = f"""SELECT page_id, url, coalesce({TITLE}, {sql_plain(f"regexp_extract(html, '{pages.HEADING}', 1)")}) AS title,
+    coalesce({MAINTEXT}, nullif(array_to_string({PARAGRAPHS}, ' '), '')) AS maintext FROM pages"""
 
 
 @query("page_article_extract", f"SELECT page_id, url, title, maintext, NULL::VARCHAR AS description FROM ({PARSED})")
@@ -89,6 +92,19 @@ def _(spark, sf):
     return pages.extract_articles(table(spark, sf, "pages")).select("page_id", "url", "title", "maintext", "description")
 
 
+@query(
+    "page_article_parse",
+    f"""SELECT page_id, url, coalesce(title, heading) AS title, maintext, NULL::VARCHAR AS description, '' AS authors, NULL::VARCHAR AS date_publish,
+    '2024-01-31 12:00:00' AS date_download FROM
+    (SELECT *, {sql_plain(f"regexp_extract(html, '{pages.HEADING}', 1)")} AS heading FROM (SELECT *, {TITLE} AS title, {MAINTEXT} AS maintext FROM pages))""",
+)
+def _(spark, sf):
+    """All fields, by the tag stack instead of patterns."""
+    parsed = markup.parse_articles(table(spark, sf, "pages"), "2024-01-31 12:00:00")
+    times = [F.date_format(c, TIME).alias(c) for c in ("date_publish", "date_download")]
+    return parsed.select("page_id", "url", "title", "maintext", "description", F.array_join("authors", "|").alias("authors"), *times)
+
+
 @query(
     "extract_with_fallback",
     f"""SELECT page_id, title, paragraphs[1] AS description, array_to_string(paragraphs, ' ') AS maintext FROM
