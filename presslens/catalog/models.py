@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from presslens.catalog.registry import SEED, gazetteer, query, table
+from presslens.catalog.registry import SEED, gazetteer, query, sql_clean_delete, table
+from presslens.catalog.text import WEIGHTS, weights
 from presslens.functions.text import clean_delete, tokenize
-from presslens.operators import embeddings, learners, metrics, neighbours, split
+from presslens.operators import bayes, boosting, embeddings, learners, metrics, neighbours, split
 from presslens.operators.counts import class_share
 from presslens.operators.dedupe import keep_first_by_text
 from presslens.plans import training
@@ -263,7 +264,7 @@ def bundle(spark, sf):
 
 def held_out(spark, sf, learner):
     m = matrix(spark, sf)
-    model = learner(m).fit(m.rows.filter("is_train"))
+    model = learner(m).fit(learners.class_weights(m.rows.filter("is_train")))
     return learners.predict(model, m.rows.filter("NOT is_train"))
 
 
@@ -277,6 +278,11 @@ def _(spark, sf):
     return held_out(spark, sf, lambda m: learners.random_forest_baseline(m.size))
 
 
+@query("rf_research")
+def _(spark, sf):
+    return held_out(spark, sf, lambda m: learners.random_forest_research(m.size))
+
+
 @query("rf_importance")
 def _(spark, sf):
     b = bundle(spark, sf)
@@ -285,12 +291,44 @@ def _(spark, sf):
 
 @query("svm_linear")
 def _(spark, sf):
-    return held_out(spark, sf, lambda m: learners.linear_svm(m.rows.filter("is_train").count()))
+    return held_out(spark, sf, lambda m: learners.linear_svm(m.rows.filter("is_train").count(), weight_col="weight"))
 
 
-@query("nb_gaussian")
+def weighted_split(spark, sf):
+    """(training labels, the others, weights in long form), written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf, "weighted")
+    if key not in _fitted:
+        labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+        rows = materialise(split.stratified_split(labels, "label", 0.7, SEED), "split")
+        long = materialise(weights(spark, sf)[1].select("doc_id", "term", "weight"), "weights")
+        _fitted[key] = rows.filter("is_train").drop("is_train"), rows.filter("NOT is_train").drop("is_train"), long
+    return _fitted[key]
+
+
+VARIANCE = "greatest(var, 0) + eps"
+
+
+@query(
+    "nb_gaussian",
+    f"""WITH {WEIGHTS}, split AS (SELECT doc_id, quality, k <= ceil(0.7::DOUBLE * size) AS is_train FROM ({RANKED})),
+    sizes AS (SELECT quality, count(*)::DOUBLE AS docs FROM split WHERE is_train GROUP BY quality),
+    own AS (SELECT w.term, w.weight, s.quality FROM weights w JOIN split s ON w.doc_id = s.doc_id WHERE s.is_train),
+    sums AS (SELECT term, quality, sum(weight) AS s1, sum(weight * weight) AS s2 FROM own GROUP BY term, quality),
+    moments AS (SELECT t.term, z.quality, coalesce(s1, 0) / docs AS mean, coalesce(s2, 0) / docs - power(coalesce(s1, 0) / docs, 2) AS var
+      FROM (SELECT DISTINCT term FROM own) t CROSS JOIN sizes z LEFT JOIN sums s ON s.term = t.term AND s.quality = z.quality),
+    smooth AS (SELECT {bayes.SMOOTHING}::DOUBLE * max(greatest(var, 0)) AS eps FROM moments),
+    base AS (SELECT quality, sum(-0.5::DOUBLE * ln(2 * pi() * ({VARIANCE})) - mean * mean / (2 * ({VARIANCE}))) AS b FROM moments, smooth GROUP BY quality),
+    more AS (SELECT w.doc_id, m.quality, sum(weight * (2 * mean - weight) / (2 * ({VARIANCE}))) AS s
+      FROM weights w JOIN moments m ON w.term = m.term, smooth GROUP BY w.doc_id, m.quality),
+    scores AS (SELECT p.doc_id, p.quality AS label, z.quality AS class, coalesce(s, 0) + b + ln(docs / (SELECT sum(docs) FROM sizes)) AS score
+      FROM split p CROSS JOIN sizes z JOIN base ON base.quality = z.quality
+      LEFT JOIN more ON more.doc_id = p.doc_id AND more.quality = z.quality WHERE NOT p.is_train)
+    SELECT doc_id, label, CAST(class AS VARCHAR) AS predicted FROM
+    (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, class) AS r FROM scores) WHERE r = 1""",
+)
 def _(spark, sf):
-    return held_out(spark, sf, lambda m: learners.gaussian_nb())
+    train, test, long = weighted_split(spark, sf)
+    return bayes.gaussian_predictions(long, train, test)
 
 
 @query(
@@ -312,7 +350,17 @@ def _(spark, sf):
 
 @query("logit_boost")
 def _(spark, sf):
-    return held_out(spark, sf, lambda m: learners.boosted_stumps())
+    train, test, long = weighted_split(spark, sf)
+    return boosting.fit(long, train).predict(long, test)
+
+
+@query("model_baselines")
+def _(spark, sf):
+    """The 18 metrics of the five models on one split, with date, training size and class share."""
+    m = matrix(spark, sf)
+    facts = class_share(m.rows.filter("is_train"), "label").first()
+    results = training.baselines(m, texts=table(spark, sf, "documents").select("doc_id", "text"))
+    return metrics.compare(results, "2024-01-31", facts["train_n"], facts["class_share"])
 
 
 def token_lists(spark, sf):
@@ -378,11 +426,21 @@ def _(spark, sf):
 
 
 @query("model_load")
+def _(spark, sf):
+    """What the saved and loaded forest says of every row, beside what the one in memory says."""
+    path, rows = new_path(spark, "bundle"), matrix(spark, sf).rows
+    save_bundle(bundle(spark, sf), path)
+    loaded = learners.predict(load_bundle(spark, path).model, rows)
+    kept = learners.predict(bundle(spark, sf).model, rows, ("doc_id",)).withColumnsRenamed({"predicted": "before", "probability": "p"})
+    same = (F.col("predicted") == F.col("before")) & (F.abs(F.col("probability") - F.col("p")) < 1e-9)
+    return loaded.join(kept, "doc_id").select("doc_id", "predicted", F.round("probability", 9).alias("probability"), same.alias("same"))
+
+
+@query("loaded_vocabulary")
 def _(spark, sf):
     path = new_path(spark, "bundle")
     save_bundle(bundle(spark, sf), path)
-    loaded = load_bundle(spark, path)
-    return loaded.tfidf.table.select("term", "term_id", F.round("idf", 9).alias("idf"))
+    return load_bundle(spark, path).tfidf.table.select("term", "term_id", F.round("idf", 9).alias("idf"))
 
 
 @query("bundle_save")
@@ -392,7 +450,10 @@ def _(spark, sf):
     return load_bundle(spark, path).card
 
 
-@query("stream_score_sink")
+@query(
+    "stream_score_sink",
+    f"SELECT doc_id, coalesce(length({sql_clean_delete()}), 0) <= 80 OR coalesce(length(trim(text)), 0) <= 80 AS rejected FROM documents",
+)
 def _(spark, sf):
     docs = table(spark, sf, "documents")
     stream = spark.readStream.schema(docs.schema).parquet(f"{sf}/documents*.parquet").select("doc_id", "text")
@@ -404,8 +465,9 @@ def _(spark, sf):
         return batch.filter(~short), batch.filter(short).withColumn("reason", F.lit("short text"))
 
     flows.score_stream(stream, lambda d: score_batch(d, b, names), out, log, reject).awaitTermination()
+    # Which class a document gets depends on the fitted forest; that every document has one place does not.
     parts = [
-        spark.read.schema("doc_id bigint").parquet(f"{out}/{part}").select("doc_id", F.lit(status).alias("status"))
-        for part, status in (("positives", "positive"), ("negatives", "negative"), ("rejects", "rejected"))
+        spark.read.schema("doc_id bigint").parquet(f"{out}/{part}").select("doc_id", F.lit(part == "rejects").alias("rejected"))
+        for part in ("positives", "negatives", "rejects")
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -8,6 +8,7 @@ from presslens.catalog.registry import (
     ENTITY_TYPES,
     GAZETTEER_SQL,
     LANGUAGES,
+    SEED,
     STOP,
     STOPPED,
     gazetteer,
@@ -27,7 +28,7 @@ from presslens.operators import tfidf as tf
 from presslens.operators.dedupe import keep_first, top_n_with_ties
 from presslens.operators.joins import drop_listed, lookup_join, natural_left, pending
 from presslens.operators.split import stratified_split
-from presslens.session import materialise
+from presslens.session import materialise, new_path
 
 
 def words(spark, sf, stop=None):
@@ -482,11 +483,20 @@ def _(spark, sf):
     return rows.select("doc_id", entries, total)
 
 
-@query("training_matrix_export")
+@query(
+    "training_matrix_export",
+    f"""WITH {WEIGHTS}, ranked AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('{SEED}:' || doc_id), doc_id) AS k,
+      count(*) OVER (PARTITION BY quality) AS size FROM labels)
+    SELECT r.doc_id, r.quality::DOUBLE AS label, k <= ceil(0.7::DOUBLE * size) AS is_train, term, round(weight, 9) AS weight
+    FROM ranked r JOIN weights w ON r.doc_id = w.doc_id""",
+)
 def _(spark, sf):
-    from presslens.session import new_path
-
+    # the exported matrix, read back and laid out as one row per entry
     model, long = weights(spark, sf)
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     rows = stratified_split(labels, "label").join(tf.to_entries(long), "doc_id")
-    return tf.export_matrix(rows, model.size, new_path(spark, "training-matrix"))
+    path = new_path(spark, "training-matrix")
+    tf.export_matrix(rows, model.size, path)
+    entries = tf.matrix_entries(spark, path, ["doc_id bigint", "label double", "is_train boolean"])
+    named = lookup_join(entries, model.table.select("term_id", "term"), "term_id", "doc_id")
+    return named.select("doc_id", "label", "is_train", "term", F.round("weight", 9).alias("weight"))

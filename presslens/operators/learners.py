@@ -76,9 +76,18 @@ def random_forest_research(features: int, trees: int = RF_TREES) -> RandomForest
     return random_forest(features, trees, min(features, RF_RESEARCH_MTRY), RF_RESEARCH_MIN_NODE)
 
 
-def linear_svm(rows: int, cost: float = 1.0) -> LinearSVC:
-    """`cost` weighs the sum of the losses of `rows` rows; MLlib weighs the penalty against their mean."""
-    return LinearSVC(labelCol="label", featuresCol="features", regParam=1.0 / (cost * max(rows, 1)), maxIter=50)
+def linear_svm(rows: int, cost: float = 1.0, weight_col: str | None = None) -> LinearSVC:
+    """`cost` weighs the sum of the losses of `rows` rows; MLlib weighs the penalty against their mean.
+
+    `weight_col` names the weight of each row, such as its class's (see `class_weights`).
+    """
+    svm = LinearSVC(labelCol="label", featuresCol="features", regParam=1.0 / (cost * max(rows, 1)), maxIter=50)
+    return svm.setWeightCol(weight_col) if weight_col else svm
+
+
+def class_weights(df: DataFrame, weight: float = 1.0, label: str = "label") -> DataFrame:
+    """Adds `weight`: the weight of class 1, the topic's, against 1 for the others; the published value is 1."""
+    return df.withColumn("weight", F.when(F.col(label) == 1, float(weight)).otherwise(1.0))
 
 
 def gaussian_nb() -> NaiveBayes:

@@ -140,6 +140,15 @@ def export_matrix(rows: DataFrame, size: int, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
+def matrix_entries(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A written matrix in long form: `columns` (name and type each) with one row per stored entry (term_id, weight)."""
+    stored = "features struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    rows = spark.read.schema(", ".join([*columns, stored])).parquet(path)
+    names = [c.split()[0] for c in columns]
+    entry = F.explode(F.arrays_zip("features.indices", "features.values")).alias("e")
+    return rows.select(*names, entry).select(*names, F.col("e.indices").alias("term_id"), F.col("e.values").alias("weight"))
+
+
 def to_vectors(long: DataFrame, size: int, id_col: str = "doc_id", ids: DataFrame | None = None) -> DataFrame:
     """Long form to one sparse vector per document, as a written table (see `export_matrix`)."""
     return export_matrix(to_entries(long, id_col, ids), size, new_path(long.sparkSession, "vectors"))
