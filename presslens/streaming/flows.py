@@ -13,6 +13,10 @@ from presslens.session import materialise, new_path
 
 # Fixed value: the longest lookback, and so the longest time a duplicate may arrive later.
 DEDUPE_DELAY = "240 minutes"
+# Fixed value: the shortest time between two scheduled runs.
+RUN_EVERY = "40 minutes"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream(
@@ -63,6 +67,24 @@ def run_to_table(stream: DataFrame, name: str, out: str | None = None, checkpoin
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def start_table(stream: DataFrame, out: str, checkpoint: str, every: str = RUN_EVERY, rocksdb: bool = True) -> StreamingQuery:
+    """Keep a Parquet table up to date as files arrive, one batch per `every`, until the query is stopped.
+
+    State is kept in RocksDB on the executors' disks, with its changes in the checkpoint, so that it may
+    outgrow their memory. A batch whose commit was lost is run again from the same files and state; the
+    table's own log knows it, so its rows are not doubled.
+    """
+    spark = stream.sparkSession
+    before = spark.conf.get(STATE_STORE)
+    if rocksdb:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        writer = stream.writeStream.format("parquet").outputMode("append").trigger(processingTime=every)
+        return writer.option("checkpointLocation", checkpoint).start(out)
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def score_stream(
     stream: DataFrame,
     score: Callable[[DataFrame], DataFrame],
