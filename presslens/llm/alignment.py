@@ -48,8 +48,11 @@ LONG, CHUNK, REACH = 1 << 16, 1 << 14, 1 << 12
 FAN_IN = 16
 #: Pairs whose counts are held in every task.
 HELD = 1 << 22
-#: Pieces remembered per task, and the longest that is; texts handled at once, in characters.
-MEMORY, SHORT, AT_ONCE = 200_000, 48, 1 << 20
+#: Pieces remembered per task, and the longest that is, in characters; texts handled at once, in characters.
+MEMORY, SHORT, AT_ONCE = 400_000, 48, 1 << 20
+
+#: Links of a group beyond which its ids are counted before they are paired.
+LARGE = 256
 
 # Neither side is white space in any reading, so no token of either tokenizer has this space inside.
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -81,33 +84,16 @@ class Tokenizers:
             return bytes([int(text[3:5], 16)])
         return text.replace("▁", " ").encode()
 
-    def encode(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int]] | None]:
+    def encode(self, pieces: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of space + piece by A and of piece by B, which adds the space; None where one side spells something else."""
-        many_a = self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)
-        for piece, a, b in zip(pieces, many_a, self.b.encode(pieces, num_threads=1), strict=True):
-            want, ids = (" " + piece).encode(), a.ids
-            spelt = b"".join([self.bytes_a[i] for i in ids]) == want and b"".join([self.bytes_b[i] for i in b]) == want
-            yield (ids, b) if spelt else None
-
-    def groups(self, a: list[int], b: list[int]) -> list[Group]:
-        """The groups of two sequences of ids that spell the same bytes."""
-        out, i, j, from_a, from_b = [], 0, 0, 0, 0
-        end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-        while True:
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                out.append((a[from_a:i], b[from_b:j]))
-                if i == len(a):
-                    return out
-                from_a, from_b = i, j
-                end_a += len(self.bytes_a[a[i]])
-                end_b += len(self.bytes_b[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(self.bytes_a[a[i]])
-            else:
-                j += 1
-                end_b += len(self.bytes_b[b[j]])
+        many = [x.ids for x in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
+        found = list(zip(many, self.b.encode(pieces, num_threads=1), strict=True))
+        want, table_a, table_b = [(" " + p).encode() for p in pieces], self.bytes_a, self.bytes_b
+        spelt_a = [b"".join([table_a[i] for i in a]) for a, _ in found]
+        spelt_b = [b"".join([table_b[i] for i in b]) for _, b in found]
+        if spelt_a == want == spelt_b:
+            return found
+        return [ids if x == w == y else None for ids, x, w, y in zip(found, spelt_a, want, spelt_b, strict=True)]
 
 
 def written(groups: list[Group]) -> bytes:
@@ -129,34 +115,95 @@ def linked(groups: list[Group], size_b: int) -> Counter:
     return out
 
 
-class Closed:
-    """A fragment with closed groups only: its counts, its groups as text, and its links."""
-
-    __slots__ = ("codes", "counts", "links", "text")
-
-    def __init__(self, tokens: Tokenizers, a: list[int], b: list[int]):
-        groups = tokens.groups(a, b)
-        pairs = linked(groups, tokens.size_b)
-        self.text, self.codes, self.links = written(groups), tuple(pairs), tuple(pairs.values())
-        self.counts = (len(a), len(b), len(groups), sum(self.links))
+def written_groups(ids: np.ndarray, ends: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """The groups of each piece as text; tokens in order of group and side, `ends` what follows each, `cuts` the pieces."""
+    tokens = [f"{i}{e}" for i, e in zip(ids.tolist(), np.array([",", "|", ";", ""])[ends].tolist(), strict=True)]
+    return ["".join(tokens[a:b]).encode() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 class Pieces:
-    """The fragments of pieces, each made once while it is remembered."""
+    """Fragments of pieces, which have closed groups only; each is made once while it is remembered.
 
-    def __init__(self, tokens: Tokenizers):
-        self.tokens, self.known = tokens, {}
+    They are kept as columns: counts (tokens of A and B, groups, links), the groups as text, and the
+    links as pair and number from `begin` on. Slot 0 is a piece without tokens.
+    """
 
-    def of(self, pieces: list[str]) -> list[Closed | None]:
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        found = [self.known.get(p, False) for p in pieces]
-        new = [k for k, f in enumerate(found) if f is False]
-        for k, ids in zip(new, self.tokens.encode([pieces[k] for k in new]) if new else (), strict=True):
-            found[k] = Closed(self.tokens, *ids) if ids else None
-            if len(pieces[k]) <= SHORT:
-                self.known[pieces[k]] = found[k]
-        return found
+    def __init__(self, tokens: Tokenizers):
+        self.tokens = tokens
+        self.lengths = [np.zeros(n, np.int64) for n in (tokens.size_a, tokens.size_b)]
+        for i, spelt in tokens.bytes_a.items():
+            self.lengths[0][i] = len(spelt)
+        self.lengths[1][:] = [len(spelt) for spelt in tokens.bytes_b]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.texts, self.counts = [b""], np.zeros((1, 4), np.int64)
+        self.begin, self.codes, self.links = np.zeros(2, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def of(self, pieces: list[str]) -> np.ndarray:
+        """The slot of each piece, -1 for a piece that its tokens don't spell."""
+        if len(self.texts) > MEMORY:
+            self.forget()
+        slots = [self.known.get(p) for p in pieces]
+        new = [k for k, slot in enumerate(slots) if slot is None]
+        if new:
+            for k, slot in zip(new, self.add([pieces[k] for k in new]).tolist(), strict=True):
+                slots[k] = slot
+                if len(pieces[k]) <= SHORT:
+                    self.known[pieces[k]] = slot
+        return np.array(slots, np.int64)
+
+    def add(self, pieces: list[str]) -> np.ndarray:
+        """Slots for new pieces, all made at once."""
+        ids = self.tokens.encode(pieces)
+        spelt = np.array([x is not None for x in ids])
+        ids = [x for x in ids if x is not None]
+        slots = np.full(len(pieces), -1)
+        slots[spelt] = len(self.texts) + np.arange(len(ids))
+        if not ids:
+            return slots
+        sides = []  # (piece, id, end in bytes) of each token, for A and B
+        for side in (0, 1):
+            n = np.array([len(x[side]) for x in ids])
+            flat = np.fromiter(chain.from_iterable(x[side] for x in ids), np.int64, int(n.sum()))
+            sides.append((np.repeat(np.arange(len(ids)), n), flat, np.cumsum(self.lengths[side][flat])))
+        (row_a, a, end_a), (row_b, b, end_b) = sides
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        row = np.empty(len(common), np.int64)
+        row[group_a] = row_a
+        # Text: the tokens of A, then those of B, of each group; what follows is a comma, a bar, a semicolon or, at the end of a piece, nothing.
+        order = np.lexsort((np.repeat((0, 1), (len(a), len(b))), np.concatenate((group_a, group_b))))
+        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
+        final = np.append(row_b[1:] != row_b[:-1], True)
+        follow = np.concatenate((np.where(last_a, 1, 0), np.where(final, 3, np.where(last_b, 2, 0))))
+        size = np.bincount(row_a) + np.bincount(row_b)
+        self.texts += written_groups(np.concatenate((a, b))[order], follow[order], np.concatenate(([0], np.cumsum(size))))
+        # Links: each token of A with the tokens of B of its group; in large groups ids are counted first.
+        large = n_a * n_b > LARGE
+        first_b = np.cumsum(n_b) - n_b
+        times = np.where(large[group_a], 0, n_b[group_a])
+        at = np.repeat(first_b[group_a] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        code, holder = [np.repeat(a, times) * self.tokens.size_b + b[at]], [np.repeat(row_a, times)]
+        number = [np.ones(len(at), np.int64)]
+        for g in np.flatnonzero(large).tolist():
+            pairs = linked([(a[group_a == g].tolist(), b[group_b == g].tolist())], self.tokens.size_b)
+            code.append(np.fromiter(pairs, np.int64, len(pairs)))
+            number.append(np.fromiter(pairs.values(), np.int64, len(pairs)))
+            holder.append(np.full(len(pairs), row[g]))
+        code, holder, number = np.concatenate(code), np.concatenate(holder), np.concatenate(number)
+        order = np.lexsort((code, holder))
+        code, holder = code[order], holder[order]
+        fresh = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (holder[1:] != holder[:-1])))
+        links = np.add.reduceat(number[order], fresh)
+        held = np.bincount(holder[fresh], minlength=len(ids))
+        counts = [np.bincount(row_a), np.bincount(row_b), np.bincount(row), np.bincount(row, n_a * n_b).astype(np.int64)]
+        self.counts = np.concatenate((self.counts, np.stack(counts, axis=1)))
+        self.codes, self.links = np.concatenate((self.codes, code[fresh])), np.concatenate((self.links, links))
+        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(held)))
+        return slots
 
 
 SHAPE = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint"
@@ -168,52 +215,46 @@ def _lists(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 def composed(pieces: Pieces, texts: list[str]) -> list[pa.Array]:
     """(n_a, n_b, n_groups, n_links, groups_sha256, codes, links) of each text: its pieces' fragments composed."""
-    slots: dict[str, int] = {}
-    rows = [[slots.setdefault(p, len(slots)) for p in _LONE_SPACE.split(t)] if t else [] for t in texts]
-    fragments = pieces.of(list(slots))
-    if None in fragments:
-        bad = {k for k, f in enumerate(fragments) if f is None}
-        for r, own in enumerate(rows):
-            if bad.intersection(own):
-                # Its pieces are not spelt; the whole is asked as one, since that is what counts.
-                [whole] = pieces.of([texts[r]])
-                rows[r] = [len(fragments)] if whole else []
-                fragments.append(whole)
-        blank = Closed.__new__(Closed)
-        blank.text, blank.codes, blank.links, blank.counts = b"", (), (), (0, 0, 0, 0)
-        fragments = [f or blank for f in fragments]
+    numbers: dict[str, int] = {}
+    rows = [[numbers.setdefault(p, len(numbers)) for p in _LONE_SPACE.split(t)] if t else [] for t in texts]
+    slots = pieces.of(list(numbers))
     sizes = np.array([len(r) for r in rows], np.int64)
-    flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
     row = np.repeat(np.arange(len(rows)), sizes)
-    cuts = np.concatenate(([0], np.cumsum(sizes)))
-    counts = np.array([f.counts for f in fragments], np.int64).reshape(-1, 4)
-    sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(counts[flat], axis=0)))
+    flat = slots[np.fromiter(chain.from_iterable(rows), np.int64, len(row))] if len(row) else row
+    bad = np.unique(row[flat < 0])
+    if len(bad):
+        # Some pieces are not spelt; the whole text is asked as one, since that is what counts.
+        whole = np.maximum(pieces.add([texts[r] for r in bad]), 0)
+        keep = ~np.isin(row, bad)
+        row, flat = np.concatenate((row[keep], bad)), np.concatenate((flat[keep], whole))
+        order = np.argsort(row, kind="stable")
+        row, flat = row[order], flat[order]
+    cuts = np.searchsorted(row, np.arange(len(rows) + 1))
+    sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(pieces.counts[flat], axis=0)))
     totals = sums[cuts[1:]] - sums[cuts[:-1]]
-    written_as = [f.text for f in fragments]
-    digests = [hashlib.sha256(b";".join([written_as[s] for s in r])).hexdigest() if r else "" for r in rows]
+    known, held, digests = pieces.texts, flat.tolist(), []
+    for r, n in enumerate(totals[:, 0].tolist()):
+        digests.append(hashlib.sha256(b";".join([known[s] for s in held[cuts[r] : cuts[r + 1]]])).hexdigest() if n else "")
 
     # Links: each piece once per text, times how often it stands there; then equal pairs of a text together.
-    held = np.array([len(f.codes) for f in fragments], np.int64)
-    begin = np.concatenate(([0], np.cumsum(held)))
-    codes = np.fromiter(chain.from_iterable(f.codes for f in fragments), np.int64, int(begin[-1]))
-    links = np.fromiter(chain.from_iterable(f.links for f in fragments), np.int64, int(begin[-1]))
-    spot, times = np.unique(row * len(fragments) + flat, return_counts=True) if len(flat) else (flat, flat)
-    at_row, at_slot = spot // max(1, len(fragments)), spot % max(1, len(fragments))
-    n = held[at_slot]
-    place = np.repeat(begin[at_slot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    code, link, at_row = codes[place], links[place] * np.repeat(times, n), np.repeat(at_row, n)
-    order = np.lexsort((code, at_row))
+    spot = np.sort(row * len(known) + flat)
+    first = np.flatnonzero(np.append(True, spot[1:] != spot[:-1])[: len(spot)])
+    times = np.diff(np.append(first, len(spot)))
+    at_row, at_slot = spot[first] // len(known), spot[first] % len(known)
+    n = pieces.begin[at_slot + 1] - pieces.begin[at_slot]
+    place = np.repeat(pieces.begin[at_slot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    code, link, at_row = pieces.codes[place], pieces.links[place] * np.repeat(times, n), np.repeat(at_row, n)
+    span = pieces.tokens.size_a * pieces.tokens.size_b
+    order = np.argsort(at_row * span + code)
     code, link, at_row = code[order], link[order], at_row[order]
     first = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (at_row[1:] != at_row[:-1]))[: len(code)])
     link = np.add.reduceat(link, first) if len(first) else link
     code, at_row = code[first], at_row[first]
     ends = np.searchsorted(at_row, np.arange(len(rows) + 1))
-    kind = pa.int32() if pieces.tokens.size_a * pieces.tokens.size_b < 2**31 else pa.int64()
+    kind = pa.int32() if span < 2**31 else pa.int64()
     return [*[pa.array(totals[:, k]) for k in range(4)], pa.array(digests, pa.string()), _lists(code, ends, kind), _lists(link, ends, pa.int64())]
 
 
-
-
 def short_texts(rows: DataFrame, paths: tuple[str, str], code: str) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "links"]

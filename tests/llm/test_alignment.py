@@ -88,10 +88,10 @@ TEXTS = [
 
 
 @given(st.text(st.sampled_from("aAeb \n\t.,'éЖ漢▁\U0001f600<>|s0 \x1c"), max_size=60))
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=150, deadline=None)
 def test_pieces_are_the_whole(text):
-    tokens = _libraries.setdefault("tokens", alignment.Tokenizers(A, B))
-    got = alignment.composed(alignment.Pieces(tokens), [text])
+    pieces = _libraries.get("pieces") or _libraries.setdefault("pieces", alignment.Pieces(alignment.Tokenizers(A, B)))
+    got = alignment.composed(pieces, [text])
     want = plain_groups(text)
     assert [x[0].as_py() for x in got[:3]] == [sum(len(a) for a, _ in want), sum(len(b) for _, b in want), len(want)]
     written = alignment.written([(list(a), list(b)) for a, b in want])
@@ -103,11 +103,14 @@ def test_no_piece_of_b_has_a_space_inside(tokens):
     assert not any(b" " in spelt.lstrip(b" ") for spelt in tokens.bytes_b)
 
 
-def test_texts(spark):
+def test_texts(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0]), (None, TEXTS[1]), (5, "again the same")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     want = sorted([(r[0], *w) for r, w in zip(rows, plain([r[1] for r in rows]), strict=True)], key=str)
     assert rows_of(alignment.align(df, A, B)) == want
+    # Groups of any size count their ids first.
+    monkeypatch.setattr(alignment, "LARGE", 0)
+    assert rows_of(alignment.align(df, A, B)) == want
     # Beyond the bound the table of counts is joined.
     assert rows_of(alignment.align(df, A, B, held=3)) == want
 
