@@ -21,7 +21,7 @@ from presslens.catalog.registry import (
     table,
 )
 from presslens.functions import text as tx
-from presslens.functions.stemming import stem_tokens
+from presslens.functions.stemming import stem_by_language, stem_tokens
 from presslens.operators import counts as ct
 from presslens.operators import entities as en
 from presslens.operators import tfidf as tf
@@ -74,6 +74,14 @@ def _(spark, sf):
     return pairs.groupBy(F.col("p.words").alias("word"), F.col("p.stems").alias("stem")).agg(F.count("*").alias("n"))
 
 
+@query("stem_by_language")
+def _(spark, sf):
+    rows = table(spark, sf, "documents").select("lang", tx.tokenize(F.col("text")).alias("words"))
+    stems = rows.withColumn("stems", stem_by_language("words", "lang"))
+    pairs = stems.select("lang", F.explode_outer(F.arrays_zip("words", "stems")).alias("p")).filter("p IS NOT NULL")
+    return pairs.groupBy("lang", F.col("p.stems").alias("stem")).agg(F.count("*").alias("n"), F.countDistinct("p.words").alias("words"))
+
+
 def _stop_sql():
     cases = " ".join(
         f"WHEN lang = '{lang}' THEN len(list_filter(w, lambda x: x IN {sql_list(stopword_lists()[name])}))"

@@ -1,4 +1,4 @@
-"""Portuguese Snowball stems, applied to token arrays in Arrow batches.
+"""Portuguese Snowball stems, and stems of any known language, applied to token arrays in Arrow batches.
 
 The rules are those of the published Snowball algorithm. Each batch is dictionary-encoded first, so
 a word is stemmed once per batch however often it occurs, and the step needs no shuffle.
@@ -6,10 +6,13 @@ a word is stemmed once per batch however often it occurs, and the step needs no
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presslens.functions.snowball import stem_english, stem_french, stem_german, stem_spanish
+
 # Fixed values of the published algorithm: vowels and the suffixes of each step.
 VOWELS = set("aeiouáéíóúâêô")
 SUFFIX_DELETE = """
@@ -131,11 +134,43 @@ def stem_portuguese(word: str) -> str:
     return stem
 
 
+#: By code and by name; words of other languages stay as they are.
+STEMMERS = {
+    "pt": stem_portuguese, "en": stem_english, "de": stem_german, "es": stem_spanish, "fr": stem_french,
+    "portuguese": stem_portuguese, "english": stem_english, "german": stem_german, "spanish": stem_spanish, "french": stem_french,
+}
+
+
+def _stemmed(words: pa.Array, stem) -> pa.Array:
+    """Each distinct word is stemmed once."""
+    words = words.dictionary_encode()
+    return pa.array([stem(w) if w else w for w in words.dictionary.to_pylist()], pa.string()).take(words.indices)
+
+
+def _like(tokens: pa.Array, stems: pa.Array) -> pa.Array:
+    sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return pa.ListArray.from_arrays(pa.array([0, *sizes.cumsum().tolist()], pa.int32()), stems, mask=tokens.is_null())
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(tokens: pa.Array) -> pa.Array:
-    """Stems of an array<string> column."""
-    words = tokens.flatten().dictionary_encode()
-    stems = pa.array([stem_portuguese(w) if w else w for w in words.dictionary.to_pylist()], pa.string())
+    """Portuguese stems of an array<string> column."""
+    return _like(tokens, _stemmed(tokens.flatten(), stem_portuguese))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stem_by_language(tokens: pa.Array, language: pa.Array) -> pa.Array:
+    """Stems of an array<string> column by each row's own language, a code or a name."""
+    words = tokens.flatten()
     sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    offsets = pa.array([0, *sizes.cumsum().tolist()], pa.int32())
-    return pa.ListArray.from_arrays(offsets, stems.take(words.indices), mask=tokens.is_null())
+    codes = language.dictionary_encode()
+    number = np.repeat(codes.indices.fill_null(-1).to_numpy(zero_copy_only=False), sizes)
+    parts, order = [words.filter(pa.array(number < 0))], [np.flatnonzero(number < 0)]
+    for k, name in enumerate(codes.dictionary.to_pylist()):
+        own = np.flatnonzero(number == k)
+        stem = STEMMERS.get((name or "").lower())
+        part = words.take(pa.array(own))
+        parts.append(_stemmed(part, stem) if stem else part)
+        order.append(own)
+    back = np.argsort(np.concatenate(order), kind="stable")
+    return _like(tokens, pa.concat_arrays([p.cast(pa.string()) for p in parts]).take(pa.array(back)))
