@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from presslens.operators.dedupe import keep_first, latest
 from presslens.session import materialise
+from presslens.sinks.tables import MANIFEST
 
 # Columns of metric files that are text, and those that are whole numbers.
 TEXT = {"metric", "model", "date", "file_name", "last_changed", "splitrule", "model_type", "fitted_on"}
@@ -69,6 +70,24 @@ def read_snapshots(spark: SparkSession, path) -> DataFrame:
     return read_drifting_csv(spark, path)
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """An archive with a manifest as one table of strings, with `snapshot` and `file_name`.
+
+    The manifest gives the few distinct headers; each is one folder and one scan, whatever the number
+    of files, so no file is read for its header and no list of files is held.
+    """
+    runs = spark.read.schema("header string, columns array<string>, snapshot string, written_at timestamp").parquet(f"{path}/{MANIFEST}")
+    headers = runs.groupBy("header").agg(F.first("columns").alias("columns")).orderBy("header").collect()
+    if not headers:
+        raise ValueError(f"no snapshot at {path}")
+    parts = []
+    for row in headers:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*row["columns"], "snapshot"]])
+        part = spark.read.schema(schema).options(**CSV).csv(f"{path}/header={row['header']}")
+        parts.append(part.select("*", F.col("_metadata.file_name").alias("file_name")))
+    return stack(*parts)
+
+
 def archive(snapshots: DataFrame, key: str = "url", order: str = "file_name") -> DataFrame:
     """One row per article: the earliest snapshot's."""
     return keep_first(snapshots, [key], [order])

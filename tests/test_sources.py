@@ -176,3 +176,24 @@ def test_backlog_out_of_order_loses_nothing(spark, tmp_path):
 def test_whole_numbers_of_the_history(spark, tmp_path):
     (tmp_path / "m.csv").write_text("model,mtry,n_tree,model_f1\na,8,500,0.5\n")
     assert dict(archive.read_metrics(spark, f"{tmp_path}/*.csv").dtypes)["n_tree"] == "bigint"
+
+
+def test_archive_with_a_manifest(spark, tmp_path):
+    """Drifting headers come back by name from one scan each; a repeated run replaces its files; awkward texts survive."""
+    root = str(tmp_path / "archive")
+    texts = ["one", 'a "quote", a comma', "two\nlines", "", None, "NA of", "x,y\n\"z\""]
+    rows = [(str(i), t, f"u{i}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id string, text string, url string").repartition(4)
+    tables.append_snapshot(docs, root, "2024-01-31 12:00:00")
+    tables.append_snapshot(docs, root, "2024-01-31 12:00:00")
+    tables.append_snapshot(docs.select("url", "id"), root, "2024-01-31 12:40:00")
+    tables.append_snapshot(docs.select("text", "url", "id"), root, "2024-02-01 00:00:00")
+    got = archive.read_archive(spark, root)
+    found = sorted(((r.snapshot, r.id, r.text, r.url) for r in got.collect()), key=str)
+    rows = [(i, t or None, u) for i, t, u in rows]  # the dialect has no empty text
+    want = [("2024-01-31-12-00", *r) for r in rows] + [("2024-01-31-12-40", r[0], None, r[2]) for r in rows] + [("2024-02-01-00-00", *r) for r in rows]
+    assert found == sorted(want, key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3 and "FileScan text" not in plan
+    with pytest.raises(PySparkException):
+        archive.read_archive(spark, str(tmp_path / "none"))
