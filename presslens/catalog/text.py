@@ -28,7 +28,7 @@ from presslens.operators import tfidf as tf
 from presslens.operators.dedupe import keep_first, top_n_with_ties
 from presslens.operators.joins import drop_listed, lookup_join, natural_left, pending
 from presslens.operators.split import stratified_split
-from presslens.session import materialise, new_path
+from presslens.session import materialise, new_path, spread
 
 
 def words(spark, sf, stop=None):
@@ -183,8 +183,8 @@ PRODUCTION = f"""{STOPPED_WORDS}, tokens AS ({sql_grams('words', 1, 5, '_')}), {
     vocab AS (SELECT term, CAST(sum(n) AS BIGINT) AS term_count, count(*) AS doc_count FROM counts GROUP BY term)"""
 
 
-def production_grams(spark, sf, low=1, high=5):
-    return tx.ngram_rows(words(spark, sf, STOP), "words", low, high)
+def production_grams(spark, sf, low=1, high=5, tokens=None):
+    return tx.ngram_rows(words(spark, sf, STOP) if tokens is None else tokens, "words", low, high)
 
 
 @query(
@@ -403,9 +403,10 @@ KEPT = f"""{RESEARCH}, vocab AS (SELECT term, count(*) AS doc_count FROM counts
     * ln((SELECT count(DISTINCT doc_id) FROM kept) / doc_count), 9) AS tf_idf FROM kept""",
 )
 def _(spark, sf):
-    grams = ct.research_grams(table(spark, sf, "documents"), STOP)
-    vocab = materialise(ct.min_df(ct.term_counts(grams), 5), "vocabulary")
-    kept = tf.doc_term_matrix(grams, vocab, columns=("doc_count",))
+    # grams are formed and counted once; vocabulary and matrix read the written counts
+    counts = materialise(research_counts(spark, sf), "counts")
+    vocab = materialise(ct.min_df(counts, 5), "vocabulary")
+    kept = lookup_join(counts, vocab, "term", "doc_id")
     return tf.tfidf_tidy(kept).select("doc_id", "term", "n", F.round("tf_idf", 9).alias("tf_idf"))
 
 
@@ -414,9 +415,14 @@ IDF = f"""{PRODUCTION}, pruned AS (SELECT * FROM vocab WHERE term_count >= 20),
       ln((SELECT count(*) FROM documents)::DOUBLE / (1.0 + doc_count)) AS idf FROM pruned)"""
 
 
-def fitted(spark, sf):
+def split_once(spark, sf):
+    """The words of every document, written once and read by all passes over its grams."""
+    return spread(materialise(words(spark, sf, STOP), "words"), "doc_id")
+
+
+def fitted(spark, sf, tokens=None):
     docs = table(spark, sf, "documents")
-    vocab = ct.frequent_vocabulary(words(spark, sf, STOP), 1, 5, 20)
+    vocab = ct.frequent_vocabulary(split_once(spark, sf) if tokens is None else tokens, 1, 5, 20)
     return tf.TfidfModel.fit(vocab, docs.count())
 
 
@@ -448,8 +454,9 @@ def _(spark, sf):
     WHERE v.term_count >= 20""",
 )
 def _(spark, sf):
-    vocab = ct.frequent_vocabulary(words(spark, sf, STOP), 1, 5, 20)
-    return tf.doc_term_matrix(production_grams(spark, sf), vocab, columns=())
+    tokens = split_once(spark, sf)
+    vocab = ct.frequent_vocabulary(tokens, 1, 5, 20)
+    return tf.doc_term_matrix(production_grams(spark, sf, tokens=tokens), vocab, columns=())
 
 
 WEIGHTS = f"""{IDF}, weights AS (SELECT c.doc_id, c.term, c.n / sum(c.n) OVER (PARTITION BY c.doc_id) * f.idf AS weight
@@ -460,8 +467,9 @@ UNPIVOT = " UNION ALL ".join(
 
 
 def weights(spark, sf):
-    model = fitted(spark, sf)
-    return model, model.transform(production_grams(spark, sf))
+    tokens = split_once(spark, sf)
+    model = fitted(spark, sf, tokens)
+    return model, model.transform(production_grams(spark, sf, tokens=tokens))
 
 
 @query(
