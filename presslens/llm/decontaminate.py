@@ -214,7 +214,9 @@ class Index:
         found = found.groupBy("key").agg(F.collect_list(F.struct("item_id", "words", "shifts")).alias("at"))
         found = self.scratch.put(found, "alignments")
         bits = self.docs.sparkSession.sparkContext.broadcast(sieve(found.select("key")))
-        return compared(word_lists(self.narrow, bits).join(found, "key", "left"), self.width)
+        # Written, so that no task needs two Python workers, one for words and one for the comparison.
+        words = self.scratch.put(word_lists(self.narrow, bits), "words")
+        return compared(words.join(found, "key", "left"), self.width)
 
     def proximity(self, slop: int) -> DataFrame:
         """(doc_id, item_id, gap): documents with both anchors of a window at most `slop` off, but not exact."""

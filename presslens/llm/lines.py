@@ -27,7 +27,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,9 +108,9 @@ def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def may_hold(key: Column, bitmap) -> Column:
     """Whether a filter (broadcast) may hold the key."""
 
-    @F.pandas_udf("boolean")
-    def found(keys):
-        return pd.Series(holds(np.frombuffer(bitmap.value, np.uint8), keys.to_numpy().view(W.U)))
+    @F.arrow_udf("boolean")
+    def found(keys: pa.Array) -> pa.Array:
+        return pa.array(holds(np.frombuffer(bitmap.value, np.uint8), keys.to_numpy(zero_copy_only=False).view(W.U)))
 
     return found(key)
 
