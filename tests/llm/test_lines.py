@@ -76,7 +76,7 @@ def test_awkward_rows_and_clashing_columns(spark):
 
 
 @given(st.lists(st.text(st.sampled_from("aB é\t\n\r"), max_size=20), max_size=6))
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=80, deadline=None)
 def test_lines_of_a_buffer(texts):
     found = []
     for i, j, buffer, offsets in W.slices(pa.array([t.encode() for t in texts], pa.binary()), 16):

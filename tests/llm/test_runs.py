@@ -55,13 +55,13 @@ def check(texts: list[str], least: int = 24, periods: int = 3):
 
 
 @given(st.lists(st.lists(st.sampled_from("ab"), max_size=90), max_size=4), st.sampled_from([(24, 3), (6, 3), (1, 3), (10, 4), (3, 5)]))
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=120, deadline=None)
 def test_two_words(texts, rule):
     check([" ".join(t) for t in texts], *rule)
 
 
 @given(st.data())
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=80, deadline=None)
 def test_nested_periods(draw):
     """Powers of powers: every level is a run of its own, with context shared between levels."""
     word = st.sampled_from(["a", "b", "c"])

@@ -77,7 +77,7 @@ def test_scripts_without_spaces(spark):
 
 
 @given(st.lists(st.text(st.sampled_from("ab.!?»」'\")。،、，漢字かกข\U00020001é \n\t"), max_size=60), min_size=1, max_size=3))
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=120, deadline=None)
 def test_words_and_stops_against_plain(texts):
     """Words, weights, sentence ends and pieces of a buffer of several texts."""
     import pyarrow as pa
