@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from presslens.catalog.registry import query, table
-from presslens.functions.scalars import label_from_path, lookback_minutes
+from presslens.functions.scalars import LOOKBACK_BY_HOUR, NEGATIVE_MARKER, label_from_path, lookback_minutes
 from presslens.session import new_path
 from presslens.sinks.tables import write_rejects
 from presslens.sources import feed, markup, pages
@@ -44,7 +44,7 @@ def _(spark, sf):
     return good.unionByName(failed).drop("ts")
 
 
-LOOKBACK = """CASE WHEN hour({0}) BETWEEN 0 AND 6 THEN 240 WHEN hour({0}) BETWEEN 7 AND 20 THEN 100 ELSE 120 END"""
+LOOKBACK = "CASE " + " ".join(f"WHEN hour({{0}}) BETWEEN {low} AND {high} THEN {minutes}" for low, high, minutes in LOOKBACK_BY_HOUR) + " END"
 
 
 @query("lookback_by_hour", f"SELECT event_id, {LOOKBACK.format('ts')} AS minutes FROM events")
@@ -52,12 +52,12 @@ def _(spark, sf):
     return table(spark, sf, "events").select("event_id", lookback_minutes(F.hour("ts")).alias("minutes"))
 
 
-PATHS = "'data/labeled_data/' || CASE WHEN lang = 'en' THEN 'no_covid_label' ELSE source END || '-' || doc_id || '.json'"
+PATHS = f"'data/labeled_data/' || CASE WHEN lang = 'en' THEN '{NEGATIVE_MARKER}' ELSE source END || '-' || doc_id || '.json'"
 
 
-@query("label_from_filename", f"SELECT doc_id, split_part(split_part({PATHS}, '/', 3), '-', 1) <> 'no_covid_label' AS is_covid FROM documents")
+@query("label_from_filename", f"SELECT doc_id, split_part(split_part({PATHS}, '/', 3), '-', 1) <> '{NEGATIVE_MARKER}' AS is_covid FROM documents")
 def _(spark, sf):
-    name = F.when(F.col("lang") == "en", F.lit("no_covid_label")).otherwise(F.col("source"))
+    name = F.when(F.col("lang") == "en", F.lit(NEGATIVE_MARKER)).otherwise(F.col("source"))
     path = F.concat(F.lit("data/labeled_data/"), name, F.lit("-"), F.col("doc_id"), F.lit(".json"))
     return table(spark, sf, "documents").select("doc_id", label_from_path(path).alias("is_covid"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.catalog.registry import STOP, query, sql_list, sql_tokens, table
-from presslens.functions.text import clean_space, ngram_rows
+from presslens.functions.text import SPACE_PATTERN, clean_space, ngram_rows
 from presslens.operators.counts import min_df, term_counts, tokens_of
 from presslens.operators.dedupe import keep_first_by_text, top_n_with_ties
 from presslens.operators.tfidf import doc_term_matrix, tfidf_tidy
@@ -20,7 +20,7 @@ EDGE = "' ' || chr(9) || chr(10) || chr(13)"
     rf"""WITH corpus AS (SELECT * FROM (SELECT d.doc_id, d.text, l.quality,
       row_number() OVER (PARTITION BY d.text, l.quality ORDER BY d.doc_id) r
       FROM documents d JOIN labels l ON d.doc_id = l.doc_id) WHERE r = 1),
-    clean AS (SELECT doc_id, trim(regexp_replace(text, '[^\p{{L}}\p{{M}}\p{{N}}\s\-]|(f|ht)tps?://.*[.|/].*', ' ', 'g'), {EDGE}) AS text,
+    clean AS (SELECT doc_id, trim(regexp_replace(text, '{SPACE_PATTERN}', ' ', 'g'), {EDGE}) AS text,
       quality FROM corpus),
     words AS (SELECT doc_id, quality, list_filter({sql_tokens()}, lambda x: x NOT IN {sql_list(STOP)}) AS w FROM clean),
     tokens AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - n + 2),

@@ -50,6 +50,7 @@ def sql_confusion(source: str = "labels", by: str = "") -> str:
         count(*) FILTER (toxic <> 0 AND quality <> 0) AS tn FROM {source} {group}"""
 
 
+# Fixed names of the published metrics, with their closed forms.
 CLOSED = {
     "Accuracy": "(tp + tn) / n",
     "Kappa": "((tp + tn) / n - e) / (1 - e)",

@@ -14,6 +14,8 @@ LEAD_MIN_CHARS_RESEARCH = 100
 SCORE_MIN_CHARS = 80
 PARSE_MIN_CHARS = 10
 ENTITY_TEXT_CHARS = 5000
+# Fixed value: the negative marker in the names of labelled files.
+NEGATIVE_MARKER = "no_covid_label"
 # Fixed value: time format of a snapshot name.
 SNAPSHOT_FORMAT = "yyyy-MM-dd-HH-mm"
 
@@ -45,11 +47,8 @@ def source_code(doc_id: Column) -> Column:
     return F.nullif(F.regexp_extract(doc_id, "^([A-Z]+)[0-9]", 1), F.lit(""))
 
 
-def label_from_path(path: Column, negative: str = "no_covid_label") -> Column:
-    """False when the file's base name carries the negative marker before its first hyphen.
-
-    The default marker is a fixed value of the labelled files' naming scheme.
-    """
+def label_from_path(path: Column, negative: str = NEGATIVE_MARKER) -> Column:
+    """False when the file's base name carries the negative marker before its first hyphen."""
     base = F.element_at(F.split(path, "/"), -1)
     return F.substring_index(base, "-", 1) != negative
 
