@@ -51,8 +51,8 @@ HELD = 1 << 22
 #: Pieces remembered per task, and the longest that is, in characters; texts handled at once, in characters.
 MEMORY, SHORT, AT_ONCE = 400_000, 48, 1 << 20
 
-#: Links of a group beyond which its ids are counted before they are paired.
-LARGE = 256
+#: Links of a group beyond which its ids are counted before they are paired; pieces that one call encodes.
+LARGE, JOINED = 256, 512
 
 # Neither side is white space in any reading, so no token of either tokenizer has this space inside.
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -96,6 +96,21 @@ class Tokenizers:
         return [ids if x == w == y else None for ids, x, w, y in zip(found, spelt_a, want, spelt_b, strict=True)]
 
 
+    def encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of A and B of pieces without white space at their ends, joined by lone spaces, `JOINED` a call.
+
+        Neither side has a token across such a space, so they are the ids of the pieces in order; None
+        where a side spells something else somewhere.
+        """
+        chunks = [" ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        want = "".join([" " + c for c in chunks]).encode()
+        a = list(chain.from_iterable(x.ids for x in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)))
+        b = list(chain.from_iterable(self.b.encode(chunks, num_threads=1)))
+        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
+            return None
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+
 def written(groups: list[Group]) -> bytes:
     """`a1,a2|b1;a3|b2,b3`."""
     return ";".join([",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups]).encode()
@@ -155,19 +170,29 @@ class Pieces:
         return np.array(slots, np.int64)
 
     def add(self, pieces: list[str]) -> np.ndarray:
-        """Slots for new pieces, all made at once."""
-        ids = self.tokens.encode(pieces)
-        spelt = np.array([x is not None for x in ids])
-        ids = [x for x in ids if x is not None]
+        """Slots for new pieces, all made at once: those with white space at an end, or not spelt, one by one."""
+        loose = np.array([p[0].isspace() or p[-1].isspace() for p in pieces])
+        plain = np.flatnonzero(~loose)
+        whole = self.tokens.encode_joined([pieces[k] for k in plain]) if len(plain) else None
+        rest = np.flatnonzero(loose) if whole else np.arange(len(pieces))
+        ids = self.tokens.encode([pieces[k] for k in rest]) if len(rest) else []
+        rest = rest[np.array([x is not None for x in ids], bool)]
+        ids, n = [x for x in ids if x is not None], len(plain) if whole else 0
         slots = np.full(len(pieces), -1)
-        slots[spelt] = len(self.texts) + np.arange(len(ids))
-        if not ids:
+        slots[np.concatenate((plain[:n], rest))] = len(self.texts) + np.arange(n + len(rest))
+        if not n + len(rest):
             return slots
+        # Bytes up to the end of each joined piece, the space before it among them.
+        bounds = np.cumsum([len(pieces[k].encode()) + 1 for k in plain[:n]])
         sides = []  # (piece, id, end in bytes) of each token, for A and B
         for side in (0, 1):
-            n = np.array([len(x[side]) for x in ids])
-            flat = np.fromiter(chain.from_iterable(x[side] for x in ids), np.int64, int(n.sum()))
-            sides.append((np.repeat(np.arange(len(ids)), n), flat, np.cumsum(self.lengths[side][flat])))
+            sizes = np.array([len(x[side]) for x in ids], np.int64)
+            flat = np.fromiter(chain.from_iterable(x[side] for x in ids), np.int64, int(sizes.sum()))
+            flat = np.concatenate((whole[side], flat)) if whole else flat
+            ends = np.cumsum(self.lengths[side][flat])
+            row = np.repeat(n + np.arange(len(ids)), sizes)
+            row = np.concatenate((np.searchsorted(bounds, ends[: len(whole[side])]), row)) if whole else row
+            sides.append((row, flat, ends))
         (row_a, a, end_a), (row_b, b, end_b) = sides
         common = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
@@ -198,7 +223,7 @@ class Pieces:
         code, holder = code[order], holder[order]
         fresh = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (holder[1:] != holder[:-1])))
         links = np.add.reduceat(number[order], fresh)
-        held = np.bincount(holder[fresh], minlength=len(ids))
+        held = np.bincount(holder[fresh], minlength=n + len(ids))
         counts = [np.bincount(row_a), np.bincount(row_b), np.bincount(row), np.bincount(row, n_a * n_b).astype(np.int64)]
         self.counts = np.concatenate((self.counts, np.stack(counts, axis=1)))
         self.codes, self.links = np.concatenate((self.codes, code[fresh])), np.concatenate((self.links, links))
