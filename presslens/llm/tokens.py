@@ -77,19 +77,20 @@ class Encoder:
         head, *rest = text.split(" ")
         if not self.cuts or head[-1:].isspace() or any(s in text for s in self.specials):
             return self.whole(text)
-        out = list(map(self.pieces.get, rest))
-        if None in out:
-            if len(self.pieces) >= self.memory:
-                self.pieces.clear()
-            for k, part in enumerate(rest):
-                if out[k] is None:
-                    # Pieces that are remembered have no white space at their ends.
-                    if not part or part[0].isspace() or part[-1].isspace():
-                        return self.whole(text)
-                    out[k] = self.pieces.get(part) or self.piece(" " + part)
-                    if len(part) < 64:
-                        self.pieces[part] = out[k]
-        return self.piece(head) + b"".join(out)
+        found, out = self.pieces, [self.piece(head)]
+        for part in rest:
+            ids = found.get(part)
+            if ids is None:
+                # Pieces that are remembered have no white space at their ends.
+                if not part or part[0].isspace() or part[-1].isspace():
+                    return self.whole(text)
+                if len(found) >= self.memory:
+                    found.clear()
+                ids = self.piece(" " + part)
+                if len(part) < 64:
+                    found[part] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library([text])[0], "<u4").tobytes()
