@@ -133,3 +133,25 @@ def test_tuning_uses_every_row(spark):
     found = learners.tune(train, [2, 3], folds=5, repeats=2, trees=5).collect()
     assert {r.mtry for r in found} == {2, 3}
     assert all((r.scored, r.repeats, r.folds) == (122, 2, 5) and r.accuracy > 0.6 for r in found)
+
+
+def test_a_round_moves_the_vectors_to_few_parts(rows, monkeypatch):
+    """However many texts, there are few parts, each a task of its own; more only where a part's texts would not fit a task."""
+    seen, plain = [], embeddings._round
+
+    def spy(texts, *rest):
+        sizes = texts.groupBy("part", F.spark_partition_id().alias("task")).count().collect()
+        seen.append((len(sizes), len({r.part for r in sizes}), len({r.task for r in sizes}), sum(r["count"] for r in sizes)))
+        return plain(texts, *rest)
+
+    monkeypatch.setattr(embeddings, "_round", spy)
+    train = rows.filter("is_train")
+    embeddings.train(train, 5, 1.0, 2, part_rows=1)
+    assert seen == [(embeddings.MAX_PARTS,) * 3 + (160,)] * 2
+    seen.clear()
+    entries = train.agg(F.sum(F.size("ids"))).first()[0]
+    monkeypatch.setattr(embeddings, "PART_ENTRIES", entries // 6)
+    model = embeddings.train(train, 20, 1.0, 30, part_rows=1)
+    assert seen[0][3] == 160 and 6 <= seen[0][1] <= 7
+    said = model.predict(rows.filter("NOT is_train")).collect()
+    assert np.mean([str(r.label) == r.predicted for r in said]) > 0.9
