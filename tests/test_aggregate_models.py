@@ -115,3 +115,42 @@ def test_class_weights_move_the_svm(spark):
         model = learners.linear_svm(200, 1.0, "weight").fit(weighted)
         found.append(model.transform(docs).filter("prediction = 1").count())
     assert found[1] > found[0] + 20
+
+
+def test_boosted_stumps_of_stored_values(spark):
+    """Sparse and dense vectors, weights below 0 among them; no row of the width of the vocabulary is made."""
+    from pyspark.ml.linalg import Vectors
+
+    x, y = table()
+    x[:, 3] -= (x[:, 3] > 0) * 0.8
+    x[:, 5] *= -1
+    vectors = [Vectors.dense(r) if i % 2 else Vectors.sparse(len(r), [(t, v) for t, v in enumerate(r) if v]) for i, r in enumerate(x.tolist())]
+    rows = spark.createDataFrame([(i, float(y[i]), v) for i, v in enumerate(vectors)], ["doc_id", "label", "features"])
+    said = {r.doc_id: r for r in learners.boosted_stumps(rows.filter("doc_id < 150"), rows.filter("doc_id >= 150"), rounds=8).collect()}
+    both = np.concatenate((np.maximum(x, 0), np.maximum(-x, 0)), axis=1)
+    stumps, _ = plain_boost(both[:150], y[:150], 8, boosting.BINS)
+    assert sorted(said) == list(range(150, 200)) and any(int(t[1:]) >= x.shape[1] for t, *_ in stumps)
+    for i in range(150, 200):
+        score = sum(high if both[i, int(t[1:])] > cut else below for t, cut, below, high in stumps)
+        assert abs(said[i].probability - 1 / (1 + math.exp(-2 * score))) < 1e-6
+
+
+def test_baselines_take_no_dense_rows(spark, monkeypatch):
+    """MLlib's boosted trees hold one number per row and feature."""
+    import pyspark.ml.classification as ml
+
+    from presslens.plans import training
+    from presslens.operators.tfidf import TfidfModel
+
+    def never(*_):
+        raise AssertionError("dense")
+
+    monkeypatch.setattr(ml.GBTClassifier, "_fit", never)
+    x, y = table(120)
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, float(y[i]), i % 3 > 0, Vectors.sparse(12, [(t, v) for t, v in enumerate(r) if v])) for i, r in enumerate(x.tolist())]
+    rows = spark.createDataFrame(rows, ["doc_id", "label", "is_train", "features"])
+    found = training.baselines(training.Matrix(rows, TfidfModel(None, 80), 12, {}), trees=3)
+    assert list(found) == ["svm\nbaseline", "nb\nbaseline", "logitboost\nbaseline", "random forests\nbaseline"]
+    assert all(f.count() == 18 for f in found.values())
