@@ -155,3 +155,13 @@ def test_a_round_moves_the_vectors_to_few_parts(rows, monkeypatch):
     assert seen[0][3] == 160 and 6 <= seen[0][1] <= 7
     said = model.predict(rows.filter("NOT is_train")).collect()
     assert np.mean([str(r.label) == r.predicted for r in said]) > 0.9
+
+
+def test_a_round_leaves_no_vectors_behind(spark, rows):
+    """The tables of a round go when the next one is written, those of the last with the model's own."""
+    from presslens import session
+
+    before = set(session._handed_out)
+    model = embeddings.train(rows.filter("is_train"), 5, 1.0, 5)
+    left = [path for path in session._handed_out if path not in before]
+    assert len(left) == 1 and model.vectors.count() > 0
