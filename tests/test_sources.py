@@ -197,3 +197,14 @@ def test_archive_with_a_manifest(spark, tmp_path):
     assert plan.count("FileScan csv") == 3 and "FileScan text" not in plan
     with pytest.raises(PySparkException):
         archive.read_archive(spark, str(tmp_path / "none"))
+
+
+def test_an_archive_is_stored_compressed(spark, tmp_path):
+    """What the runs write stays below their text; every row comes back."""
+    root = tmp_path / "archive"
+    docs = spark.range(400).select(F.col("id").cast("string").alias("id"), F.repeat(F.concat(F.lit('a "word"\n'), "id"), 60).alias("text"))
+    tables.append_snapshot(docs.coalesce(2), str(root), "2024-01-31 12:00:00")
+    size = docs.agg(F.sum(F.length("text"))).first()[0]
+    assert sum(f.stat().st_size for f in root.rglob("part-*") if "csv" in f.name) < size / 2
+    assert archive.read_archive(spark, str(root)).select("id", "text").exceptAll(docs).count() == 0
+    assert archive.read_archive(spark, str(root)).count() == 400
