@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from presslens import session
 from presslens.functions import text as tx
 from presslens.functions.text import ngram_rows
+from presslens.operators import candidates, tfidf
 from presslens.operators import counts as ct
 from presslens.operators.candidates import Candidates
 from presslens.operators.joins import lookup_join
@@ -81,3 +82,76 @@ def test_a_table_too_large_to_broadcast_is_never_broadcast_salted(spark, tasks):
     assert joined.count() == 1500
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def grams_of(spark, monkeypatch, docs, **limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(candidates, name, value)
+    return ct.frequent_research_grams(materialise(docs, "texts"), ["o", "da"], 5)
+
+
+def distinct_texts(spark):
+    return texts(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+
+
+def same(got, want):
+    got, want = materialise(got, "got"), materialise(want.select(*got.columns), "want")
+    return got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+LIMITS = [{}, {"FILTER_BITS": 1 << 9, "MIN_SLOTS": 1 << 26}, {"HELD_ROWS": 40, "PART_WORDS": 300, "SLICE": 60, "PIECE_TERMS": 7, "PIECES_KEPT": 2}]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_candidates_are_counted_and_looked_up_inside_their_rows(spark, monkeypatch, limits):
+    """No gram is shuffled: neither by document nor by term; the numbers are those of all grams counted."""
+    docs = distinct_texts(spark)
+    grams = grams_of(spark, monkeypatch, docs, **limits)
+    every = materialise(ct.term_counts(ct.research_grams(docs, ["o", "da"])), "every")
+    frequent = ct.min_df(every, 5)
+    counts = ct.term_counts(grams)
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert same(counts.join(frequent.select("term"), "term"), every.join(frequent.select("term"), "term"))
+    vocab = materialise(ct.min_df(grams, 5), "vocabulary")
+    assert same(vocab, frequent)
+    assert same(ct.vocabulary(grams).filter("doc_count >= 5"), ct.vocabulary(every).filter("doc_count >= 5"))
+    rows = tfidf.doc_rows(grams, vocab, ("doc_count",))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert same(tfidf.long_form(rows), every.join(frequent, "term"))
+    want = tfidf.tfidf_tidy(every.join(frequent, "term")).withColumn("tf_idf", F.round("tf_idf", 9)).drop("tf", "idf")
+    assert same(tfidf.tfidf_tidy(rows).withColumn("tf_idf", F.round("tf_idf", 9)).drop("tf", "idf"), want)
+
+
+def test_documents_of_several_rows_are_counted_by_id(spark, monkeypatch):
+    docs = texts(spark)
+    grams = grams_of(spark, monkeypatch, docs)
+    assert not grams.one_row_each()
+    every = materialise(ct.term_counts(ct.research_grams(docs, ["o", "da"])), "every")
+    frequent = ct.min_df(every, 5)
+    vocab = materialise(ct.min_df(grams, 5), "vocabulary")
+    assert same(vocab, frequent)
+    assert same(tfidf.long_form(tfidf.doc_rows(grams, vocab, ("doc_count",))), every.join(frequent, "term"))
+
+
+def test_weights_stay_with_their_documents(spark):
+    """Vectors are made of the rows as they come; the weights are those of the grams looked up one by one."""
+    words = materialise(ct.tokens_of(distinct_texts(spark), partitioned=True), "words")
+    fitted = Candidates.fit(words, 5, 10)
+    model = tfidf.TfidfModel.fit(ct.frequent_vocabulary(words, 1, 5, 10, candidates=fitted), words.count())
+    grams = candidates.CandidateGrams(words, fitted, 1, 5)
+    want = model.transform(ngram_rows(words, "words", 1, 5)).withColumn("weight", F.round("weight", 9))
+    assert same(model.transform(grams).withColumn("weight", F.round("weight", 9)), want)
+    rows = tfidf.to_entries(model.transform_rows(grams))
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    got = rows.select("doc_id", F.explode("entries").alias("e")).select("doc_id", "e.term_id", F.round("e.weight", 9).alias("weight"))
+    assert same(got, want)
+    assert rows.filter("entries <> array_sort(entries)").count() == 0
+
+
+def test_two_terms_of_one_hash_are_joined_by_text(spark, monkeypatch):
+    grams = grams_of(spark, monkeypatch, distinct_texts(spark))
+    vocab = materialise(ct.min_df(grams, 5), "vocabulary")
+    want = materialise(tfidf.long_form(tfidf.doc_rows(grams, vocab, ("doc_count",))), "want")
+    monkeypatch.setattr(candidates, "gram_hash", lambda term, sep: F.length(term).cast("bigint"))
+    assert candidates.Lookup.build(vocab, ("doc_count",), " ") is None
+    assert same(tfidf.long_form(tfidf.doc_rows(grams, vocab, ("doc_count",))), want)
