@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from presslens.catalog.registry import STOP, query, sql_list, sql_tokens, table
 from presslens.functions.text import SPACE_PATTERN, clean_space
-from presslens.operators.candidates import Candidates
-from presslens.operators.counts import min_df, term_counts, text_bytes, tokens_of
+from presslens.operators.candidates import CandidateGrams, Candidates
+from presslens.operators.counts import min_df, tokens_of
 from presslens.operators.dedupe import keep_first_by_text, top_n_with_ties
-from presslens.operators.tfidf import doc_term_matrix, tfidf_tidy
-from presslens.session import materialise, spread
+from presslens.operators.tfidf import doc_rows, tfidf_tidy
+from presslens.session import materialise
 
 EDGE = "' ' || chr(9) || chr(10) || chr(13)"
 
@@ -42,11 +42,12 @@ def top_terms(spark: SparkSession, sf: str) -> DataFrame:
     corpus = keep_first_by_text(rows, "text", ["quality"], ["doc_id"])
     # de-duplicated rows are read twice below (vocabulary, then weights): written once
     clean = materialise(corpus.withColumn("text", clean_space(F.col("text"))), "clean-corpus")
-    words = materialise(tokens_of(clean, stop=STOP, partitioned=True), "words")
-    grams = Candidates.fit(words, 2, 5, per_doc=True).rows(spread(words, "doc_id", size=text_bytes("words")), 1, 2)
-    vocab = materialise(min_df(term_counts(grams), 5), "vocabulary")
-    weights = tfidf_tidy(doc_term_matrix(grams, vocab, columns=("doc_count",)))
-    labelled = weights.join(clean.select("doc_id", "quality"), "doc_id")
+    words = materialise(tokens_of(clean, stop=STOP, partitioned=True, keep=("quality",)), "words")
+    grams = CandidateGrams(words, Candidates.fit(words, 2, 5, per_doc=True), 1, 2, keep=("quality",))
+    vocab = materialise(min_df(grams, 5), "vocabulary")
+    labelled = tfidf_tidy(doc_rows(grams, vocab, ("doc_count",)))
+    if "quality" not in labelled.columns:  # where a document has two labels, its words are counted once and labelled twice
+        labelled = labelled.join(clean.select("doc_id", "quality"), "doc_id")
     sums = labelled.groupBy("quality", "term").agg(F.round(F.sum("tf_idf"), 6).alias("score"))
     top = top_n_with_ties(sums, "quality", 20, "score", "term")
     return top.withColumn("rank", F.col("rank").cast("bigint"))
