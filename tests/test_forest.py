@@ -97,3 +97,29 @@ def test_settings_are_kept_by_the_model(spark, tmp_path):
     assert (loaded.getOrDefault("minInstancesPerNode"), loaded.getOrDefault("maxDepth")) == (1, 3)
     said = [r["probability"] for r in model.transform(df).orderBy("doc_id").collect()]
     assert said == [r["probability"] for r in loaded.transform(df).orderBy("doc_id").collect()]
+
+
+def test_a_node_reads_the_fewer_of_its_rows_and_its_features(spark, monkeypatch):
+    """One node with most rows beside many small ones: the sums are those of all entries, few of which are read."""
+    rng = np.random.default_rng(2)
+    rows, wide, active, mtry = 400, 1000, 60, 30
+    entries = sorted({(int(f), int(r)) for f, r in zip(rng.integers(0, wide, 8000), rng.integers(0, rows, 8000))})
+    feature, row = (np.array(x) for x in zip(*entries))
+    block = {"at": np.append(0, np.cumsum(np.bincount(feature, minlength=wide))), "row": row.astype(np.int32), "bin": rng.integers(1, 9, len(row)).astype(np.int8)}
+    block |= {"label": rng.integers(0, 2, rows), "weight": np.ones(rows), "draws": rng.integers(1, 3, (2, rows)).astype(np.uint8)}
+    nodes = np.where(rng.random((2, rows)) < 0.6, 0, rng.integers(-1, active, (2, rows))).astype(np.int32)
+    batch = forest.pa.RecordBatch.from_pydict({"block": [forest.pickle.dumps(block)], "nodes": [nodes.tobytes()]})
+    level = type("Held", (), {"value": {"seed": 3, "depth": 2, "features": wide, "classes": 2, "nodes": [active] * 2, "mtry": [mtry] * 2}})
+    read, ranges = [], forest._ranges
+    monkeypatch.setattr(forest, "_ranges", lambda start, end: read.append(int((end - start).sum())) or ranges(start, end))
+    place = np.random.default_rng(3).permutation(wide)
+    (said,) = forest.count([batch], level)
+    for tree, counts in zip(said.column(0).to_pylist(), said.column(1).to_pylist(), strict=True):
+        keys, stats, _ = forest.pickle.loads(counts)
+        step, first = forest.draw(3, tree, 2, active, wide)
+        at = nodes[tree][row]
+        tried = (at >= 0) & ((place[feature] * step - first[at]) % wide < mtry)
+        want = (at[tried].astype(np.int64) * wide + feature[tried]) * (2 * forest.BINS) + block["bin"][tried] + forest.BINS
+        assert list(keys) == sorted(set(want)) and len(keys) > 10
+        assert stats[:, -1].sum() == block["draws"][tree][row[tried]].sum()
+    assert said.num_rows == 2 and sum(read) < len(row)
